@@ -2,7 +2,7 @@
 
 from skygauge.plans.registry import ORACLES, QUERIES
 from skygauge.plans import (  # noqa: F401
-    labelling, windows,
+    cleaning, labelling, windows,
 )
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -89,6 +89,64 @@ def station_events(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def row_id():
+    """A number per (District, Date), used to vary the message fixtures."""
+    return F.unix_date("Date").cast("bigint") * 25 + F.round((F.col("Latitude") - 26.0) * 10.0).cast("bigint")
+
+
+def messages(spark: SparkSession, folder: str) -> DataFrame:
+    """Topic rows: key, JSON value, partition, offset, timestamp. Some texts are cut off, some lack the district."""
+    o = obs(spark, folder).withColumn("id", row_id())
+    body = F.struct(
+        F.when(F.col("id") % 89 != 0, F.col("District")).alias("District"), F.col("Date").cast("string").alias("Date"),
+        *[F.col(c) for c in o.columns[2:12]], F.lit("2002-01-01T00:00:00").alias("timestamp"), F.lit("api").alias("source"),
+    )
+    text = F.to_json(body)
+    return o.withColumn("text", text).select(
+        F.col("District").alias("key"),
+        F.when(F.col("id") % 97 == 0, F.substring("text", F.lit(1), (F.length("text") / 2).cast("int"))).otherwise(F.col("text")).alias("value"),
+        (F.col("id") % 4).alias("partition"), F.col("id").alias("offset"), F.lit("2002-01-01 00:00:00").cast("timestamp_ntz").alias("timestamp"),
+    )
+
+
+def weather_docs(spark: SparkSession, folder: str) -> DataFrame:
+    """Current-weather documents from the station events, with every kind of missing part."""
+    e, i = station_events(spark, folder), F.col("id")
+
+    def unless(every, column):
+        return F.when(i % every != 0, column)
+    described = F.array(F.struct(F.col("source").alias("main"), F.concat(F.lit("desc "), "source").alias("description")))
+    return e.select("id", F.col("District").alias("city"), F.to_json(F.struct(
+        unless(7, F.concat(F.lit("City "), "District")).alias("name"),
+        F.struct(
+            (F.col("max_temp") + 272.15).alias("temp"), unless(5, F.col("max_temp") + 273.15).alias("temp_max"),
+            (F.col("min_temp") + 273.15).alias("temp_min"), (F.col("max_temp") + 274.15).alias("feels_like"),
+            "humidity", (1000.0 + i % 20).alias("pressure"),
+        ).alias("main"),
+        F.struct(((i % 50) / 5.0).alias("speed"), (i % 360).alias("deg")).alias("wind"),
+        F.struct((i % 101).alias("all")).alias("clouds"),
+        unless(3, F.struct(
+            F.when(i % 3 == 1, F.col("precipitation") / 100.0).alias("1h"), F.when(i % 3 == 2, F.col("precipitation") / 50.0).alias("3h"),
+        )).alias("rain"),
+        unless(9, 1020 + (i % 90) * 100).alias("visibility"),
+        F.when(i % 11 != 0, described).otherwise(F.slice(described, 1, 0)).alias("weather"),
+        unless(17, F.struct((27.0 + (i % 5) / 8.0).alias("lat"), (85.0 + (i % 5) / 8.0).alias("lon"))).alias("coord"),
+        F.struct(unless(13, 1704067200 + i * 60).alias("sunrise"), (1704110400 + i * 60).alias("sunset")).alias("sys"),
+    )).alias("value"))
+
+
+def submissions(spark: SparkSession, folder: str) -> DataFrame:
+    """Observations as clients submit them, some with required fields missing."""
+    i = F.col("id")
+    return station_events(spark, folder).select(
+        "id", F.when(i % 41 != 0, F.col("District")).alias("district"), F.col("fetch_time").cast("date").cast("string").alias("date"),
+        F.when(i % 3 == 0, 26.5).alias("latitude"), F.when(i % 3 == 0, 84.5).alias("longitude"),
+        F.when(i % 43 != 0, F.col("max_temp")).alias("max_temp"), "min_temp", F.when(i % 2 == 0, (i % 12).cast("double")).alias("temp_range"),
+        F.col("precipitation"), F.when(i % 47 != 0, F.col("humidity")).alias("humidity"),
+        F.when(i % 5 == 0, 2.5).alias("wind_speed_10m"), F.lit(None).cast("double").alias("wind_speed_50m"), F.lit(None).cast("double").alias("solar_radiation"),
+    )
+
+
 def hazard_labels(spark: SparkSession, folder: str) -> DataFrame:
     return landed_zone(spark, f"{folder}/labeled", lambda: L.hazard_labels(obs(spark, folder)))
 
@@ -159,6 +217,14 @@ SQL_VIEWS = {
               ELSE CAST(70 + event_id % 331 AS DOUBLE) / CAST(10 AS DOUBLE) END AS min_temp,
          value AS precipitation, CAST(40 + event_id % 60 AS DOUBLE) AS humidity, event_type AS source
   FROM events"""),
+    "messages": ("obs", """
+  SELECT *, (Date - DATE '1970-01-01')::BIGINT * 25 + CAST(round((Latitude - 26.0) * 10.0) AS BIGINT) AS id FROM obs"""),
+    "submissions": ("station_events", """
+  SELECT id, CASE WHEN id % 41 <> 0 THEN District END AS district, CAST(CAST(fetch_time AS DATE) AS VARCHAR) AS date,
+    CASE WHEN id % 3 = 0 THEN CAST(26.5 AS DOUBLE) END AS latitude, CASE WHEN id % 3 = 0 THEN CAST(84.5 AS DOUBLE) END AS longitude,
+    CASE WHEN id % 43 <> 0 THEN max_temp END AS max_temp, min_temp, CASE WHEN id % 2 = 0 THEN CAST(id % 12 AS DOUBLE) END AS temp_range,
+    precipitation, CASE WHEN id % 47 <> 0 THEN humidity END AS humidity, CASE WHEN id % 5 = 0 THEN CAST(2.5 AS DOUBLE) END AS wind_speed_10m
+  FROM station_events"""),
     "filled": ("obs", """
   SELECT *, coalesce(
            last_value(RH_2m IGNORE NULLS) OVER (PARTITION BY District ORDER BY Date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
