@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from skygauge.functions.rules import flood_score_linear, heat_score_linear, risk_level
 from skygauge.operators.blocks import block_window, number_rows, own_rows, with_lookback
 from skygauge.schemas import FEATURE_COLUMNS, NOT_INPUTS
 
@@ -46,3 +47,14 @@ def scoring_sequences(df: DataFrame, inputs: list, timesteps=14, align="referenc
     """
     last = {"reference": 0, "next_day": -1}[align]
     return _steps(df, inputs, last + 1 - timesteps, last, timesteps).select("District", "Date", "sequence")
+
+
+def score_by_rule(df: DataFrame) -> DataFrame:
+    """Linear rule scores as predictions, one row per target: used when no model is found."""
+    heat = heat_score_linear(F.col("MaxTemp_2m"))
+    flood = flood_score_linear(F.col("Precip"), F.col("RH_2m"))
+    rows = F.array(*[
+        F.struct(F.lit(target).alias("target"), p.alias("probability"), risk_level(p).alias("risk"))
+        for target, p in (("heatwave", heat), ("flood_proxy", flood))
+    ])
+    return df.select("*", F.inline(rows)).withColumn("model", F.lit("rule")).withColumn("status", F.lit("fallback"))

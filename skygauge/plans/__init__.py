@@ -2,7 +2,7 @@
 
 from skygauge.plans.registry import ORACLES, QUERIES
 from skygauge.plans import (  # noqa: F401
-    cleaning, labelling, windows,
+    cleaning, labelling, storage, summaries, windows,
 )
 
 __all__ = ["ORACLES", "QUERIES"]
