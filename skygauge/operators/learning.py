@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from skygauge.functions.rules import flood_score_linear, heat_score_linear, risk_level
+from skygauge.functions.rules import decide, flood_score_linear, heat_score_linear, risk_level
 from skygauge.operators.blocks import block_window, number_rows, own_rows, with_lookback
 from skygauge.schemas import FEATURE_COLUMNS, NOT_INPUTS
 
@@ -58,3 +58,10 @@ def score_by_rule(df: DataFrame) -> DataFrame:
         for target, p in (("heatwave", heat), ("flood_proxy", flood))
     ])
     return df.select("*", F.inline(rows)).withColumn("model", F.lit("rule")).withColumn("status", F.lit("fallback"))
+
+
+def align(predictions: DataFrame, labels: DataFrame, target: str, threshold=0.5) -> DataFrame:
+    """Predictions next to the actual labels."""
+    actual = labels.select("District", "Date", F.col(target).cast("bigint").alias("y_true"))
+    return predictions.join(actual, ["District", "Date"]).select(
+        "Date", "District", "y_true", F.col("probability").alias("y_pred"), decide(F.col("probability"), threshold).alias("prediction"))
