@@ -1,10 +1,18 @@
 """Preparing, splitting, fitting and scoring on tables with spark.ml."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier
+from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from skygauge.functions.rules import decide, flood_score_linear, heat_score_linear, risk_level
 from skygauge.operators.blocks import block_window, number_rows, own_rows, with_lookback
+from skygauge.operators.ordered import positions
+from skygauge.operators.serving import latest_model
 from skygauge.schemas import FEATURE_COLUMNS, NOT_INPUTS
+from skygauge.sources.zones import replace_partitions
+from skygauge.store import read_if_present
 
 
 def select_features(df: DataFrame, wanted=None) -> DataFrame:
@@ -65,3 +73,124 @@ def align(predictions: DataFrame, labels: DataFrame, target: str, threshold=0.5)
     actual = labels.select("District", "Date", F.col(target).cast("bigint").alias("y_true"))
     return predictions.join(actual, ["District", "Date"]).select(
         "Date", "District", "y_true", F.col("probability").alias("y_pred"), decide(F.col("probability"), threshold).alias("prediction"))
+
+
+def hash_split(df: DataFrame, key=("District", "Date"), train_share=80, seed=42) -> DataFrame:
+    """Tag rows train/test by a hash of their key: the same row always lands on the same side,
+    however the data is partitioned."""
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in key]))
+    bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 100
+    return df.withColumn("split", F.when(bucket < train_share, "train").otherwise("test"))
+
+
+def positional_split(df: DataFrame, order=("District", "Date"), train_share=0.8) -> DataFrame:
+    """Tag the first ``train_share`` of the rows in total order as train, the rest as test."""
+    cut = F.floor(df.agg(F.count(F.lit(1))).scalar() * F.lit(train_share))
+    numbered = positions(df, list(order), "_n")
+    return numbered.withColumn("split", F.when(F.col("_n") <= cut, "train").otherwise("test")).drop("_n")
+
+
+def standardize(df: DataFrame, train: DataFrame, columns: list) -> DataFrame:
+    """(x - mean) / sigma with the population sigma of ``train``; a constant column divides by 1."""
+    fitted = train.agg(F.struct(*[
+        F.struct(F.avg(c).alias("mean"), F.stddev_pop(c).alias("sigma")).alias(c) for c in columns
+    ]).alias("s")).scalar()
+
+    def scaled(c):
+        sigma = fitted[c]["sigma"]
+        return (F.col(c) - fitted[c]["mean"]) / F.when(sigma == 0, 1.0).otherwise(sigma)
+    return df.withColumns({c: scaled(c) for c in columns})
+
+
+def weighted(df: DataFrame, target: str) -> DataFrame:
+    """Add ``weight``: negatives per positive (at least 1) for positives, 1 for negatives."""
+    pos, neg = F.count_if(F.col(target) == 1), F.count_if(F.col(target) == 0)
+    w = df.agg(F.greatest(F.lit(1.0), neg / F.greatest(pos, F.lit(1))).alias("w")).scalar()
+    return df.withColumn("weight", F.when(F.col(target) == 1, w).otherwise(1.0))
+
+
+# Defaults of the boosted trees.
+TREES = {"maxDepth": 6, "stepSize": 0.05, "subsamplingRate": 0.8, "maxIter": 1000}
+
+
+def _filled(df, inputs, value):
+    return df.withColumns({c: _finite(c, value) for c in inputs})
+
+
+def fit_trees(train: DataFrame, inputs: list, target: str, seed=42, **params) -> PipelineModel:
+    """Weighted boosted trees. A tenth of the rows, by hash, decides when to stop."""
+    held_out = hash_split(weighted(_filled(train, inputs, -999.0), target), train_share=90, seed=seed)
+    rows = held_out.withColumn("held_out", F.col("split") == "test").withColumn("label", F.col(target).cast("double"))
+    trees = GBTClassifier(
+        labelCol="label", featuresCol="features", weightCol="weight", validationIndicatorCol="held_out", seed=seed, **{**TREES, **params})
+    return Pipeline(stages=[VectorAssembler(inputCols=inputs, outputCol="features"), trees]).fit(rows)
+
+
+def fit_sequences(train: DataFrame, seed=42, max_iter=50, hidden: list | None = None) -> PipelineModel:
+    """Classifier over flattened sequences: logistic regression, or a perceptron with ``hidden`` layers."""
+    rows = flat_sequences(train).withColumn("label", F.col("label").cast("double"))
+    scale = StandardScaler(inputCol="flat", outputCol="features", withMean=True)
+    if hidden:
+        size = rows.select(F.size("steps")).first()[0]
+        last = MultilayerPerceptronClassifier(labelCol="label", layers=[size, *hidden, 2], maxIter=max_iter, seed=seed)
+    else:
+        rows = weighted(rows, "label")
+        last = LogisticRegression(labelCol="label", weightCol="weight", maxIter=max_iter)
+    return Pipeline(stages=[scale, last]).fit(rows)
+
+
+def flat_sequences(df: DataFrame) -> DataFrame:
+    """Add the sequence as one flat array ``steps`` and as a vector ``flat``; rows without one are dropped."""
+    return df.filter(F.col("sequence").isNotNull()).withColumn("steps", F.flatten("sequence")).withColumn("flat", array_to_vector("steps"))
+
+
+def score(model: PipelineModel, df: DataFrame, name: str, target: str, inputs: list | None = None) -> DataFrame:
+    """Add probability, risk, model and target to every row; all other columns are kept."""
+    rows = df if inputs is None else df.withColumns({f"_in_{c}": F.col(c) for c in inputs}).transform(_filled, inputs, -999.0)
+    out = model.transform(rows).withColumn("probability", vector_to_array("probability")[1])
+    if inputs is not None:
+        out = out.withColumns({c: F.col(f"_in_{c}") for c in inputs}).drop(*[f"_in_{c}" for c in inputs])
+    return out.drop("rawPrediction", "prediction", "features", "flat", "steps").withColumns({
+        "risk": risk_level(F.col("probability")), "model": F.lit(name), "target": F.lit(target)})
+
+
+REGISTRY = "model string, target string, path string, saved_at timestamp_ntz, features array<string>, params map<string,string>, metrics map<string,double>"
+
+
+def save_model(model: PipelineModel, root: str, name: str, target: str, saved_at, features=(), params=None, metrics=None) -> str:
+    """Save the model and append its registry row; returns the model's path."""
+    spark = SparkSession.active()
+    path = f"{root}/models/{name}_{target}/{saved_at:%Y%m%dT%H%M%S%f}"
+    model.write().overwrite().save(path)
+    row = (name, target, path, saved_at, list(features), {k: str(v) for k, v in (params or {}).items()}, dict(metrics or {}))
+    spark.createDataFrame([row], REGISTRY).coalesce(1).write.mode("append").parquet(f"{root}/registry")
+    return path
+
+
+def load_latest(spark: SparkSession, root: str, name: str, target: str) -> PipelineModel | None:
+    """The newest saved model, or None."""
+    registry = read_if_present(spark, f"{root}/registry")
+    if registry is None:
+        return None
+    row = latest_model(registry.filter((F.col("model") == name) & (F.col("target") == target))).first()
+    return PipelineModel.load(row.path) if row else None
+
+
+def score_all(df: DataFrame, root: str, specs: list, path: str) -> list:
+    """Score every (model, target, inputs): rules stand in for a missing model, and one failing
+    combination does not stop the others. Writes the table at ``path``, one partition per
+    combination; returns (model, target, status)."""
+    spark, report = df.sparkSession, []
+    for name, target, inputs in specs:
+        try:
+            model = load_latest(spark, root, name, target)
+            if model is None:
+                rows, name, status = score_by_rule(df).filter(F.col("target") == target), "rule", "fallback"
+            else:
+                rows, status = score(model, df, name, target, inputs), "success"
+            kept = rows.select("District", "Date", "probability", "risk", "model", "target")
+            replace_partitions(kept, path, ["model", "target"])
+        except Exception as err:  # reported per combination, the run goes on
+            status = f"failed: {type(err).__name__}"
+        report.append((name, target, status))
+    return report

@@ -2,7 +2,7 @@
 
 from skygauge.plans.registry import ORACLES, QUERIES
 from skygauge.plans import (  # noqa: F401
-    cleaning, evaluation, labelling, serving, storage, summaries, windows,
+    cleaning, evaluation, labelling, learning, serving, storage, summaries, windows,
 )
 
 __all__ = ["ORACLES", "QUERIES"]
