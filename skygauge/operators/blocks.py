@@ -1,93 +1,113 @@
 """Row-order operators over long per-key histories without one task per key.
 
 A window partitioned by the key alone puts a whole key into one task, however long its history
-is. Here a key's rows are numbered first (two levels: calendar bucket, then key), cut into blocks
-of equal length, and every window runs per (key, block):
+is. Here every window runs per (key, calendar block) instead; a block is a year by default, so a
+daily panel has at most 366 rows in one, whatever share of all rows its key holds:
 
-* a frame that looks back at most ``k`` rows gets those rows copied into the block in front
-  (:func:`with_lookback`);
-* an unbounded frame keeps one summary value per block, and only the summaries are scanned along
-  the key (:func:`last_before`, :func:`first_after`).
+* a frame that looks back at most ``k`` rows gets those rows copied in from the blocks before
+  (:func:`with_lookback`); the wide rows are shuffled once, the copies carry only what the
+  frame reads;
+* an unbounded frame keeps one summary value per block, and only the summaries, one row per key
+  and year, are scanned along the key (:func:`nearest`, :func:`run_lengths`).
+
+``order`` must be unique per key, and a block must be a non-decreasing function of it.
 """
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-BLOCK_ROWS = 1024
+def in_blocks(df: DataFrame, order="Date", block: Column | None = None) -> DataFrame:
+    """Tag rows with their block."""
+    return df.withColumn("_block", F.year(order) if block is None else block)
+
+
+def block_window(key="District", order="Date"):
+    return W.partitionBy(key, "_block").orderBy(order)
+
 
+def _before(key):
+    return W.partitionBy(key).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
 
-def number_rows(panel: DataFrame, key="District", order="Date", pos="_pos", bucket: Column | None = None) -> DataFrame:
-    """Add the 0-based position of each row in its key. ``(key, order)`` must be unique.
 
-    ``bucket`` is any non-decreasing function of ``order``; the calendar year by default.
+def with_lookback(df: DataFrame, rows: int, values: list, key="District", order="Date", block: Column | None = None) -> DataFrame:
+    """Add ``_block`` and ``_own``; each block also holds the ``rows`` rows that precede it.
+
+    The copied rows carry ``key``, ``order`` and ``values``. Compute windows per
+    ``block_window``, then keep the :func:`own_rows`.
     """
-    bucket = F.year(order) if bucket is None else bucket
-    tagged = panel.withColumn("_bucket", bucket)
-    before = W.partitionBy(key).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    starts = (
-        tagged.groupBy(key, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-        .select(key, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    own = in_blocks(df, order, block)
+    along = W.partitionBy(key).orderBy("_block")
+    sizes = own.groupBy(key, "_block").agg(F.count(F.lit(1)).alias("_n"))
+    starts = sizes.withColumn("_start", F.coalesce(F.sum("_n").over(_before(key)), F.lit(0)))
+    # Every block has a row, so ``rows`` preceding rows lie in at most ``rows`` preceding blocks.
+    reach = starts.select(
+        key, "_block", (F.col("_start") + F.col("_n")).alias("_end"),
+        F.collect_list(F.struct("_block", "_start")).over(along.rowsBetween(1, rows)).alias("_next"),
     )
-    local = F.row_number().over(W.partitionBy(key, "_bucket").orderBy(order)) - 1
-    return (
-        tagged.withColumn("_local", local)
-        .join(starts, [key, "_bucket"])
-        .withColumn(pos, F.col("_start") + F.col("_local"))
-        .drop("_bucket", "_local", "_start")
+    newest_first = W.partitionBy(key, "_block").orderBy(F.desc(order))
+    tails = own.select(key, order, "_block", *values).withColumn("_back", F.row_number().over(newest_first)).filter(F.col("_back") <= rows)
+    needed = F.filter("_next", lambda b: b["_start"] - F.col("_end") + F.col("_back") <= rows)
+    copies = (
+        tails.join(reach, [key, "_block"])
+        .select(key, order, *values, F.explode(needed["_block"]).alias("_block"), F.lit(False).alias("_own"))
     )
+    return own.withColumn("_own", F.lit(True)).unionByName(copies, allowMissingColumns=True)
 
 
-def with_lookback(numbered: DataFrame, rows: int, size: int = BLOCK_ROWS, pos="_pos") -> DataFrame:
-    """Add ``_block`` and ``_own``; each block also holds the ``rows`` rows that precede it.
+def own_rows(df: DataFrame, keep_block=False) -> DataFrame:
+    """Drop the copies."""
+    kept = df.filter("_own").drop("_own")
+    return kept if keep_block else kept.drop("_block")
 
-    Compute windows per (key, _block) ordered by ``pos``, then keep ``_own`` rows.
+
+def nearest(df: DataFrame, before: dict | None = None, after: dict | None = None, key="District", order="Date") -> DataFrame:
+    """Add, per entry ``name: column``, the nearest non-null value at or before (after) each row.
+
+    Expects ``_block`` and no copies.
     """
-    home = F.floor(F.col(pos) / size)
-    return (
-        numbered.withColumn("_block", F.explode(F.sequence(home, F.floor((F.col(pos) + rows) / size))))
-        .withColumn("_own", F.col("_block") == home)
+    before, after = before or {}, after or {}
+    summary = df.groupBy(key, "_block").agg(
+        *[F.max_by(c, F.when(c.isNotNull(), F.col(order))).alias(n) for n, c in before.items()],
+        *[F.min_by(c, F.when(c.isNotNull(), F.col(order))).alias(n) for n, c in after.items()],
+    )
+    along = W.partitionBy(key).orderBy("_block")
+    carried = summary.select(
+        key, "_block",
+        *[F.last(n, ignorenulls=True).over(along.rowsBetween(W.unboundedPreceding, -1)).alias(f"_far_{n}") for n in before],
+        *[F.first(n, ignorenulls=True).over(along.rowsBetween(1, W.unboundedFollowing)).alias(f"_far_{n}") for n in after],
     )
+    w = block_window(key, order)
+    found = df.withColumns({
+        **{n: F.last(c, ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, 0)) for n, c in before.items()},
+        **{n: F.first(c, ignorenulls=True).over(w.rowsBetween(0, W.unboundedFollowing)) for n, c in after.items()},
+    })
+    names = [*before, *after]
+    return found.join(carried, [key, "_block"]).withColumns({n: F.coalesce(n, f"_far_{n}") for n in names}).drop(*[f"_far_{n}" for n in names])
 
 
-def block_window(key="District", pos="_pos"):
-    return W.partitionBy(key, "_block").orderBy(pos)
-
-
-def own_rows(df: DataFrame) -> DataFrame:
-    return df.filter("_own").drop("_own", "_block")
-
-
-def _scan(numbered, marks: dict, key, pos, size, forward: bool):
-    """For each name the nearest non-null mark at or before (after) the row."""
-    blocked = numbered.withColumn("_block", F.floor(F.col(pos) / size))
-    summaries = blocked.groupBy(key, "_block").agg(*[
-        (F.max_by if forward else F.min_by)(mark, F.when(mark.isNotNull(), F.col(pos))).alias(name)
-        for name, mark in marks.items()
-    ])
-    inside = W.partitionBy(key, "_block").orderBy(pos)
-    across = W.partitionBy(key).orderBy("_block")
-    if forward:
-        inside = inside.rowsBetween(W.unboundedPreceding, 0)
-        across, pick = across.rowsBetween(W.unboundedPreceding, -1), F.last
-    else:
-        inside = inside.rowsBetween(0, W.unboundedFollowing)
-        across, pick = across.rowsBetween(1, W.unboundedFollowing), F.first
-    carried = summaries.select(key, "_block", *[
-        pick(name, ignorenulls=True).over(across).alias(f"_carry_{name}") for name in marks
-    ])
-    found = blocked.select("*", *[
-        pick(mark, ignorenulls=True).over(inside).alias(f"_near_{name}") for name, mark in marks.items()
-    ]).join(carried, [key, "_block"])
+def run_lengths(df: DataFrame, flag: str, name: str, key="District", order="Date") -> DataFrame:
+    """Add ``name``: how many rows in a row, up to and including this one, have ``flag``.
+
+    Expects ``_block`` and no copies; ``flag`` must not be null.
+    """
+    w = block_window(key, order)
+    at = F.row_number().over(w)
+    numbered = df.withColumn("_at", at).withColumn(
+        "_stop", F.max(F.when(~F.col(flag), F.col("_at"))).over(w.rowsBetween(W.unboundedPreceding, 0)))
+    blocks = numbered.groupBy(key, "_block").agg(F.max("_at").alias("_n"), F.max("_stop").alias("_last"))
+    starts = blocks.withColumn("_start", F.coalesce(F.sum("_n").over(_before(key)), F.lit(0)))
+    carried = starts.select(key, "_block", "_start", F.max(F.col("_start") + F.col("_last")).over(_before(key)).alias("_far"))
+    stop = F.coalesce(F.col("_start") + F.col("_stop"), "_far", F.lit(0))
     return (
-        found.withColumns({n: F.coalesce(f"_near_{n}", f"_carry_{n}") for n in marks})
-        .drop("_block", *[f"_near_{n}" for n in marks], *[f"_carry_{n}" for n in marks])
+        numbered.join(carried, [key, "_block"])
+        .withColumn(name, F.col("_start") + F.col("_at") - stop).drop("_at", "_stop", "_start", "_far")
     )
 
 
-def last_before(numbered: DataFrame, marks: dict, key="District", pos="_pos", size: int = BLOCK_ROWS) -> DataFrame:
-    """Add, per entry ``name: column``, its last non-null value up to and including each row."""
-    return _scan(numbered, marks, key, pos, size, forward=True)
+def per_block(df: DataFrame, table: DataFrame, key="District") -> DataFrame:
+    """Left-join a per-key table onto blocked rows by (key, block).
 
-
-def first_after(numbered: DataFrame, marks: dict, key="District", pos="_pos", size: int = BLOCK_ROWS) -> DataFrame:
-    """Add, per entry ``name: column``, its first non-null value from each row on."""
-    return _scan(numbered, marks, key, pos, size, forward=False)
+    The table is first spread over the key's blocks, a few rows per key. So a hot key's rows stay
+    where they are, in their blocks, and are never gathered by key.
+    """
+    blocks = df.select(key, "_block").distinct().join(table, key)
+    return df.join(blocks, [key, "_block"], "left")

@@ -11,7 +11,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from skygauge.functions.calendar import calendar_terms
-from skygauge.operators.blocks import BLOCK_ROWS, block_window, number_rows, own_rows, with_lookback
+from skygauge.operators.blocks import block_window, own_rows, with_lookback
 
 LAGS = (1, 2, 3, 7, 14)
 DECAY = 0.8
@@ -46,39 +46,40 @@ def decay_lookback(decay: float) -> int:
     return math.ceil(math.log(1e-17) / math.log(decay))
 
 
-def decay_block(decay: float) -> int:
-    """Longest block whose scaled terms stay well inside the double range."""
-    lookback = decay_lookback(decay)
-    return max(1, min(max(BLOCK_ROWS, 4 * lookback), math.floor(250 / -math.log10(decay)) - lookback))
+def api_column(w, decay: float = DECAY) -> Column:
+    """s[t] = decay * s[t-1] + rain[t].
 
-
-def api_column(w, start: Column, decay: float = DECAY) -> Column:
-    """s[t] = decay * s[t-1] + rain[t]: a running sum of rain scaled by decay^-i, scaled back."""
-    i = F.col("_pos") - start
-    scaled = F.coalesce("Precip", F.lit(0.0)) * F.pow(F.lit(decay), -i)
-    running = F.sum(scaled).over(w.rowsBetween(W.unboundedPreceding, 0))
+    A running sum of rain scaled by decay^-i, scaled back: a block and its lead-in are too short
+    for the scale to overflow. A strong decay forgets so fast that the few terms are added up.
+    """
+    rain = F.coalesce("Precip", F.lit(0.0))
+    if decay_lookback(decay) <= 64:
+        terms = [F.coalesce(F.lag(rain, k).over(w), F.lit(0.0)) * decay ** k for k in range(1, decay_lookback(decay) + 1)]
+        return F.round(sum(terms, rain), API_DIGITS)
+    i = F.row_number().over(w)
+    running = F.sum(rain * F.pow(F.lit(decay), -i)).over(w.rowsBetween(W.unboundedPreceding, 0))
     return F.round(F.pow(F.lit(decay), i) * running, API_DIGITS)
 
 
-def _in_blocks(df: DataFrame, lookback: int, size: int, columns) -> DataFrame:
-    """Add window columns computed per equal-length block instead of per district."""
-    blocked = with_lookback(number_rows(df), lookback, size)
-    start = F.col("_block") * size - lookback
-    return own_rows(blocked.withColumns(columns(block_window(), start))).drop("_pos")
+PANEL_VALUES = ["Precip", "MaxTemp_2m", "TempRange_2m"]
+
+
+def _in_blocks(df: DataFrame, lookback: int, columns, values=None) -> DataFrame:
+    """Add window columns computed per district and year instead of per district."""
+    values = [c for c in values or PANEL_VALUES if c in df.columns]
+    return own_rows(with_lookback(df, lookback, values).withColumns(columns(block_window())))
 
 
 def add_rolling(df: DataFrame) -> DataFrame:
-    return _in_blocks(df, 6, BLOCK_ROWS, lambda w, _: rolling_columns(w))
+    return _in_blocks(df, 6, rolling_columns)
 
 
 def add_lags(df: DataFrame) -> DataFrame:
-    return _in_blocks(df, max(LAGS), BLOCK_ROWS, lambda w, _: lag_columns(w))
+    return _in_blocks(df, max(LAGS), lag_columns)
 
 
 def add_api(df: DataFrame, decay: float = DECAY) -> DataFrame:
-    return _in_blocks(
-        df, decay_lookback(decay), decay_block(decay), lambda w, start: {"API": api_column(w, start, decay)}
-    )
+    return _in_blocks(df, decay_lookback(decay), lambda w: {"API": api_column(w, decay)}, ["Precip"])
 
 
 def add_rolling_calendar(df: DataFrame, days=(3, 7)) -> DataFrame:
@@ -123,9 +124,7 @@ def add_anomaly(df: DataFrame, clim: DataFrame | None = None) -> DataFrame:
 def build_features(df: DataFrame, decay: float = DECAY) -> DataFrame:
     """All features in one window pass, then the climatology join. Keeps every input column."""
     rolled = _in_blocks(
-        df, max(decay_lookback(decay), *LAGS), decay_block(decay),
-        lambda w, start: {**rolling_columns(w), **lag_columns(w), "API": api_column(w, start, decay)},
-    )
+        df, max(decay_lookback(decay), *LAGS), lambda w: {**rolling_columns(w), **lag_columns(w), "API": api_column(w, decay)})
     return add_anomaly(add_time_features(rolled), climatology(df))
 
 
@@ -166,7 +165,7 @@ def serving_features(df: DataFrame, api_factor=1.5, base_temp=30.0, wet_above=80
     """
     lookback = 7
 
-    def columns(w, _):
+    def columns(w):
         hist = F.count(F.lit(1)).over(w.rowsBetween(-lookback, -1))
         rain, temp = F.coalesce("Precip", F.lit(0.0)), F.col("MaxTemp_2m")
         long, some = hist >= 7, hist >= 3
@@ -183,4 +182,4 @@ def serving_features(df: DataFrame, api_factor=1.5, base_temp=30.0, wet_above=80
             "wetness_flag": (F.col("RH_2m") > wet_above).cast("bigint"),
             "API": rain * api_factor,
         }
-    return add_time_features(_in_blocks(df, lookback, BLOCK_ROWS, columns))
+    return add_time_features(_in_blocks(df, lookback, columns))

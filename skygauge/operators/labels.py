@@ -2,30 +2,28 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from skygauge.operators.blocks import (
-    BLOCK_ROWS, block_window, first_after, last_before, number_rows, own_rows, with_lookback,
-)
+from skygauge.operators.blocks import block_window, in_blocks, nearest, own_rows, per_block, run_lengths, with_lookback
 from skygauge.operators.features import DIGITS
 from skygauge.operators.percentiles import approx_percentiles, exact_percentiles
 
 HEAT_PCT, RAIN_PCT, RAIN3_PCT, WET_PCT = 0.95, 0.99, 0.98, 0.90
 
 
-def fill_humidity(df: DataFrame) -> DataFrame:
+def fill_humidity(blocked: DataFrame) -> DataFrame:
     """Forward, then backward fill of humidity inside each district, as ``RH_2m_filled``.
 
-    Expects the ``_pos`` column of ``number_rows``.
+    Expects the blocks of ``in_blocks``.
     """
     rh = F.col("RH_2m")
-    both = first_after(last_before(df, {"_rh_prev": rh}), {"_rh_next": rh})
+    both = nearest(blocked, before={"_rh_prev": rh}, after={"_rh_next": rh})
     return both.withColumn("RH_2m_filled", F.coalesce("_rh_prev", "_rh_next")).drop("_rh_prev", "_rh_next")
 
 
-def add_rain_sums(numbered: DataFrame) -> DataFrame:
-    """``precip_1d`` (missing rain is none) and its 3-row sum; expects ``_pos``."""
-    rained = with_lookback(numbered.withColumn("precip_1d", F.coalesce("Precip", F.lit(0.0))), 2)
+def add_rain_sums(df: DataFrame) -> DataFrame:
+    """``precip_1d`` (missing rain is none) and its 3-row sum; the rows stay in blocks."""
+    rained = with_lookback(df.withColumn("precip_1d", F.coalesce("Precip", F.lit(0.0))), 2, ["precip_1d"])
     total = F.sum("precip_1d").over(block_window().rowsBetween(-2, 0))
-    return own_rows(rained.withColumn("precip_3d_sum", F.round(total, DIGITS)))
+    return own_rows(rained.withColumn("precip_3d_sum", F.round(total, DIGITS)), keep_block=True)
 
 
 HEAT_SPEC = {"temp_p95": ("MaxTemp_2m", HEAT_PCT)}
@@ -43,13 +41,6 @@ def thresholds(df: DataFrame, specs: dict, method="exact") -> DataFrame:
     return {"exact": exact_percentiles, "approx": approx_percentiles}[method](df, "District", specs)
 
 
-def add_heat_runs(numbered: DataFrame) -> DataFrame:
-    """``heat_run``: length so far of the current run of ``heat_exceed`` rows; expects ``_pos``."""
-    last_cool = F.when(~F.col("heat_exceed"), F.col("_pos"))
-    marked = last_before(numbered, {"_cool": last_cool})
-    return marked.withColumn("heat_run", F.col("_pos") - F.coalesce("_cool", F.lit(-1))).drop("_cool")
-
-
 def label_heatwave(df: DataFrame, method="exact", min_run=3, backfill_run=False, limits: DataFrame | None = None) -> DataFrame:
     """Heatwave = at least ``min_run`` consecutive rows above the district's threshold.
 
@@ -57,24 +48,16 @@ def label_heatwave(df: DataFrame, method="exact", min_run=3, backfill_run=False,
     ``min_run=1`` labels every exceedance.
     """
     limits = thresholds(df, HEAT_SPEC, method) if limits is None else limits
-    hot = (
-        number_rows(df).join(limits.select("District", "temp_p95"), "District", "left")
-        .withColumn("heat_exceed", F.coalesce(F.col("MaxTemp_2m") > F.col("temp_p95"), F.lit(False)))
-    )
-    runs = add_heat_runs(hot)
+    hot = per_block(in_blocks(df), limits.select("District", "temp_p95")).withColumn(
+        "heat_exceed", F.coalesce(F.col("MaxTemp_2m") > F.col("temp_p95"), F.lit(False)))
+    runs = run_lengths(hot, "heat_exceed", "heat_run")
     flag = F.col("heat_run") >= min_run
     if backfill_run:
         # A row belongs to a long run when the run's label appears before its next cool row.
-        ahead = first_after(runs, {
-            "_next_cool": F.when(~F.col("heat_exceed"), F.col("_pos")),
-            "_next_hit": F.when(flag, F.col("_pos")),
-        })
-        flag = F.col("heat_exceed") & (F.col("_next_hit") < F.coalesce("_next_cool", F.lit(2**62)))
-        runs = ahead
-    return (
-        runs.withColumn("heatwave", F.coalesce(flag, F.lit(False)).cast("bigint"))
-        .drop("_pos", "_next_cool", "_next_hit")
-    )
+        runs = nearest(runs, after={
+            "_next_cool": F.when(~F.col("heat_exceed"), F.col("Date")), "_next_hit": F.when(flag, F.col("Date"))})
+        flag = F.col("heat_exceed") & (F.col("_next_hit") < F.coalesce("_next_cool", F.date_add("_next_hit", 1)))
+    return runs.withColumn("heatwave", F.coalesce(flag, F.lit(False)).cast("bigint")).drop("_block", "_next_cool", "_next_hit")
 
 
 def label_flood(df: DataFrame, method="exact", fill=True, nulls="false", limits: DataFrame | None = None) -> DataFrame:
@@ -83,29 +66,29 @@ def label_flood(df: DataFrame, method="exact", fill=True, nulls="false", limits:
     ``fill`` fills humidity gaps inside the district first. With ``nulls="propagate"`` a wet day
     without humidity stays null instead of 0.
     """
-    rained = add_rain_sums(number_rows(df))
+    rained = add_rain_sums(df)
     humidity = "RH_2m"
     if fill:
         rained, humidity = fill_humidity(rained), "RH_2m_filled"
     limits = thresholds(rained, flood_spec(humidity), method) if limits is None else limits
-    joined = rained.join(limits.select("District", "precip_p99", "precip3_p98", "rh_p90"), "District", "left")
+    joined = per_block(rained, limits.select("District", "precip_p99", "precip3_p98", "rh_p90"))
     rainy = (F.col("precip_1d") > F.col("precip_p99")) | (F.col("precip_3d_sum") > F.col("precip3_p98"))
     wet = F.col(humidity) > F.col("rh_p90")
     proxy = F.coalesce(rainy, F.lit(False)) & wet
     if nulls == "false":
         proxy = F.coalesce(proxy, F.lit(False))
-    return joined.withColumn("wetness_flag", wet).withColumn("flood_proxy", proxy.cast("bigint")).drop("_pos")
+    return joined.withColumn("wetness_flag", wet).withColumn("flood_proxy", proxy.cast("bigint")).drop("_block")
 
 
 def hazard_labels(df: DataFrame, method="exact", min_run=3) -> DataFrame:
     """Both labels per (District, Date) from one numbering pass and one threshold pass."""
-    base = fill_humidity(add_rain_sums(number_rows(df.select("District", "Date", "MaxTemp_2m", "Precip", "RH_2m"))))
+    base = fill_humidity(add_rain_sums(df.select("District", "Date", "MaxTemp_2m", "Precip", "RH_2m")))
     limits = thresholds(base, {**HEAT_SPEC, **flood_spec("RH_2m_filled")}, method)
-    joined = base.join(limits, "District", "left")
+    joined = per_block(base, limits)
     rainy = (F.col("precip_1d") > F.col("precip_p99")) | (F.col("precip_3d_sum") > F.col("precip3_p98"))
     proxy = F.coalesce(rainy & (F.col("RH_2m_filled") > F.col("rh_p90")), F.lit(False))
     hot = F.coalesce(F.col("MaxTemp_2m") > F.col("temp_p95"), F.lit(False))
-    runs = add_heat_runs(joined.withColumn("heat_exceed", hot).withColumn("flood_proxy", proxy.cast("bigint")))
+    runs = run_lengths(joined.withColumn("heat_exceed", hot).withColumn("flood_proxy", proxy.cast("bigint")), "heat_exceed", "heat_run")
     return runs.select(
         "District", "Date", (F.col("heat_run") >= min_run).cast("bigint").alias("heatwave"), "flood_proxy", "heat_run",
     )

@@ -7,7 +7,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from skygauge.functions.rules import decide, flood_score_linear, heat_score_linear, risk_level
-from skygauge.operators.blocks import block_window, number_rows, own_rows, with_lookback
+from skygauge.operators.blocks import block_window, own_rows, with_lookback
 from skygauge.operators.ordered import positions
 from skygauge.operators.serving import latest_model
 from skygauge.schemas import FEATURE_COLUMNS, NOT_INPUTS
@@ -33,10 +33,10 @@ def _finite(name: str, otherwise: float) -> Column:
 
 
 def _steps(df, inputs, first, last, steps, extra=()):
-    numbered = number_rows(df.select("District", "Date", *extra, F.array(*[_finite(c, 0.0) for c in inputs]).alias("_step")))
+    rows = df.select("District", "Date", *extra, F.array(*[_finite(c, 0.0) for c in inputs]).alias("_step"))
     frame = block_window().rowsBetween(first, last)
     return own_rows(
-        with_lookback(numbered, -first)
+        with_lookback(rows, -first, ["_step"])
         .withColumn("sequence", F.collect_list("_step").over(frame))  # at most ``steps`` entries
         .withColumn("sequence", F.when(F.size("sequence") == steps, F.col("sequence")))
     )

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from skygauge.operators import labels as L
-from skygauge.operators.blocks import number_rows
+from skygauge.operators.blocks import in_blocks
 from skygauge.plans.registry import query
 from skygauge.plans import views
 from skygauge.plans.views import obs
@@ -17,12 +17,12 @@ ALL_LIMITS = {**L.HEAT_SPEC, **L.flood_spec("RH_2m_filled")}
 
 
 def _filled(spark, folder):
-    return L.fill_humidity(L.add_rain_sums(number_rows(obs(spark, folder).select("District", "Date", "MaxTemp_2m", "Precip", "RH_2m"))))
+    return L.fill_humidity(L.add_rain_sums(obs(spark, folder).select("District", "Date", "MaxTemp_2m", "Precip", "RH_2m")))
 
 
 @query("ffill_bfill", "SELECT District, Date, RH_2m, RH_2m_filled FROM filled", "filled")
 def ffill_bfill(spark, folder):
-    return L.fill_humidity(number_rows(obs(spark, folder).select("District", "Date", "RH_2m"))).drop("_pos")
+    return L.fill_humidity(in_blocks(obs(spark, folder).select("District", "Date", "RH_2m"))).drop("_block")
 
 
 @query("thresholds_exact", """SELECT District, round(temp_p95, 9) AS temp_p95, round(precip_p99, 9) AS precip_p99,

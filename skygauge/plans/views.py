@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skygauge.functions import rules
 from skygauge.operators import labels as L
-from skygauge.operators.blocks import block_window, number_rows, own_rows, with_lookback
+from skygauge.operators.blocks import block_window, own_rows, with_lookback
 from skygauge.store import landed_zone
 
 
@@ -160,7 +160,7 @@ def _scores(spark: SparkSession, folder: str) -> DataFrame:
         rules.heat_score_bands(temp).alias("heat_bands"), rules.flood_score_bands(rain, rh).alias("flood_bands"),
     )
     last3 = block_window().rowsBetween(-2, 0)
-    smoothed = own_rows(with_lookback(number_rows(scored), 2).withColumns({
+    smoothed = own_rows(with_lookback(scored, 2, ["heat_rule", "flood_rule"]).withColumns({
         f"{t}_mean": F.round(F.avg(f"{t}_rule").over(last3), 9) for t in ("heat", "flood")
     }))
     rows = F.array(*[

@@ -42,11 +42,10 @@ def rolling_temp(spark, folder):
     return X.add_rolling(obs(spark, folder)).select("District", "Date", "maxT_3d_mean", "temp_range_3d_max")
 
 
-@query("rolling_calendar", """
-SELECT a.District, a.Date,
-       round(sum(CASE WHEN b.Date > a.Date - INTERVAL 3 DAY THEN b.Precip END), 9) AS precip_3cd, round(sum(b.Precip), 9) AS precip_7cd
-FROM obs a JOIN obs b ON a.District = b.District AND b.Date <= a.Date AND b.Date > a.Date - INTERVAL 7 DAY
-GROUP BY 1, 2""", "obs")
+RANGE = "OVER (PARTITION BY District ORDER BY Date RANGE BETWEEN INTERVAL {} DAY PRECEDING AND CURRENT ROW)".format
+
+
+@query("rolling_calendar", f"SELECT District, Date, round(sum(Precip) {RANGE(2)}, 9) AS precip_3cd, round(sum(Precip) {RANGE(6)}, 9) AS precip_7cd FROM obs", "obs")
 def rolling_calendar(spark, folder):
     return X.add_rolling_calendar(obs(spark, folder).select("District", "Date", "Precip")).drop("Precip")
 
