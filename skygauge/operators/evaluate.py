@@ -104,11 +104,14 @@ def roc_curve(df: DataFrame) -> DataFrame:
 def error_analysis(df: DataFrame, threshold=0.5) -> DataFrame:
     """False positives and negatives: number, share of all rows in percent, mean probability."""
     hit, true = F.col("p") >= threshold, F.col("y") == 1
-    wrong = F.when(hit & ~true, "false_positive").when(~hit & true, "false_negative")
-    total = df.agg(F.count(F.lit(1))).scalar()
-    return df.withColumn("error", wrong).filter("error is not null").groupBy("error").agg(
-        F.count(F.lit(1)).alias("n"), (F.count(F.lit(1)) * F.lit(100.0) / total).alias("share_pct"),
-        F.round(F.sum(F.col("p").cast("decimal(28,15)")).cast("double") / F.count(F.lit(1)), DIGITS).alias("mean_probability"))
+    cases = {"false_positive": hit & ~true, "false_negative": ~hit & true}
+    p = F.col("p").cast("decimal(28,15)")
+    counted = df.agg(F.count(F.lit(1)).alias("total"), *[
+        F.struct(F.lit(name).alias("error"), F.count_if(case).alias("n"), F.sum(F.when(case, p)).cast("double").alias("s")).alias(name)
+        for name, case in cases.items()])
+    return counted.select("total", F.inline(F.array(*cases))).filter("n > 0").select(
+        "error", "n", (F.col("n") * F.lit(100.0) / F.col("total")).alias("share_pct"),
+        F.round(F.col("s") / F.col("n"), DIGITS).alias("mean_probability"))
 
 
 def prob_histogram(df: DataFrame, bins=50) -> DataFrame:
