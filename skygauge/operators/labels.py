@@ -81,16 +81,17 @@ def label_flood(df: DataFrame, method="exact", fill=True, nulls="false", limits:
 
 
 def hazard_labels(df: DataFrame, method="exact", min_run=3) -> DataFrame:
-    """Both labels per (District, Date) from one numbering pass and one threshold pass."""
+    """Both labels, the heat run and the wetness flag per (District, Date); all thresholds in one pass."""
     base = fill_humidity(add_rain_sums(df.select("District", "Date", "MaxTemp_2m", "Precip", "RH_2m")))
     limits = thresholds(base, {**HEAT_SPEC, **flood_spec("RH_2m_filled")}, method)
     joined = per_block(base, limits)
     rainy = (F.col("precip_1d") > F.col("precip_p99")) | (F.col("precip_3d_sum") > F.col("precip3_p98"))
-    proxy = F.coalesce(rainy & (F.col("RH_2m_filled") > F.col("rh_p90")), F.lit(False))
+    wet = F.col("RH_2m_filled") > F.col("rh_p90")
+    proxy = F.coalesce(rainy & wet, F.lit(False))
     hot = F.coalesce(F.col("MaxTemp_2m") > F.col("temp_p95"), F.lit(False))
-    runs = run_lengths(joined.withColumn("heat_exceed", hot).withColumn("flood_proxy", proxy.cast("bigint")), "heat_exceed", "heat_run")
+    runs = run_lengths(joined.withColumns({"heat_exceed": hot, "wetness_flag": wet, "flood_proxy": proxy.cast("bigint")}), "heat_exceed", "heat_run")
     return runs.select(
-        "District", "Date", (F.col("heat_run") >= min_run).cast("bigint").alias("heatwave"), "flood_proxy", "heat_run",
+        "District", "Date", (F.col("heat_run") >= min_run).cast("bigint").alias("heatwave"), "flood_proxy", "heat_run", "wetness_flag",
     )
 
 

@@ -30,15 +30,16 @@ def exact_percentiles(df: DataFrame, key: str, specs: dict, accuracy: int = SKET
         for name, (c, p) in specs.items()
     ])
     joined = df.select(key, *[F.col(c).cast("double").alias(f"_v_{n}") for n, (c, _) in specs.items()]).join(sketch, key)
-    # One long row per (key, percentile, value). Zone -1 / 1: below / above the bracket, one row each.
+    # One long row per (key, percentile, value). Zone -1 / 1: below / above the bracket, zone 2: no
+    # value; each collapses into one row. A group without values has no rank.
     def entry(name, p):
         v, edge = F.col(f"_v_{name}"), F.col(f"{name}.edge")
-        zone = F.when(v < edge[0], -1).when(v > edge[1], 1).otherwise(0)
+        zone = F.when(v.isNull(), 2).when(v < edge[0], -1).when(v > edge[1], 1).otherwise(0)
         return F.struct(
-            F.lit(name).alias("name"), (F.lit(p) * (F.col(f"{name}.n") - 1)).alias("rank"), v.alias("v"),
+            F.lit(name).alias("name"), F.when(F.col(f"{name}.n") > 0, F.lit(p) * (F.col(f"{name}.n") - 1)).alias("rank"), v.alias("v"),
             zone.alias("zone"), F.when(zone == 0, v).alias("inside"),
         )
-    entries = joined.select(key, F.inline(F.array(*[entry(n, p) for n, (_, p) in specs.items()]))).filter("v is not null")
+    entries = joined.select(key, F.inline(F.array(*[entry(n, p) for n, (_, p) in specs.items()])))
     counts = entries.groupBy(key, "name", "rank", "zone", "inside").agg(
         F.count(F.lit(1)).alias("same"), F.min("v").alias("least"), F.max("v").alias("most")
     )
@@ -49,7 +50,7 @@ def exact_percentiles(df: DataFrame, key: str, specs: dict, accuracy: int = SKET
         F.lead("least").over(order).alias("next"),
     )
     # The first row whose cumulative count covers the lower rank holds the lower neighbour.
-    covering = ranked.filter(F.col("upto") - 1 >= F.floor("rank"))
+    covering = ranked.filter(F.col("rank").isNull() | (F.col("upto") - 1 >= F.floor("rank")))
     picked = covering.groupBy(key, "name").agg(
         F.min_by(F.struct("rank", "zone", "same", "least", "most", "upto", "next"), "upto").alias("r")
     )
@@ -65,8 +66,7 @@ def exact_percentiles(df: DataFrame, key: str, specs: dict, accuracy: int = SKET
         .when(F.col("r.zone") == 0, F.col("r.least"))
     )
     value = lower + (upper - lower) * share
-    checked = F.when(value.isNull(), F.raise_error(F.lit("percentile outside its bracket")).cast("double")).otherwise(value)
-    answers = picked.groupBy(key).agg(*[
+    checked = F.when(value.isNull() & F.col("r.rank").isNotNull(), F.raise_error(F.lit("percentile outside its bracket")).cast("double")).otherwise(value)
+    return picked.groupBy(key).agg(*[
         F.max(F.when(F.col("name") == name, checked)).alias(name) for name in specs
     ])
-    return df.select(key).distinct().join(answers, key, "left")

@@ -80,7 +80,7 @@ def label_flood_unfilled(spark, folder):
     return df.select("District", "Date", "flood_proxy")
 
 
-@query("hazard_labels", "SELECT District, Date, heatwave, flood_proxy, heat_run FROM hazard_labels", "hazard_labels")
+@query("hazard_labels", "SELECT District, Date, heatwave, flood_proxy, heat_run, wetness_flag FROM hazard_labels", "hazard_labels")
 def hazard_labels(spark, folder):
     return L.hazard_labels(obs(spark, folder))
 

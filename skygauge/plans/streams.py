@@ -94,14 +94,14 @@ def stream_alerts(spark, folder):
 @query("stream_hourly", HOURLY_SQL, "station_events")
 def stream_hourly(spark, folder):
     sink = drain(spark, "hourly", event_parts(spark, folder), lambda s, p, c: sinks.hourly(s, p, c, sinks.ONCE))
-    return sinks.current(spark, sink, ["District", "hour_bucket"])
+    return spark.read.parquet(sink).drop("batch_id", "day")
 
 
 @query("stream_running", """SELECT District, count(*) AS fetches, max(fetch_time) AS last_fetch, arg_max(max_temp, fetch_time) AS last_temp,
   count(*) FILTER (WHERE max_temp > 40) AS heatwave_alerts, count(*) FILTER (WHERE precipitation > 100) AS flood_alerts FROM station_events GROUP BY 1""", "station_events")
 def stream_running(spark, folder):
     sink = drain(spark, "running", event_parts(spark, folder), lambda s, p, c: sinks.running(s, p, c, sinks.ONCE))
-    return sinks.current(spark, sink, ["District"])
+    return sinks.newest_version(spark, sink)
 
 
 @query("stream_last_n", "SELECT id, District, fetch_time, max_temp FROM station_events ORDER BY station_events.fetch_time DESC, id LIMIT 100", "station_events")

@@ -247,7 +247,7 @@ SQL_VIEWS = {
     "hazard_labels": ("runs", """
   SELECT District, Date, CAST(heat_run >= 3 AS BIGINT) AS heatwave,
          CAST(coalesce((precip_1d > precip_p99 OR precip_3d_sum > precip3_p98) AND RH_2m_filled > rh_p90, FALSE) AS BIGINT) AS flood_proxy,
-         CAST(heat_run AS BIGINT) AS heat_run
+         CAST(heat_run AS BIGINT) AS heat_run, RH_2m_filled > rh_p90 AS wetness_flag
   FROM runs"""),
     "rule_scores": ("obs", """
   SELECT *,
@@ -280,3 +280,13 @@ SQL_VIEWS = {
   FROM predictions p JOIN hazard_labels h ON p.District = h.District AND p.Date = h.Date
   WHERE p.model = 'rule' AND p.target = 'heatwave'"""),
 }
+
+# The label views once more, over the merged zones instead of the panel.
+SQL_VIEWS["merged"] = ("hist strm", """
+  SELECT * EXCLUDE (kafka_key, ingestion_time, batch_id) FROM strm
+  UNION ALL SELECT * FROM hist h WHERE NOT EXISTS (SELECT 1 FROM strm s WHERE s.District = h.District AND s.Date = h.Date)""")
+for _view, _input in (("filled", "merged"), ("limits", "m_filled"), ("runs", "m_filled m_limits"), ("hazard_labels", "m_runs")):
+    _text = SQL_VIEWS[_view][1]
+    for _old, _new in (("FROM obs", "FROM merged"), ("FROM filled", "FROM m_filled"), ("JOIN limits", "JOIN m_limits"), ("FROM runs", "FROM m_runs")):
+        _text = _text.replace(_old, _new)
+    SQL_VIEWS[f"m_{_view}"] = (_input, _text)

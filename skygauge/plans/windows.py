@@ -86,7 +86,7 @@ def features(spark, folder):
 WITH clim AS ({CLIM_SQL}),
 f AS (SELECT *, {TIME_SQL}, {ROLL_SQL}, {LAG_SQL}, {API_SQL} FROM obs)
 SELECT f.Date, f.District, Latitude, Longitude, Precip, precip_3d, precip_7d, precip_lag_1, precip_lag_3, precip_lag_7,
-       MaxTemp_2m, maxT_3d_mean, maxT_lag_1, maxT_lag_3, f.MaxTemp_2m - c.clim_maxT AS anom_maxT, RH_2m, API, TempRange_2m,
+       MaxTemp_2m, maxT_3d_mean, maxT_lag_1, maxT_lag_3, f.MaxTemp_2m - c.clim_maxT AS anom_maxT, RH_2m, wetness_flag, API, TempRange_2m,
        WindSpeed_10m, WindSpeed_50m, doy_sin, doy_cos, month, year, h.heatwave, h.flood_proxy
 FROM f LEFT JOIN clim c ON f.District = c.District AND f.doy = c.doy
        JOIN hazard_labels h ON f.District = h.District AND f.Date = h.Date""", "obs hazard_labels")

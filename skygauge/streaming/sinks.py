@@ -13,8 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from skygauge.functions import rules
 from skygauge.operators import serving, summaries
 from skygauge.sources.messages import accepted, event_date, parse_messages, quarantined
-from skygauge.sources.zones import newest_per_key, replace_partitions
-from skygauge.store import read_if_present
+from skygauge.sources.zones import newest_per_key, replace_partitions, upsert
 
 ONCE = {"availableNow": True}
 EVERY_10S = {"processingTime": "10 seconds"}
@@ -92,49 +91,44 @@ def raise_alerts(events: DataFrame, path: str, checkpoint: str, trigger=EVERY_10
     )
 
 
-def _change_log(updates: DataFrame, path: str, checkpoint: str, trigger: dict) -> StreamingQuery:
-    """Changed result rows of each batch, filed under the batch number."""
-    def batch(df, number):
-        replace_partitions(df.withColumn("batch_id", F.lit(number)), path, ["batch_id"])
-    return _batches(updates, checkpoint, trigger, "update", batch)
-
-
 def hourly(events: DataFrame, path: str, checkpoint: str, trigger=EVERY_10S, late="1 day") -> StreamingQuery:
-    """Hourly statistics per district. Open hours are written as they change; rows more than
-    ``late`` behind the newest are dropped. Read with :func:`current`."""
+    """Hourly statistics per district, upserted into a table partitioned by day.
+
+    Open hours are updated as they change, so only the days of changed hours are rewritten; rows
+    more than ``late`` behind the newest are dropped.
+    """
     timed = events.withColumn("fetch_time", F.col("fetch_time").cast("timestamp")).withWatermark("fetch_time", late)
     grouped = timed.groupBy("District", F.window("fetch_time", "1 hour")).agg(
         F.count(F.lit(1)).alias("record_count"), summaries.exact_avg("max_temp").alias("avg_temp"), F.max("max_temp").alias("max_temp"),
         summaries.exact_sum("precipitation").alias("total_precip"),
         F.count_if(rules.is_hot(F.col("max_temp"))).alias("heatwave_alerts"), F.count_if(rules.is_heavy_rain(F.col("precipitation"))).alias("flood_alerts"))
-    rows = grouped.withColumn("hour_bucket", F.col("window.start").cast("timestamp_ntz")).drop("window")
-    return _change_log(rows, path, checkpoint, trigger)
-
 
-def running(events: DataFrame, path: str, checkpoint: str, trigger=EVERY_10S) -> StreamingQuery:
-    """Running totals per district: fetches, last time and temperature, hazard counts.
-    The state is one row per district. Read with :func:`current`."""
-    grouped = events.groupBy("District").agg(
-        F.count(F.lit(1)).alias("fetches"), F.max("fetch_time").alias("last_fetch"), F.max_by("max_temp", "fetch_time").alias("last_temp"),
-        F.count_if(rules.is_hot(F.col("max_temp"))).alias("heatwave_alerts"), F.count_if(rules.is_heavy_rain(F.col("precipitation"))).alias("flood_alerts"))
-    return _change_log(grouped, path, checkpoint, trigger)
-
-
-def current(spark, path: str, key: list) -> DataFrame:
-    """The newest version of each row of a change log."""
-    return newest_per_key(spark.read.parquet(path), key, ["batch_id"]).drop("batch_id")
+    def batch(df, number):
+        hour = F.col("window.start").cast("timestamp_ntz")
+        rows = df.select("District", hour.alias("hour_bucket"), *[c for c in df.columns if c not in ("District", "window")],
+                         F.lit(number).alias("batch_id"), hour.cast("date").alias("day"))
+        upsert(rows, path, key=["District", "hour_bucket", "day"], newest=["batch_id"], by=["day"], time="hour_bucket")
+    return _batches(grouped, checkpoint, trigger, "update", batch)
 
 
-def _versions(stream: DataFrame, path: str, checkpoint: str, trigger: dict, reduce) -> StreamingQuery:
+def _versions(stream: DataFrame, path: str, checkpoint: str, trigger: dict, reduce, mode="append") -> StreamingQuery:
     """Keep a small table up to date: version n = reduce(version n-1 and batch n).
 
     The previous version is read by number, so a repeated batch starts from the same state.
     """
     def batch(df, number):
-        before = read_if_present(df.sparkSession, f"{path}/version={number - 1}") if number else None
-        rows = df if before is None else before.unionByName(df)
+        rows = df if number == 0 else df.sparkSession.read.parquet(f"{path}/version={number - 1}").unionByName(df)
         reduce(rows).write.mode("overwrite").parquet(f"{path}/version={number}")
-    return _batches(stream, checkpoint, trigger, "append", batch)
+    return _batches(stream, checkpoint, trigger, mode, batch)
+
+
+def running(events: DataFrame, path: str, checkpoint: str, trigger=EVERY_10S) -> StreamingQuery:
+    """Running totals per district: fetches, last time and temperature, hazard counts.
+    The state is one row per district. Read with :func:`newest_version`."""
+    grouped = events.groupBy("District").agg(
+        F.count(F.lit(1)).alias("fetches"), F.max("fetch_time").alias("last_fetch"), F.max_by("max_temp", "fetch_time").alias("last_temp"),
+        F.count_if(rules.is_hot(F.col("max_temp"))).alias("heatwave_alerts"), F.count_if(rules.is_heavy_rain(F.col("precipitation"))).alias("flood_alerts"))
+    return _versions(grouped, path, checkpoint, trigger, lambda rows: newest_per_key(rows, ["District"], ["fetches"]), mode="update")
 
 
 def last_rows(events: DataFrame, path: str, checkpoint: str, n=100, order="fetch_time", tie=("id",), per=(), trigger=EVERY_10S) -> StreamingQuery:

@@ -86,7 +86,7 @@ def test_hourly_updates_open_hours_and_drops_late_rows(spark, tmp_path):
     f.run(sinks.hourly)
     f.send([event(5, 0.4), event(6, 72.5)])  # the first is three days late
     f.run(sinks.hourly)
-    got = {r.hour_bucket: (r.record_count, r.heatwave_alerts) for r in sinks.current(spark, f.sink, ["District", "hour_bucket"]).collect()}
+    got = {r.hour_bucket: (r.record_count, r.heatwave_alerts) for r in spark.read.parquet(f.sink).collect()}
     assert got == {datetime(2024, 1, 1): (3, 1), datetime(2024, 1, 4): (2, 0)}
 
 
@@ -99,7 +99,7 @@ def test_running_totals_and_last_rows(spark, tmp_path):
         f.run(sinks.running if f is totals else sinks.last_rows, **({} if f is totals else {"n": 3}))
         f.send([event(9, 9, temp=50.0)])
         f.run(sinks.running if f is totals else sinks.last_rows, **({} if f is totals else {"n": 3}))
-    row = sinks.current(spark, totals.sink, ["District"]).first()
+    row = sinks.newest_version(spark, totals.sink).first()
     assert (row.fetches, row.last_temp, row.heatwave_alerts) == (6, 50.0, 1)
     assert sorted(r.id for r in sinks.newest_version(spark, last.sink).collect()) == [3, 4, 9]
 
