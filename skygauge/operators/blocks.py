@@ -75,10 +75,11 @@ def nearest(df: DataFrame, before: dict | None = None, after: dict | None = None
         *[F.last(n, ignorenulls=True).over(along.rowsBetween(W.unboundedPreceding, -1)).alias(f"_far_{n}") for n in before],
         *[F.first(n, ignorenulls=True).over(along.rowsBetween(1, W.unboundedFollowing)).alias(f"_far_{n}") for n in after],
     )
-    w = block_window(key, order)
+    # Looking ahead is looking back in reverse order: a growing frame, linear in the block's length.
+    forward, backward = block_window(key, order), W.partitionBy(key, "_block").orderBy(F.desc(order))
     found = df.withColumns({
-        **{n: F.last(c, ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, 0)) for n, c in before.items()},
-        **{n: F.first(c, ignorenulls=True).over(w.rowsBetween(0, W.unboundedFollowing)) for n, c in after.items()},
+        **{n: F.last(c, ignorenulls=True).over(forward.rowsBetween(W.unboundedPreceding, 0)) for n, c in before.items()},
+        **{n: F.last(c, ignorenulls=True).over(backward.rowsBetween(W.unboundedPreceding, 0)) for n, c in after.items()},
     })
     names = [*before, *after]
     return found.join(carried, [key, "_block"]).withColumns({n: F.coalesce(n, f"_far_{n}") for n in names}).drop(*[f"_far_{n}" for n in names])

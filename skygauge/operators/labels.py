@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 from skygauge.operators.blocks import block_window, in_blocks, nearest, own_rows, per_block, run_lengths, with_lookback
 from skygauge.operators.features import DIGITS
 from skygauge.operators.percentiles import approx_percentiles, exact_percentiles
+from skygauge.store import landed
 
 HEAT_PCT, RAIN_PCT, RAIN3_PCT, WET_PCT = 0.95, 0.99, 0.98, 0.90
 
@@ -82,8 +83,10 @@ def label_flood(df: DataFrame, method="exact", fill=True, nulls="false", limits:
 
 def hazard_labels(df: DataFrame, method="exact", min_run=3) -> DataFrame:
     """Both labels, the heat run and the wetness flag per (District, Date); all thresholds in one pass."""
-    base = fill_humidity(add_rain_sums(df.select("District", "Date", "MaxTemp_2m", "Precip", "RH_2m")))
-    limits = thresholds(base, {**HEAT_SPEC, **flood_spec("RH_2m_filled")}, method)
+    filled = fill_humidity(add_rain_sums(df.select("District", "Date", "MaxTemp_2m", "Precip", "RH_2m")))
+    # Read by the sketch, the counting pass, the labels and the run summaries: landed once.
+    base = landed(filled.drop("Precip", "RH_2m"), "label_base")
+    limits = landed(thresholds(base, {**HEAT_SPEC, **flood_spec("RH_2m_filled")}, method), "label_limits")
     joined = per_block(base, limits)
     rainy = (F.col("precip_1d") > F.col("precip_p99")) | (F.col("precip_3d_sum") > F.col("precip3_p98"))
     wet = F.col("RH_2m_filled") > F.col("rh_p90")

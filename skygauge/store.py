@@ -40,6 +40,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def landed(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to a fresh table in the shared folder and read it from there.
+
+    For a result that several branches of a plan need: each reads only its columns, and a lost
+    executor costs a re-read, not the steps before.
+    """
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_if_present(spark: SparkSession, path: str):
     """The Parquet table at ``path``, or None when there is none (yet)."""
     try:
