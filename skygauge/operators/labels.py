@@ -81,12 +81,22 @@ def label_flood(df: DataFrame, method="exact", fill=True, nulls="false", limits:
     return joined.withColumn("wetness_flag", wet).withColumn("flood_proxy", proxy.cast("bigint")).drop("_block")
 
 
+ALL_SPECS = {**HEAT_SPEC, **flood_spec("RH_2m_filled")}
+
+
+def label_base(df: DataFrame) -> DataFrame:
+    """Temperature, rain sums and filled humidity in blocks: what both labels are made from.
+
+    Landed, because the sketch, the counting pass, the labels and the run summaries all read it.
+    """
+    filled = fill_humidity(add_rain_sums(df.select("District", "Date", "MaxTemp_2m", "Precip", "RH_2m")))
+    return landed(filled.drop("Precip", "RH_2m"), "label_base")
+
+
 def hazard_labels(df: DataFrame, method="exact", min_run=3) -> DataFrame:
     """Both labels, the heat run and the wetness flag per (District, Date); all thresholds in one pass."""
-    filled = fill_humidity(add_rain_sums(df.select("District", "Date", "MaxTemp_2m", "Precip", "RH_2m")))
-    # Read by the sketch, the counting pass, the labels and the run summaries: landed once.
-    base = landed(filled.drop("Precip", "RH_2m"), "label_base")
-    limits = landed(thresholds(base, {**HEAT_SPEC, **flood_spec("RH_2m_filled")}, method), "label_limits")
+    base = label_base(df)
+    limits = landed(thresholds(base, ALL_SPECS, method), "label_limits")
     joined = per_block(base, limits)
     rainy = (F.col("precip_1d") > F.col("precip_p99")) | (F.col("precip_3d_sum") > F.col("precip3_p98"))
     wet = F.col("RH_2m_filled") > F.col("rh_p90")

@@ -13,13 +13,6 @@ def round_limits(df):
     return df.select(*[F.round(c, 9).alias(c) if c != "District" else F.col(c) for c in df.columns])
 
 
-ALL_LIMITS = {**L.HEAT_SPEC, **L.flood_spec("RH_2m_filled")}
-
-
-def _filled(spark, folder):
-    return L.fill_humidity(L.add_rain_sums(obs(spark, folder).select("District", "Date", "MaxTemp_2m", "Precip", "RH_2m")))
-
-
 @query("ffill_bfill", "SELECT District, Date, RH_2m, RH_2m_filled FROM filled", "filled")
 def ffill_bfill(spark, folder):
     return L.fill_humidity(in_blocks(obs(spark, folder).select("District", "Date", "RH_2m"))).drop("_block")
@@ -28,13 +21,13 @@ def ffill_bfill(spark, folder):
 @query("thresholds_exact", """SELECT District, round(temp_p95, 9) AS temp_p95, round(precip_p99, 9) AS precip_p99,
   round(precip3_p98, 9) AS precip3_p98, round(rh_p90, 9) AS rh_p90 FROM limits""", "limits")
 def thresholds_exact(spark, folder):
-    return round_limits(L.thresholds(_filled(spark, folder), ALL_LIMITS, "exact"))
+    return round_limits(L.thresholds(L.label_base(obs(spark, folder)), L.ALL_SPECS, "exact"))
 
 
 @query("thresholds_approx", """SELECT District, quantile_disc(MaxTemp_2m, 0.95) AS temp_p95, quantile_disc(precip_1d, 0.99) AS precip_p99,
   quantile_disc(precip_3d_sum, 0.98) AS precip3_p98, quantile_disc(RH_2m_filled, 0.90) AS rh_p90 FROM filled GROUP BY District""", "filled")
 def thresholds_approx(spark, folder):
-    return L.thresholds(_filled(spark, folder), ALL_LIMITS, "approx")
+    return L.thresholds(L.label_base(obs(spark, folder)), L.ALL_SPECS, "approx")
 
 
 @query("heat_runs", "SELECT District, Date, heat_exceed, CAST(heat_run AS BIGINT) AS heat_run, heat_run >= 3 AS in_heatwave FROM runs", "runs")
