@@ -1,6 +1,7 @@
 """Window features, runs and fills against plain Python, on histories that cross many years."""
 
 import random
+import re
 from datetime import date
 
 import pytest
@@ -148,8 +149,8 @@ def test_windows_never_gather_a_whole_district(panel, values):
     """Row windows run per (District, block); only block summaries are scanned per District."""
     plan = X.build_features(panel(values))._jdf.queryExecution().optimizedPlan().toString()
     assert "Python" not in plan
-    windows = [line for line in plan.splitlines() if "Window [" in line]
-    assert sum("AS precip_3d" in line or "_we" in line for line in windows) <= 2
-    for line in windows:
-        if "_block" not in line.rsplit("[", 2)[-2]:  # partition columns
-            assert "_n#" in line or "_start#" in line, line
+    for line in plan.splitlines():
+        if "Window [" in line:
+            partition = re.findall(r"\[([^\[\]]*)\]", line)[-2]
+            summaries = "sum(_n#" in line or "collect_list(struct(_block" in line
+            assert "District" in partition and ("_block" in partition or summaries), line
