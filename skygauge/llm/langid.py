@@ -14,7 +14,6 @@ learned language every text is ``und``. Equal sizes go to the language first by
 answered one by one. ``predict`` keeps extra columns unless an output column has their name (``prefix`` avoids that).
 """
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skygauge.llm import common
+from skygauge.llm import common, words
 
 UNKNOWN = "und"
 DICTIONARY_BYTES = 256 << 10
@@ -37,11 +36,8 @@ FULL_MARGIN = 0.10
 OUT = (("lang_pred", T.StringType()), ("score", T.DoubleType()), ("margin", T.DoubleType()), ("rejected", T.BooleanType()))
 
 
-NOT_LETTERS = re.compile(r"[\W\d_]+")
-
-
 def letters(text: str) -> bytes:
-    return NOT_LETTERS.sub(" ", text.lower()).encode("utf-8", "replace")
+    return b" ".join(words.split(text))
 
 
 def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, dictionary_bytes: int = DICTIONARY_BYTES) -> dict[str, bytes]:
