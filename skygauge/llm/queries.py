@@ -1,11 +1,14 @@
 """Named queries of the corpus operators, and SQL that states their results where SQL can."""
 
-from skygauge.llm import langid, quality, toxicity
+from skygauge.llm import chat, langid, quality, toxicity
 
 QUERIES = {
     "op1_language_id": langid.op1,
+    "op4_chat": chat.op4,
     "op8_quality": quality.op8,
     "op9_toxicity": toxicity.op9,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_chat": chat.ORACLE,
+}
