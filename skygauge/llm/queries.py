@@ -1,16 +1,18 @@
 """Named queries of the corpus operators, and SQL that states their results where SQL can."""
 
-from skygauge.llm import chat, langid, packing, pieces, quality, toxicity
+from skygauge.llm import chat, langid, minhash, packing, pieces, quality, toxicity
 
 QUERIES = {
     "op1_language_id": langid.op1,
     "op2_packing": packing.op2,
     "op4_chat": chat.op4,
     "op5_sentencepiece": pieces.op5,
+    "op6_minhash": minhash.op6,
     "op8_quality": quality.op8,
     "op9_toxicity": toxicity.op9,
 }
 
 ORACLES: dict[str, str] = {
     "op4_chat": chat.ORACLE,
+    "op6_minhash": minhash.ORACLE,
 }
