@@ -1,6 +1,6 @@
 """Named queries of the corpus operators, and SQL that states their results where SQL can."""
 
-from skygauge.llm import chat, langid, minhash, packing, pieces, quality, toxicity
+from skygauge.llm import chat, embdedup, langid, minhash, packing, pieces, quality, toxicity
 
 QUERIES = {
     "op1_language_id": langid.op1,
@@ -10,9 +10,11 @@ QUERIES = {
     "op6_minhash": minhash.op6,
     "op8_quality": quality.op8,
     "op9_toxicity": toxicity.op9,
+    "op10_embedding_dedup": embdedup.op10,
 }
 
 ORACLES: dict[str, str] = {
     "op4_chat": chat.ORACLE,
     "op6_minhash": minhash.ORACLE,
+    "op10_embedding_dedup": embdedup.ORACLE,
 }
