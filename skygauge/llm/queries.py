@@ -1,6 +1,6 @@
 """Named queries of the corpus operators, and SQL that states their results where SQL can."""
 
-from skygauge.llm import chat, embdedup, langid, minhash, packing, pieces, quality, toxicity
+from skygauge.llm import ann, chat, embdedup, langid, minhash, packing, pieces, quality, toxicity
 
 QUERIES = {
     "op1_language_id": langid.op1,
@@ -8,6 +8,7 @@ QUERIES = {
     "op4_chat": chat.op4,
     "op5_sentencepiece": pieces.op5,
     "op6_minhash": minhash.op6,
+    "op7_nearest": ann.op7,
     "op8_quality": quality.op8,
     "op9_toxicity": toxicity.op9,
     "op10_embedding_dedup": embdedup.op10,
