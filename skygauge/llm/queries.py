@@ -1,10 +1,11 @@
 """Named queries of the corpus operators, and SQL that states their results where SQL can."""
 
-from skygauge.llm import ann, chat, embdedup, langid, minhash, packing, pieces, quality, toxicity
+from skygauge.llm import ann, chat, embdedup, langid, minhash, packing, pieces, quality, suffix, toxicity
 
 QUERIES = {
     "op1_language_id": langid.op1,
     "op2_packing": packing.op2,
+    "op3_suffix_dedup": suffix.op3,
     "op4_chat": chat.op4,
     "op5_sentencepiece": pieces.op5,
     "op6_minhash": minhash.op6,
