@@ -11,7 +11,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from skygauge.functions.calendar import calendar_terms
-from skygauge.operators.blocks import block_window, own_rows, with_lookback
+from skygauge.operators.blocks import block_window, in_blocks, own_rows, with_lookback
 
 LAGS = (1, 2, 3, 7, 14)
 DECAY = 0.8
@@ -41,60 +41,74 @@ def lag_columns(w) -> dict:
     }
 
 
-def decay_lookback(decay: float) -> int:
-    """Rows after which a term's weight is below 1e-17, i.e. lost in double precision."""
-    return math.ceil(math.log(1e-17) / math.log(decay))
+#: rows of one stretch of the antecedent rain index; the scale decay^-i stays finite within it
+STRETCH = 256
 
 
-def api_column(w, decay: float = DECAY) -> Column:
-    """s[t] = decay * s[t-1] + rain[t].
+def _stretch(decay: float) -> int:
+    return max(1, min(STRETCH, math.floor(200 / -math.log10(decay))))
 
-    A running sum of rain scaled by decay^-i, scaled back: a block and its lead-in are too short
-    for the scale to overflow. A strong decay forgets so fast that the few terms are added up.
+
+def _underflow(decay: float) -> int:
+    """Rows after which a term's weight is below the smallest double: leaving it out changes nothing."""
+    return math.ceil(746 / -math.log(decay))
+
+
+def with_api(blocked: DataFrame, decay: float = DECAY) -> DataFrame:
+    """Add API to rows that carry ``_block``: s[t] = decay * s[t-1] + rain[t] over the whole history.
+
+    Two levels: inside a stretch of a block a running sum of rain scaled by decay^-i, scaled back; between
+    stretches one row each with its own end value, scanned along the district, carries the state.
     """
+    if not 0 < decay < 1:
+        raise ValueError("decay lies between 0 and 1")
+    size = _stretch(decay)
+    at = F.row_number().over(block_window()) - 1
+    parts = W.partitionBy("District", "_block", "_part")
+    placed = blocked.withColumn("_at", at).withColumns({"_part": F.floor(F.col("_at") / size), "_i": F.col("_at") % size + 1})
     rain = F.coalesce("Precip", F.lit(0.0))
-    if decay_lookback(decay) <= 64:
-        terms = [F.coalesce(F.lag(rain, k).over(w), F.lit(0.0)) * decay ** k for k in range(1, decay_lookback(decay) + 1)]
-        return F.round(sum(terms, rain), API_DIGITS)
-    i = F.row_number().over(w)
-    running = F.sum(rain * F.pow(F.lit(decay), -i)).over(w.rowsBetween(W.unboundedPreceding, 0))
-    return F.round(F.pow(F.lit(decay), i) * running, API_DIGITS)
+    running = F.sum(rain * F.pow(F.lit(decay), -F.col("_i"))).over(parts.orderBy("Date").rowsBetween(W.unboundedPreceding, 0))
+    local = placed.withColumn("_local", F.pow(F.lit(decay), F.col("_i")) * running)
+    ends = local.groupBy("District", "_block", "_part").agg(F.count(F.lit(1)).alias("_n"), F.max_by("_local", "_i").alias("_end"))
+    before = W.partitionBy("District").orderBy("_block", "_part").rowsBetween(-_underflow(decay), -1)  # every stretch has a row
+    carried = ends.select("District", "_block", "_part", F.aggregate(
+        F.collect_list(F.struct("_n", "_end")).over(before), F.lit(0.0), lambda s, x: s * F.pow(F.lit(decay), x["_n"]) + x["_end"]).alias("_carry"))
+    return local.join(carried, ["District", "_block", "_part"]).withColumn(
+        "API", F.round(F.col("_local") + F.pow(F.lit(decay), F.col("_i")) * F.col("_carry"), API_DIGITS)).drop("_at", "_part", "_i", "_local", "_carry")
 
 
 PANEL_VALUES = ["Precip", "MaxTemp_2m", "TempRange_2m"]
 
 
-def _in_blocks(df: DataFrame, lookback: int, columns, values=None) -> DataFrame:
-    """Add window columns computed per district and year instead of per district."""
+def _in_blocks(df: DataFrame, lookback: int, columns, values=None, block: Column | None = None, keep_block=False) -> DataFrame:
+    """Add window columns computed per district and block (a year, or ``block``) instead of per district."""
     values = [c for c in values or PANEL_VALUES if c in df.columns]
-    return own_rows(with_lookback(df, lookback, values).withColumns(columns(block_window())))
+    return own_rows(with_lookback(df, lookback, values, block=block).withColumns(columns(block_window())), keep_block)
 
 
-def add_rolling(df: DataFrame) -> DataFrame:
-    return _in_blocks(df, 6, rolling_columns)
+def add_rolling(df: DataFrame, block: Column | None = None) -> DataFrame:
+    return _in_blocks(df, 6, rolling_columns, block=block)
 
 
-def add_lags(df: DataFrame) -> DataFrame:
-    return _in_blocks(df, max(LAGS), lag_columns)
+def add_lags(df: DataFrame, block: Column | None = None) -> DataFrame:
+    return _in_blocks(df, max(LAGS), lag_columns, block=block)
 
 
-def add_api(df: DataFrame, decay: float = DECAY) -> DataFrame:
-    return _in_blocks(df, decay_lookback(decay), lambda w: {"API": api_column(w, decay)}, ["Precip"])
+def add_api(df: DataFrame, decay: float = DECAY, block: Column | None = None) -> DataFrame:
+    return with_api(in_blocks(df, block=block), decay).drop("_block")
 
 
 def add_rolling_calendar(df: DataFrame, days=(3, 7)) -> DataFrame:
     """Rain sums over calendar days instead of rows: exact when dates have gaps.
 
     Each row is copied into the month of every day that can see it, so a window holds one
-    (district, month) and its lead-in.
+    (district, month) and its lead-in, however far the frames reach.
     """
-    reach = max(days) - 1
-    if reach > 28:
-        raise ValueError("calendar frames reach back at most 28 days")
     day = F.unix_date("Date")
     home = F.trunc("Date", "month")
-    ahead = F.trunc(F.date_add("Date", reach), "month")
-    copied = df.withColumn("_block", F.explode(F.array_distinct(F.array(home, ahead)))).withColumn("_own", F.col("_block") == home)
+    ahead = F.trunc(F.date_add("Date", max(days) - 1), "month")
+    months = F.sequence(home, ahead, F.expr("interval 1 month"))
+    copied = df.withColumn("_block", F.explode(months)).withColumn("_own", F.col("_block") == home)
     w = W.partitionBy("District", "_block").orderBy(day)
     return own_rows(copied.withColumns({
         f"precip_{n}cd": F.round(F.sum("Precip").over(w.rangeBetween(1 - n, 0)), DIGITS) for n in days
@@ -121,11 +135,10 @@ def add_anomaly(df: DataFrame, clim: DataFrame | None = None) -> DataFrame:
     )
 
 
-def build_features(df: DataFrame, decay: float = DECAY) -> DataFrame:
-    """All features in one window pass, then the climatology join. Keeps every input column."""
-    rolled = _in_blocks(
-        df, max(decay_lookback(decay), *LAGS), lambda w: {**rolling_columns(w), **lag_columns(w), "API": api_column(w, decay)})
-    return add_anomaly(add_time_features(rolled), climatology(df))
+def build_features(df: DataFrame, decay: float = DECAY, block: Column | None = None) -> DataFrame:
+    """All features in one window pass, the antecedent rain, then the climatology join. Keeps every input column."""
+    rolled = _in_blocks(df, max(LAGS), lambda w: {**rolling_columns(w), **lag_columns(w)}, block=block, keep_block=True)
+    return add_anomaly(add_time_features(with_api(rolled, decay).drop("_block")), climatology(df))
 
 
 # Constants of the two single-observation rows.

@@ -22,10 +22,17 @@ def hot_days(df: DataFrame, district: str, year: int, above=40.0) -> DataFrame:
 
 
 def latest_per(df: DataFrame, keys: list, time: str, tie: str | None = None) -> DataFrame:
-    """The newest row per group as an aggregate: combines before the shuffle, so hot groups are cheap."""
-    rest = [c for c in df.columns if c not in keys]
-    order = F.col(time) if tie is None else F.struct(time, tie)
-    return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_row")).select(*keys, "_row.*").select(*df.columns)
+    """The newest row per group as an aggregate: combines before the shuffle, so hot groups are cheap.
+
+    Of rows with equal times the one with the smallest ``tie`` stays, as in :func:`newest`.
+    """
+    rest = F.struct(*[c for c in df.columns if c not in keys])
+    at = F.col(time)
+    if tie is None:
+        return df.groupBy(*keys).agg(F.max_by(rest, at).alias("_row")).select(*keys, "_row.*").select(*df.columns)
+    # per time the smallest tie, then the newest time: both steps combine before the shuffle
+    per_time = df.groupBy(*keys, at.alias("_time")).agg(F.min_by(rest, tie).alias("_row"))
+    return per_time.groupBy(*keys).agg(F.max_by("_row", "_time").alias("_row")).select(*keys, "_row.*").select(*df.columns)
 
 
 def top_per_district(df: DataFrame, time: str, limit: int, share=5, tie=()) -> DataFrame:

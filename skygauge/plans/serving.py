@@ -36,7 +36,7 @@ def hot_days(spark, folder):
     return V.hot_days(obs(spark, folder), "NATION_7", 1998).select("Date", "MaxTemp_2m", "District")
 
 
-@query("latest_per_district", "SELECT id, District, fetch_time, max_temp, precipitation FROM (SELECT *, row_number() OVER (PARTITION BY District ORDER BY fetch_time DESC, id DESC) AS rn FROM station_events) WHERE rn = 1", "station_events")
+@query("latest_per_district", "SELECT id, District, fetch_time, max_temp, precipitation FROM (SELECT *, row_number() OVER (PARTITION BY District ORDER BY fetch_time DESC, id) AS rn FROM station_events) WHERE rn = 1", "station_events")
 def latest_per_district(spark, folder):
     return V.latest_per(station_events(spark, folder).select("id", "District", "fetch_time", "max_temp", "precipitation"), ["District"], "fetch_time", "id")
 
@@ -76,12 +76,12 @@ def recent_100_summary(spark, folder):
 
 
 @query("latest_model", """WITH g AS (SELECT model, target, concat('models/', model, '_', target, '/', CAST(Date AS VARCHAR)) AS path, CAST(Date AS TIMESTAMP) AS saved_at, max(probability) AS best
-  FROM predictions WHERE day(Date) = 1 GROUP BY 1, 2, 3, 4)
-SELECT model, target, path, saved_at, best FROM (SELECT *, row_number() OVER (PARTITION BY model, target ORDER BY saved_at DESC, path DESC) AS rn FROM g) WHERE rn = 1""", "predictions")
+  FROM predictions GROUP BY 1, 2, 3, 4)
+SELECT model, target, path, saved_at, best FROM (SELECT *, row_number() OVER (PARTITION BY model, target ORDER BY saved_at DESC, path) AS rn FROM g) WHERE rn = 1""", "predictions")
 def latest_model(spark, folder):
-    """A registry with one saved model per first of the month."""
+    """A registry with one saved model per day."""
     day = F.col("Date")
-    registry = predictions(spark, folder).filter(F.dayofmonth(day) == 1).groupBy(
+    registry = predictions(spark, folder).groupBy(
         "model", "target", F.concat(F.lit("models/"), "model", F.lit("_"), "target", F.lit("/"), day.cast("string")).alias("path"),
         day.cast("timestamp_ntz").alias("saved_at")).agg(F.max("probability").alias("best"))
     return V.latest_model(registry)

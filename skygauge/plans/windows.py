@@ -22,7 +22,7 @@ LAG_SQL = ", ".join(f"lag({c}, {k}) {ORD} AS {n}_lag_{k}" for k in X.LAGS for n,
 ROLL_SQL = f"""round(sum(Precip) {W3}, 9) AS precip_3d, round(sum(Precip) {W7}, 9) AS precip_7d,
   round(avg(MaxTemp_2m) {W3}, 9) AS maxT_3d_mean, max(TempRange_2m) {W3} AS temp_range_3d_max"""
 API_SQL = """round(list_reduce(list(coalesce(Precip, CAST(0 AS DOUBLE)))
-  OVER (PARTITION BY District ORDER BY Date ROWS BETWEEN 180 PRECEDING AND CURRENT ROW),
+  OVER (PARTITION BY District ORDER BY Date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
   lambda s, x: CAST(0.8 AS DOUBLE) * s + x), 6) AS API"""
 CLIM_SQL = "SELECT District, CAST(dayofyear(Date) AS BIGINT) AS doy, median(MaxTemp_2m) AS clim_maxT, median(Precip) AS clim_precip FROM obs GROUP BY 1, 2"
 

@@ -3,16 +3,20 @@
 from pyspark.sql import DataFrame, SparkSession
 
 
-def topic_stream(spark: SparkSession, servers: str, topic: str, starting="latest", max_per_trigger=100, min_per_trigger=None, max_delay="10s") -> DataFrame:
-    """Topic rows (key, value, partition, offset, timestamp), at most ``max_per_trigger`` per batch.
+def topic_stream(spark: SparkSession, servers: str, topic: str, starting="earliest", max_per_trigger: int | None = None, min_per_trigger=None, max_delay="10s") -> DataFrame:
+    """Topic rows (key, value, partition, offset, timestamp), from the first message on.
+
+    ``max_per_trigger`` bounds a batch; nothing is skipped, the rest waits for the next.
 
     With ``min_per_trigger`` a batch also waits until that many rows or ``max_delay`` have come,
     i.e. batches by size or elapsed time. Needs the Kafka connector on the class path.
     """
     reader = (
         spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
-        .option("startingOffsets", starting).option("maxOffsetsPerTrigger", max_per_trigger)
+        .option("startingOffsets", starting)
     )
+    if max_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", max_per_trigger)
     if min_per_trigger:
         reader = reader.option("minOffsetsPerTrigger", min_per_trigger).option("maxTriggerDelay", max_delay)
     return reader.load()
