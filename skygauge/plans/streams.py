@@ -42,20 +42,26 @@ def event_parts(spark, folder):
 LANDED_SQL = "SELECT id AS kafka_offset, District, Date, MaxTemp_2m, Precip FROM messages WHERE id % 97 <> 0 AND id % 89 <> 0"
 
 
-@query("stream_land", """SELECT kafka_offset, kafka_partition, District, Date, count(*) OVER () AS landed FROM (
-  SELECT id AS kafka_offset, id % 4 AS kafka_partition, 'S' || (id % 5) AS District, DATE '2024-01-01' + CAST(id % 30 AS INTEGER) AS Date FROM station_events WHERE id % 97 <> 0)""", "station_events")
+@query("stream_land", """SELECT id AS kafka_offset, id % 4 AS kafka_partition, CASE WHEN id % 97 <> 0 THEN 'S' || (id % 5) END AS District,
+  CASE WHEN id % 97 <> 0 THEN DATE '2024-01-01' + CAST(id % 30 AS INTEGER) END AS Date, id % 97 <> 0 AS landed,
+  count(*) FILTER (WHERE id % 97 <> 0) OVER () AS n_landed, count(*) FILTER (WHERE id % 97 = 0) OVER () AS n_rejected, count(*) OVER () AS n_sent FROM station_events""", "station_events")
 def stream_land(spark, folder):
-    """Sub-daily messages land under 30 dates and 5 districts; every 97th text is cut off."""
+    """Sub-daily messages land under 30 dates and 5 districts; every 97th text is cut off and goes to the rejected ones."""
     i = F.col("id")
     body = F.to_json(F.struct(
         F.concat(F.lit("S"), (i % 5).cast("string")).alias("District"),
-        F.date_add(F.lit("2024-01-01").cast("date"), (i % 30).cast("int")).cast("string").alias("Date"), F.col("max_temp").alias("MaxTemp_2m")))
+        F.date_add(F.lit("2024-01-01").cast("date"), (i % 30).cast("int")).cast("string").alias("Date"), F.col("max_temp").alias("MaxTemp_2m"),
+        F.col("min_temp").alias("MinTemp_2m"), F.col("precipitation").alias("Precip"), F.col("humidity").alias("RH_2m"),
+        F.col("fetch_time").cast("string").alias("timestamp"), F.col("source").alias("source")))
     topic = station_events(spark, folder).select(
         F.col("District").alias("key"), F.when(i % 97 == 0, F.lit('{"District": "S')).otherwise(body).alias("value"),
         (i % 4).alias("partition"), i.alias("offset"), F.col("fetch_time").alias("timestamp"))
     sink = drain(spark, "land", thirds(topic, "offset", 1_000, 2_000), lambda s, p, c: sinks.land(s, p, c, sinks.ONCE))
-    rows = spark.read.parquet(sink)
-    return rows.select("kafka_offset", "kafka_partition", "District", "Date").withColumn("landed", rows.agg(F.count(F.lit(1))).scalar())
+    rows, bad = spark.read.parquet(f"{sink}/rows"), spark.read.parquet(f"{sink}/rejected")
+    every = rows.select("kafka_offset", "kafka_partition", "District", "Date", F.lit(True).alias("landed")).unionByName(
+        bad.select("kafka_offset", "kafka_partition", F.lit(None).cast("string").alias("District"), F.lit(None).cast("date").alias("Date"), F.lit(False).alias("landed")))
+    n = every.agg(F.struct(F.count_if("landed").alias("a"), F.count_if(~F.col("landed")).alias("b"), F.count(F.lit(1)).alias("c"))).scalar()
+    return every.withColumns({"n_landed": n["a"], "n_rejected": n["b"], "n_sent": n["c"]})
 
 
 @query("bounded_ingest", LANDED_SQL, "messages")

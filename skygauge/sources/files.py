@@ -8,27 +8,58 @@ from skygauge.schemas import OBSERVATION
 
 
 def typed(df: DataFrame, schema=OBSERVATION) -> DataFrame:
-    """Cast the columns the schema names; other columns stay as they are."""
+    """Cast the columns the schema names; other columns stay as they are. :func:`uncastable` has what becomes null."""
     types = {f.name: f.dataType for f in schema.fields}
     return df.select(*[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
 
 
+def uncastable(df: DataFrame, schema=OBSERVATION) -> DataFrame:
+    """The text rows with a value that :func:`typed` can't read, and ``rejected``: the names of those columns."""
+    bad = [
+        F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), F.lit(f.name))
+        for f in schema.fields if f.name in df.columns
+    ]
+    rows = df.withColumn("rejected", F.array_compact(F.array(*bad)) if bad else F.array().cast("array<string>"))
+    return rows.filter(F.size("rejected") > 0)
+
+
+def read_csv_text(spark: SparkSession, path) -> DataFrame:
+    """CSV files with a header each, all columns as text, matched by name.
+
+    Files may order their columns differently, lack some or have more: the files are grouped by their header
+    line, each group is read by its own header, and missing columns are null. ``_file`` is the file.
+    The headers are the only lines that come to the driver, one for each different header.
+    """
+    lines = spark.read.option("recursiveFileLookup", True).text(path).select(
+        F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("file"), "value", F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("n"))
+    first = lines.filter("at = 0").groupBy("file").agg(F.min_by("value", "n").alias("header"))
+    layouts = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
+    if not layouts:
+        return spark.read.option("header", True).option("recursiveFileLookup", True).csv(path).withColumn("_file", F.lit(None).cast("string"))
+    parts = [
+        clean_columns(spark.read.option("header", True).csv(row.files).withColumn("_file", F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))))
+        for row in layouts
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
 def read_csv(spark: SparkSession, path, schema=OBSERVATION) -> DataFrame:
     """CSV with a header. Types come from the schema by column name: no pass to infer them."""
-    return typed(clean_columns(spark.read.option("header", True).csv(path)), schema)
+    return typed(read_csv_text(spark, path).drop("_file"), schema)
 
 
 def read_station_folder(spark: SparkSession, path, name_pattern=r"([^/]+)\.csv$", schema=OBSERVATION) -> DataFrame:
     """A folder of CSVs, one district per file: adds District from the file name and a station id.
 
-    Stations are numbered WS-001, WS-002, ... in the order of their names.
+    Stations are numbered WS-001, WS-002, ... in the order of their names, which come from the listing, not from the rows.
     """
-    raw = clean_columns(
-        spark.read.option("header", True).option("recursiveFileLookup", True).csv(path)
-        .withColumn("_file", F.url_decode(F.col("_metadata.file_path")))
-    )
-    rows = raw.withColumn("District", F.regexp_extract("_file", name_pattern, 1)).drop("_file")
-    names = positions(rows.select("District").distinct(), ["District"], "_n")
+    rows = read_csv_text(spark, path).withColumn("District", F.regexp_extract("_file", name_pattern, 1)).drop("_file")
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(
+        F.regexp_extract(F.url_decode(F.replace(F.col("path"), F.lit("+"), F.lit("%2B"))), name_pattern, 1).alias("District"))
+    names = positions(listed.filter("District <> ''").distinct(), ["District"], "_n")
     stations = names.select("District", F.format_string("WS-%03d", "_n").alias("station_id"))
     return typed(rows.join(stations, "District"), schema)
 

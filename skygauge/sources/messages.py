@@ -40,8 +40,9 @@ def accepted(parsed: DataFrame) -> DataFrame:
 
 
 def quarantined(parsed: DataFrame) -> DataFrame:
-    """Messages that cannot be landed, with their text kept for repair."""
-    return parsed.filter(~F.coalesce(_landable(), F.lit(False))).select("kafka_key", "raw_value")
+    """Messages that cannot be landed, with their text and where they came from kept for repair."""
+    source = [n for n in SOURCE_COLUMNS.values() if n in parsed.columns]
+    return parsed.filter(~F.coalesce(_landable(), F.lit(False))).select("kafka_key", *source, "raw_value")
 
 
 def _missing_or_zero(c: str, fallback: Column) -> Column:

@@ -31,16 +31,22 @@ def upsert(updates: DataFrame, path: str, key: list, newest: list, by: list, tim
     """Insert or overwrite rows by primary key; only partitions touched by ``updates`` are rewritten.
 
     Rows inside a partition are sorted by ``time``, newest first. The partition columns must be
-    functions of the key.
+    functions of the key. Only the updates are reduced to one row per key; stored rows, unique already, are joined with them.
     """
     spark = updates.sparkSession
-    current = read_if_present(spark, path)
-    merged = updates
-    if current is not None:
-        touched = updates.select(*by).distinct()
-        merged = current.join(touched, by, "left_semi").unionByName(updates)
-    latest = newest_per_key(merged, key, newest)
-    (
-        latest.hint("rebalance", *by).sortWithinPartitions(*by, F.desc(time))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
-    )
+    kept = updates.persist()  # read for its partitions, its keys and its rows: computed once
+    try:
+        latest = newest_per_key(kept, key, newest)
+        current = read_if_present(spark, path)
+        if current is not None:
+            here = current.join(kept.select(*by).distinct(), by, "left_semi")
+            incoming = latest.select(*key, F.struct(*newest).alias("_new"))
+            old = here.join(incoming, key, "left").filter(F.col("_new").isNull() | (F.struct(*newest) > F.col("_new"))).drop("_new")
+            ahead = here.select(*key, F.struct(*newest).alias("_old"))
+            latest = latest.join(ahead, key, "left").filter(F.col("_old").isNull() | (F.col("_old") <= F.struct(*newest))).drop("_old").unionByName(old)
+        (
+            latest.hint("rebalance", *by).sortWithinPartitions(*by, F.desc(time))
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+        )
+    finally:
+        kept.unpersist()

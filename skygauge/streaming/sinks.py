@@ -14,6 +14,7 @@ from skygauge.functions import rules
 from skygauge.operators import serving, summaries
 from skygauge.sources.messages import accepted, event_date, parse_messages, quarantined
 from skygauge.sources.zones import newest_per_key, replace_partitions, upsert
+from skygauge.store import read_if_present
 
 ONCE = {"availableNow": True}
 EVERY_10S = {"processingTime": "10 seconds"}
@@ -23,46 +24,55 @@ def _batches(stream: DataFrame, checkpoint: str, trigger: dict, mode: str, batch
     return stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(**trigger).foreachBatch(batch).start()
 
 
-def land(raw: DataFrame, path: str, checkpoint: str, trigger=EVERY_10S, dedupe: str | None = None) -> StreamingQuery:
-    """Topic rows to Parquet under Date and District, with the ingestion time.
+def _log(spark, path, number, records, rejected, status, seconds):
+    """One line for a batch: how many rows, how it ended, rows a second."""
+    row = [("topic", records, rejected, status, int(1000 * seconds), (records + rejected) / seconds if seconds > 0 else None, number)]
+    line = spark.createDataFrame(row, "source string, records long, rejected long, status string, duration_ms long, rows_per_second double, batch_id int")
+    replace_partitions(line, f"{path}/log", ["batch_id"])
 
-    ``dedupe`` is a watermark delay: messages equal in district, date and sent time that arrive
-    within it are landed once.
-    """
-    rows = accepted(parse_messages(raw)).withColumn("Date", event_date(F.col("Date")))
-    if dedupe:
-        rows = (
-            rows.withColumn("sent_at", F.try_to_timestamp(F.col("timestamp"))).withWatermark("sent_at", dedupe)
-            .dropDuplicatesWithinWatermark(["District", "Date", "sent_at"])
-        )
-    rows = rows.withColumn("ingestion_time", F.current_timestamp())
-    return (
-        rows.writeStream.format("parquet").outputMode("append").option("path", path).option("checkpointLocation", checkpoint)
-        .partitionBy("Date", "District").trigger(**trigger).start()
-    )
 
+def land(raw: DataFrame, path: str, checkpoint: str, trigger=EVERY_10S, by=("Date", "District"), dedupe: bool = False, expect=None) -> StreamingQuery:
+    """Topic rows to ``path/rows`` under ``by`` and the batch number, with the ingestion time; messages that can't be
+    read, or lack a required field, to ``path/rejected``; one line per batch to ``path/log``.
 
-def land_batches(raw: DataFrame, path: str, checkpoint: str, trigger=EVERY_10S) -> StreamingQuery:
-    """Topic rows to ``path/rows`` and ``path/rejected`` by batch number, and one line per batch
-    to ``path/log``: source, records, rejected, status and duration."""
+    Every message is in one of the two tables. With ``dedupe`` messages equal in district, date and sent time are landed once,
+    however late they come: the batch is compared with what the touched dates hold. ``expect`` is called with the parsed batch
+    before it is written and may raise. A batch that fails leaves a line with its error and stops the query; run again, it
+    replaces its own rows and its line.
+    """
     def batch(df, number):
-        started = time.monotonic()
+        started, spark = time.monotonic(), df.sparkSession
         parsed = parse_messages(df).persist()
         try:
+            if expect:
+                expect(parsed)
             good = accepted(parsed).withColumn("Date", event_date(F.col("Date")))
-            stamped = good.withColumn("ingestion_time", F.current_timestamp()).withColumn("batch_id", F.lit(number))
-            replace_partitions(stamped, f"{path}/rows", ["batch_id"])
-            replace_partitions(quarantined(parsed).withColumn("batch_id", F.lit(number)), f"{path}/rejected", ["batch_id"])
-            log = good.agg(F.count(F.lit(1)).alias("records")).select(
-                F.lit("topic").alias("source"), "records",
-                quarantined(parsed).agg(F.count(F.lit(1))).scalar().alias("rejected"), F.lit("success").alias("status"),
-                F.lit(int(1000 * (time.monotonic() - started))).alias("duration_ms"), F.lit(number).alias("batch_id"))
-            replace_partitions(log, f"{path}/log", ["batch_id"])
+            if dedupe:
+                same = ["District", "Date", "timestamp"]
+                good = good.dropDuplicates(same)
+                held = read_if_present(spark, f"{path}/rows")
+                if held is not None:
+                    good = good.join(held.filter(F.col("batch_id") != number).select(*same), same, "left_anti")
+            stamped = good.withColumn("ingestion_time", F.current_timestamp()).withColumn("batch_id", F.lit(number)).persist()
+            bad = quarantined(parsed)
+            replace_partitions(stamped, f"{path}/rows", [*by, "batch_id"])
+            replace_partitions(bad.withColumn("batch_id", F.lit(number)), f"{path}/rejected", ["batch_id"])
+            records, rejected = stamped.count(), bad.count()
+            stamped.unpersist()
+            _log(spark, path, number, records, rejected, "success", time.monotonic() - started)
+        except Exception as err:
+            _log(spark, path, number, 0, 0, f"failed: {type(err).__name__}", time.monotonic() - started)
+            raise
         finally:
             parsed.unpersist()
     return _batches(raw, checkpoint, trigger, "append", batch)
 
 
+def land_batches(raw: DataFrame, path: str, checkpoint: str, trigger=EVERY_10S) -> StreamingQuery:
+    """:func:`land` by batch number alone."""
+    return land(raw, path, checkpoint, trigger, by=())
+
+
 def score_messages(events: DataFrame, path: str, checkpoint: str, trigger=EVERY_10S) -> StreamingQuery:
     """Observations and their rule predictions to two tables from one read of each batch."""
     def batch(df, number):
@@ -94,8 +104,8 @@ def raise_alerts(events: DataFrame, path: str, checkpoint: str, trigger=EVERY_10
 def hourly(events: DataFrame, path: str, checkpoint: str, trigger=EVERY_10S, late="1 day") -> StreamingQuery:
     """Hourly statistics per district, upserted into a table partitioned by day.
 
-    Open hours are updated as they change, so only the days of changed hours are rewritten; rows
-    more than ``late`` behind the newest are dropped.
+    Open hours are updated as they change, so only the days of changed hours are rewritten. The state is bounded by ``late``: rows
+    further behind the newest are not counted in, and :func:`late_rows` says how many there were.
     """
     timed = events.withColumn("fetch_time", F.col("fetch_time").cast("timestamp")).withWatermark("fetch_time", late)
     grouped = timed.groupBy("District", F.window("fetch_time", "1 hour")).agg(
@@ -111,14 +121,21 @@ def hourly(events: DataFrame, path: str, checkpoint: str, trigger=EVERY_10S, lat
     return _batches(grouped, checkpoint, trigger, "update", batch)
 
 
+#: versions of a small table that are kept: a reader may still be in the last but one
+KEPT_VERSIONS = 4
+
+
 def _versions(stream: DataFrame, path: str, checkpoint: str, trigger: dict, reduce, mode="append") -> StreamingQuery:
     """Keep a small table up to date: version n = reduce(version n-1 and batch n).
 
-    The previous version is read by number, so a repeated batch starts from the same state.
+    Version n overwrites slot n modulo ``KEPT_VERSIONS``, so the folder never grows. The previous
+    version is read by number, so a repeated batch starts from the same state.
     """
     def batch(df, number):
-        rows = df if number == 0 else df.sparkSession.read.parquet(f"{path}/version={number - 1}").unionByName(df)
-        reduce(rows).write.mode("overwrite").parquet(f"{path}/version={number}")
+        spark = df.sparkSession
+        slot = lambda n: f"{path}/slot={n % KEPT_VERSIONS}"
+        rows = df if number == 0 else spark.read.parquet(slot(number - 1)).filter(F.col("version") == number - 1).drop("version").unionByName(df)
+        reduce(rows).withColumn("version", F.lit(number)).write.mode("overwrite").parquet(slot(number))
     return _batches(stream, checkpoint, trigger, mode, batch)
 
 
@@ -147,9 +164,14 @@ def latest_predictions(predictions: DataFrame, path: str, checkpoint: str, trigg
 
 
 def newest_version(spark, path: str) -> DataFrame:
-    """The last version written; partition values are read, not files."""
+    """The last version written."""
     versions = spark.read.parquet(path)
-    return versions.filter(F.col("version") == versions.agg(F.max("version")).scalar()).drop("version")
+    return versions.filter(F.col("version") == versions.agg(F.max("version")).scalar()).drop("version", "slot")
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that a query's recent batches left out because they were behind the watermark."""
+    return sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for op in p["stateOperators"])
 
 
 def batch_progress(query: StreamingQuery) -> list:

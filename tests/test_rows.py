@@ -191,3 +191,34 @@ def test_empty_inputs(spark):
     nothing = events(spark, ("A", "2024-01-01 00:00:00", 1.0, 1.0)).filter("false")
     assert A.alerts(nothing).count() == 0 and A.ingest_counter(nothing).count() == 0
     assert V.recent_summary(nothing, "fetch_time").first().records == 0
+
+
+def test_csv_columns_are_matched_by_name(spark, tmp_path):
+    from skygauge.sources.files import read_station_folder, read_csv_text, uncastable
+    (tmp_path / "North Hill.csv").write_text("Date,MaxTemp_2m,Precip\n2024-01-01,31.5,2\n2024-01-02,bad,3\n")
+    (tmp_path / "a+b.csv").write_text("Precip,Date,MaxTemp_2m\n2,2024-01-01,40\n")
+    (tmp_path / "c.csv").write_text("Date,RH_2m,Extra\n2024-01-01,55,x\n")
+    got = {(r.District, str(r.Date)): r for r in read_station_folder(spark, str(tmp_path)).collect()}
+    assert (got["North Hill", "2024-01-01"].MaxTemp_2m, got["North Hill", "2024-01-01"].Precip, got["North Hill", "2024-01-01"].station_id) == (31.5, 2.0, "WS-001")
+    assert (got["a+b", "2024-01-01"].MaxTemp_2m, got["a+b", "2024-01-01"].Precip, got["a+b", "2024-01-01"].station_id) == (40.0, 2.0, "WS-002")
+    assert (got["c", "2024-01-01"].MaxTemp_2m, got["c", "2024-01-01"].RH_2m, got["c", "2024-01-01"].Extra) == (None, 55.0, "x")
+    assert [(r.Date, r.rejected) for r in uncastable(read_csv_text(spark, str(tmp_path))).collect()] == [("2024-01-02", ["MaxTemp_2m"])]
+
+
+def test_equal_times_take_the_smallest_tie(spark):
+    from skygauge.operators.serving import latest_per, newest
+    rows = spark.createDataFrame([("A", 2, 5), ("A", 1, 5), ("A", 0, 4)], "District string, id bigint, t bigint")
+    assert latest_per(rows, ["District"], "t", "id").first().id == newest(rows, "t", 1, ["id"]).first().id == 1
+
+
+def test_antecedent_rain_of_a_dense_panel(spark):
+    from datetime import datetime, timedelta
+    from skygauge.operators.features import add_api
+    start = datetime(2023, 1, 1)
+    rain = [float((7 * i) % 11) if i % 5 else None for i in range(3000)]
+    df = spark.createDataFrame([("A", start + timedelta(hours=i), x) for i, x in enumerate(rain)], "District string, Date timestamp_ntz, Precip double")
+    for decay in (0.8, 0.999):
+        got, state = [r.API for r in add_api(df, decay).orderBy("Date").collect()], 0.0
+        for value, x in zip(got, rain):
+            state = decay * state + (x or 0.0)
+            assert value == pytest.approx(state, abs=2e-6)

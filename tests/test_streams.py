@@ -44,21 +44,65 @@ def test_landing_restarts_without_repeating(spark, tmp_path):
     query = f.run(sinks.land, max_files=1)
     assert len([p for p in query.recentProgress if p["numInputRows"]]) == 3
     f.run(sinks.land)
-    assert spark.read.parquet(f.sink).count() == 9
+    assert spark.read.parquet(f"{f.sink}/rows").count() == 9
     f.send([message(9)])
     f.run(sinks.land)
-    rows = spark.read.parquet(f.sink)
+    rows = spark.read.parquet(f"{f.sink}/rows")
     assert rows.count() == 10 and rows.filter("ingestion_time is null").count() == 0
-    assert len(list((tmp_path / "sink").glob("Date=2024-06-15/District=D*"))) == 2
+    assert len(list((tmp_path / "sink" / "rows").glob("Date=2024-06-15/District=D*"))) == 2
+    rejected = spark.read.parquet(f"{f.sink}/rejected")  # every message is landed or rejected
+    assert sorted(r.kafka_offset for r in rejected.collect()) == [90, 91, 92] and rejected.filter("raw_value = '{broken'").count() == 3
 
 
 def test_landing_drops_duplicates(spark, tmp_path):
     f = Feed(spark, tmp_path, TOPIC)
     f.send([message(1), message(1), message(2)])
-    f.run(sinks.land, dedupe="1 hour")
-    f.send([message(2)])
-    f.run(sinks.land, dedupe="1 hour")
-    assert spark.read.parquet(f.sink).count() == 2
+    f.run(sinks.land, dedupe=True)
+    f.send([message(2), message(3, timestamp="2020-01-01T00:00:00")])  # a repeat, and a message years late
+    f.run(sinks.land, dedupe=True)
+    assert spark.read.parquet(f"{f.sink}/rows").count() == 3
+
+
+def test_a_failing_batch_leaves_a_line_and_is_repeated(spark, tmp_path):
+    f = Feed(spark, tmp_path, TOPIC)
+    f.send([message(0), message(1)])
+
+    def refuse(parsed):
+        raise ValueError("store is down")
+    with pytest.raises(Exception, match="store is down"):
+        f.run(sinks.land, expect=refuse)
+    assert [(r.batch_id, r.status) for r in spark.read.parquet(f"{f.sink}/log").collect()] == [(0, "failed: ValueError")]
+    f.run(sinks.land)
+    line = spark.read.parquet(f"{f.sink}/log").first()
+    assert (line.batch_id, line.status, line.records, line.rejected) == (0, "success", 2, 0) and line.rows_per_second > 0
+    assert spark.read.parquet(f"{f.sink}/rows").count() == 2
+
+
+def test_small_tables_keep_a_few_versions(spark, tmp_path):
+    f = Feed(spark, tmp_path, EVENT)
+    for k in range(7):
+        f.send([event(k, k, 30.0 + k)])
+    f.run(sinks.running, max_files=1)
+    assert len(list((tmp_path / "sink").glob("slot=*"))) <= sinks.KEPT_VERSIONS
+    newest = sinks.newest_version(spark, f.sink).collect()
+    assert [(r.District, r.fetches, r.last_temp) for r in newest] == [("A", 7, 36.0)]
+
+
+def test_an_upserted_batch_is_computed_once(spark, tmp_path):
+    from skygauge.sources.zones import upsert
+    seen = spark.sparkContext.accumulator(0)
+
+    def tap(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+    schema = "k bigint, v bigint, part bigint"
+    upsert(spark.createDataFrame([(1, 1, 0), (2, 1, 0), (3, 1, 1)], schema), str(tmp_path / "t"), ["k", "part"], ["v"], ["part"], "v")
+    updates = spark.createDataFrame([(1, 2, 0), (4, 2, 0), (2, 0, 0)], schema).mapInArrow(tap, schema)
+    upsert(updates, str(tmp_path / "t"), ["k", "part"], ["v"], ["part"], "v")
+    assert seen.value == 3
+    got = sorted((r.k, r.v, r.part) for r in spark.read.parquet(str(tmp_path / "t")).collect())
+    assert got == [(1, 2, 0), (2, 1, 0), (3, 1, 1), (4, 2, 0)]  # an older version of key 2 does not replace the stored one
 
 
 def test_batch_log_and_quarantine(spark, tmp_path):
