@@ -2,7 +2,7 @@
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -126,17 +126,37 @@ def fit_trees(train: DataFrame, inputs: list, target: str, seed=42, **params) ->
     return Pipeline(stages=[VectorAssembler(inputCols=inputs, outputCol="features"), trees]).fit(rows)
 
 
-def fit_sequences(train: DataFrame, seed=42, max_iter=50, hidden: list | None = None) -> PipelineModel:
-    """Classifier over flattened sequences: logistic regression, or a perceptron with ``hidden`` layers."""
-    rows = flat_sequences(train).withColumn("label", F.col("label").cast("double"))
-    scale = StandardScaler(inputCol="flat", outputCol="features", withMean=True)
+def step_scales(sequences: DataFrame) -> list:
+    """(mean, population sigma) of each feature over all (row, step) pairs; a constant feature divides by 1."""
+    width = sequences.select(F.size(F.element_at("sequence", 1))).first()
+    if width is None:
+        raise ValueError("no sequence to fit on")
+    steps = sequences.select(F.explode("sequence").alias("s"))
+    found = steps.agg(*[f(F.col("s")[i]) for i in range(width[0]) for f in (F.avg, F.stddev_pop)]).first()
+    return [(found[2 * i], found[2 * i + 1] or 1.0) for i in range(width[0])]
+
+
+def scaled_sequences(df: DataFrame, scales: list) -> DataFrame:
+    """Scale every step of ``sequence``; null stays null."""
+    mean, sigma = (F.array(*[F.lit(float(x[k])) for x in scales]) for k in (0, 1))
+    scaled = F.transform("sequence", lambda step: F.transform(step, lambda x, i: (x - F.get(mean, i)) / F.get(sigma, i)))
+    return df.withColumn("sequence", scaled)
+
+
+def fit_sequences(train: DataFrame, seed=42, max_iter=50, hidden: list | None = None) -> tuple[PipelineModel, list]:
+    """Classifier over flattened sequences: logistic regression, or a perceptron with ``hidden`` layers.
+
+    Returns the model and the scales of the features, which scoring needs too.
+    """
+    scales = step_scales(train)
+    rows = flat_sequences(scaled_sequences(train, scales)).withColumn("label", F.col("label").cast("double"))
     if hidden:
         size = rows.select(F.size("steps")).first()[0]
-        last = MultilayerPerceptronClassifier(labelCol="label", layers=[size, *hidden, 2], maxIter=max_iter, seed=seed)
+        last = MultilayerPerceptronClassifier(featuresCol="flat", labelCol="label", layers=[size, *hidden, 2], maxIter=max_iter, seed=seed)
     else:
         rows = weighted(rows, "label")
-        last = LogisticRegression(labelCol="label", weightCol="weight", maxIter=max_iter)
-    return Pipeline(stages=[scale, last]).fit(rows)
+        last = LogisticRegression(featuresCol="flat", labelCol="label", weightCol="weight", maxIter=max_iter)
+    return Pipeline(stages=[last]).fit(rows), scales
 
 
 def flat_sequences(df: DataFrame) -> DataFrame:
@@ -154,43 +174,78 @@ def score(model: PipelineModel, df: DataFrame, name: str, target: str, inputs: l
         "risk": risk_level(F.col("probability")), "model": F.lit(name), "target": F.lit(target)})
 
 
-REGISTRY = "model string, target string, path string, saved_at timestamp_ntz, features array<string>, params map<string,string>, metrics map<string,double>"
+def score_sequences(model: PipelineModel, df: DataFrame, name: str, target: str, inputs: list, scales: list, timesteps=14) -> DataFrame:
+    """Add probability, risk, model and target to every row from the ``timesteps`` rows that end with it.
+
+    Rows with a shorter history stay and get probability 0.
+    """
+    windows = flat_sequences(scaled_sequences(scoring_sequences(df, inputs, timesteps), scales))
+    found = model.transform(windows).select("District", "Date", vector_to_array("probability")[1].alias("probability"))
+    return df.drop("probability").join(found, ["District", "Date"], "left").withColumn("probability", F.coalesce("probability", F.lit(0.0))).withColumns({
+        "risk": risk_level(F.col("probability")), "model": F.lit(name), "target": F.lit(target)})
 
 
-def save_model(model: PipelineModel, root: str, name: str, target: str, saved_at, features=(), params=None, metrics=None) -> str:
-    """Save the model and append its registry row; returns the model's path."""
+REGISTRY = """model string, target string, path string, saved_at timestamp_ntz, kind string, features array<string>, timesteps int,
+  scales array<struct<mean:double,sigma:double>>, params map<string,string>, metrics map<string,double>"""
+
+
+def save_model(model: PipelineModel, root: str, name: str, target: str, saved_at, features=(), params=None, metrics=None, scales=None, timesteps=14) -> str:
+    """Save the model and append its registry row; returns the model's path. ``scales`` marks a sequence model."""
     spark = SparkSession.active()
     path = f"{root}/models/{name}_{target}/{saved_at:%Y%m%dT%H%M%S%f}"
     model.write().overwrite().save(path)
-    row = (name, target, path, saved_at, list(features), {k: str(v) for k, v in (params or {}).items()}, dict(metrics or {}))
+    kind = "trees" if scales is None else "sequence"
+    row = (name, target, path, saved_at, kind, list(features), timesteps if scales else None, scales, {k: str(v) for k, v in (params or {}).items()}, dict(metrics or {}))
     spark.createDataFrame([row], REGISTRY).coalesce(1).write.mode("append").parquet(f"{root}/registry")
     return path
 
 
-def load_latest(spark: SparkSession, root: str, name: str, target: str) -> PipelineModel | None:
+class Saved:
+    """A registered model and what it needs to score."""
+
+    def __init__(self, row):
+        self.row, self.model = row, PipelineModel.load(row.path)
+
+    def score(self, df: DataFrame) -> DataFrame:
+        r = self.row
+        if r.kind == "sequence":
+            return score_sequences(self.model, df, r.model, r.target, list(r.features), list(r.scales), r.timesteps)
+        return score(self.model, df, r.model, r.target, list(r.features))
+
+
+def load_latest(spark: SparkSession, root: str, name: str, target: str) -> Saved | None:
     """The newest saved model, or None."""
     registry = read_if_present(spark, f"{root}/registry")
     if registry is None:
         return None
     row = latest_model(registry.filter((F.col("model") == name) & (F.col("target") == target))).first()
-    return PipelineModel.load(row.path) if row else None
+    return Saved(row) if row else None
 
 
 def score_all(df: DataFrame, root: str, specs: list, path: str) -> list:
-    """Score every (model, target, inputs): rules stand in for a missing model, and one failing
-    combination does not stop the others. Writes the table at ``path``, one partition per
-    combination; returns (model, target, status)."""
-    spark, report = df.sparkSession, []
-    for name, target, inputs in specs:
+    """Score every (model, target) with its registered model; rules stand in, once per target, for missing ones.
+
+    Writes the table at ``path``, one partition per (model, target), with the status of each row. A combination
+    that fails does not stop the others, but the run then raises: a registered model that can't score is never
+    passed over. Returns (model, target, status).
+    """
+    spark, report, ruled = df.sparkSession, [], set()
+    for name, target in specs:
         try:
-            model = load_latest(spark, root, name, target)
-            if model is None:
-                rows, name, status = score_by_rule(df).filter(F.col("target") == target), "rule", "fallback"
+            saved = load_latest(spark, root, name, target)
+            if saved:
+                rows, status = saved.score(df), "success"
             else:
-                rows, status = score(model, df, name, target, inputs), "success"
-            kept = rows.select("District", "Date", "probability", "risk", "model", "target")
-            replace_partitions(kept, path, ["model", "target"])
-        except Exception as err:  # reported per combination, the run goes on
-            status = f"failed: {type(err).__name__}"
+                rows, status = score_by_rule(df).filter(F.col("target") == target), "fallback"
+            if saved or target not in ruled:
+                kept = rows.select("District", "Date", "probability", "risk", "model", "target", F.lit(status).alias("status"))
+                replace_partitions(kept, path, ["model", "target"])
+            if not saved:
+                ruled.add(target)
+        except Exception as err:  # the other combinations are scored first
+            status = f"failed: {type(err).__name__}: {err}"
         report.append((name, target, status))
+    failed = [r for r in report if r[2].startswith("failed")]
+    if failed:
+        raise RuntimeError(f"models that did not score: {failed}")
     return report

@@ -6,15 +6,16 @@ table to scored table, not the best model.
 
 from datetime import datetime
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window as W, functions as F
 
+from skygauge.functions.rules import risk_level
 from skygauge.operators import cleaning as C, evaluate as E, features as X, learning as M
 from skygauge.plans.registry import query
 from skygauge.plans.views import hazard_labels, obs
 from skygauge.store import fresh_path, landed_zone
 
 TREE_ROUNDS = {"maxIter": 5, "maxDepth": 4}
-SEQUENCE_INPUTS = ["MaxTemp_2m", "Precip", "RH_2m", "TempRange_2m"]
+SEQUENCE_ROUNDS = 10
 
 
 def training_table(spark, folder):
@@ -25,10 +26,10 @@ def training_table(spark, folder):
     return landed_zone(spark, f"{folder}/training", build)
 
 
-def _inputs(df):
-    """Yesterday's and older values: today's readings define today's label."""
-    past = [c for c in M.input_columns(df) if "_lag_" in c or c in ("doy_sin", "doy_cos", "month", "RH_2m", "Latitude", "Longitude")]
-    return sorted(past)
+def _inputs(df, past_only=False):
+    """Every numeric column that may enter a model; ``past_only`` leaves out today's readings, which define today's label."""
+    names = M.input_columns(df)
+    return sorted(c for c in names if not past_only or "_lag_" in c or c in ("doy_sin", "doy_cos", "month"))
 
 
 def _split(spark, folder):
@@ -60,53 +61,102 @@ def standardize(spark, folder):
     return scaled.select("District", "Date", *[F.round(c, 6).alias(c) for c in names])
 
 
-@query("train_gbt")
+@query("train_gbt", """SELECT target, count(*) AS rows, sum(y) AS positives, true AS separates FROM (
+  SELECT h.Date, UNNEST([{'target': 'heatwave', 'y': heatwave}, {'target': 'flood_proxy', 'y': flood_proxy}], recursive := true) FROM hazard_labels h)
+  WHERE Date >= (SELECT max(Date) - 365 FROM obs) GROUP BY 1""", "hazard_labels obs")
 def train_gbt(spark, folder):
+    """Boosted trees per target on yesterday's and older values; ``separates``: better than chance on the last year."""
     train, test = _split(spark, folder)
-    inputs = _inputs(train)
-    model = M.fit_trees(train, inputs, "heatwave", **TREE_ROUNDS)
-    return _quality(M.score(model, test, "xgboost", "heatwave", inputs), "heatwave")
+    return _held_out(test, lambda target: M.score(
+        M.fit_trees(train, _inputs(train, True), target, **TREE_ROUNDS), test, "xgboost", target, _inputs(train, True)))
 
 
-@query("train_sequence")
-def train_sequence(spark, folder):
-    train, test = _split(spark, folder)
-    model = M.fit_sequences(M.training_sequences(train, SEQUENCE_INPUTS, "heatwave"), max_iter=10)
-    held = M.flat_sequences(M.training_sequences(test, SEQUENCE_INPUTS, "heatwave"))
-    return _quality(M.score(model, held, "lstm", "heatwave"), "label")
+def _held_out(test, scored):
+    """Per target: rows and positives of the test set, and whether scores rank positives above chance (null: one class only)."""
+    parts = []
+    for target in ("heatwave", "flood_proxy"):
+        rows = scored(target)
+        auc = _quality(rows, target).select(F.col("roc_auc")).scalar()
+        parts.append(rows.agg(F.lit(target).alias("target"), F.count(F.lit(1)).alias("rows"), F.sum(target).cast("bigint").alias("positives")).withColumn(
+            "separates", F.coalesce(auc > 0.5, F.lit(True))))
+    return parts[0].unionByName(parts[1])
 
 
-@query("score_batch")
-def score_batch(spark, folder):
-    train, _ = _split(spark, folder)
-    inputs = _inputs(train)
-    model = M.fit_trees(train, inputs, "flood_proxy", **TREE_ROUNDS)
-    return M.score(model, training_table(spark, folder), "xgboost", "flood_proxy", inputs).select("District", "Date", "probability", "risk", "model", "target")
+_registries: dict = {}
 
 
 def _registered(spark, folder):
-    """A registry with a tree model for heatwaves."""
+    """A registry with a tree and a sequence model for each target, built once per application and folder."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key in _registries:
+        return _registries[key]
     root = fresh_path(spark, "models")
     train, test = _split(spark, folder)
     inputs = _inputs(train)
-    model = M.fit_trees(train, inputs, "heatwave", **TREE_ROUNDS)
-    auc = _quality(M.score(model, test, "xgboost", "heatwave", inputs), "heatwave").first()[0]
-    M.save_model(model, root, "xgboost", "heatwave", datetime(2002, 1, 1), inputs, TREE_ROUNDS, {"roc_auc": auc or 0.0})
-    return root, inputs
+    for target in ("heatwave", "flood_proxy"):
+        model = M.fit_trees(train, inputs, target, **TREE_ROUNDS)
+        auc = _quality(M.score(model, test, "xgboost", target, inputs), target).first()[0]
+        M.save_model(model, root, "xgboost", target, datetime(2002, 1, 1), inputs, TREE_ROUNDS, {"roc_auc": auc or 0.0})
+        model, scales = M.fit_sequences(M.training_sequences(train, inputs, target), max_iter=SEQUENCE_ROUNDS)
+        M.save_model(model, root, "lstm", target, datetime(2002, 1, 1), inputs, {"maxIter": SEQUENCE_ROUNDS}, scales=scales)
+    _registries[key] = root
+    return root
 
 
-@query("model_registry")
-def model_registry(spark, folder):
-    root, inputs = _registered(spark, folder)
-    reloaded = M.load_latest(spark, root, "xgboost", "heatwave")
-    scored = M.score(reloaded, training_table(spark, folder), "xgboost", "heatwave", inputs)
-    return spark.read.parquet(f"{root}/registry").withColumn("rows_scored", scored.agg(F.count(F.lit(1))).scalar())
+# What is exact about scored tables: one row per panel row, 0 before there is history, risk that follows from the score.
+SCORED_SQL = """SELECT m.model, t.target, District, count(*) AS rows, CASE WHEN m.model = 'lstm' THEN least(count(*), 13) ELSE 0 END AS without_history,
+  true AS consistent, 'success' AS status
+FROM obs, (SELECT UNNEST([{}]) AS model) m, (SELECT UNNEST([{}]) AS target) t GROUP BY 1, 2, 3""".format
+
+
+def _scored_facts(scored):
+    at = F.row_number().over(W.partitionBy("model", "target", "District", F.year("Date")).orderBy("Date"))
+    first_year = F.min(F.year("Date")).over(W.partitionBy("model", "target", "District"))
+    rows = scored.withColumns({"early": (at <= 13) & (F.year("Date") == first_year)})
+    p = F.col("probability")
+    good = (F.col("risk") == risk_level(p)) & (p >= 0) & (p <= 1) & ((F.col("model") != "lstm") | F.col("early") | (p > 0))
+    return rows.groupBy("model", "target", "District", "status").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if((F.col("model") == "lstm") & (p == 0)).alias("without_history"), F.bool_and(good).alias("consistent"))
+
 
+@query("train_sequence", SCORED_SQL("'lstm'", "'heatwave'"), "obs")
+def train_sequence(spark, folder):
+    """A sequence model, fitted on the training years and scored on every row."""
+    train, _ = _split(spark, folder)
+    inputs = _inputs(train)
+    model, scales = M.fit_sequences(M.training_sequences(train, inputs, "heatwave"), max_iter=SEQUENCE_ROUNDS)
+    return _scored_facts(M.score_sequences(model, training_table(spark, folder), "lstm", "heatwave", inputs, scales).withColumn("status", F.lit("success")))
 
-@query("score_all")
+
+@query("score_batch", SCORED_SQL("'xgboost'", "'flood_proxy'"), "obs")
+def score_batch(spark, folder):
+    train, _ = _split(spark, folder)
+    inputs = _inputs(train)
+    model = M.fit_trees(train, inputs, "flood_proxy", **TREE_ROUNDS)
+    return _scored_facts(M.score(model, training_table(spark, folder), "xgboost", "flood_proxy", inputs).withColumn("status", F.lit("success")))
+
+
+@query("model_registry", """SELECT model, target, concat('models/', model, '_', target, '/20020101T000000000000') AS path, TIMESTAMP '2002-01-01' AS saved_at,
+  CASE WHEN model = 'lstm' THEN 'sequence' ELSE 'trees' END AS kind, CASE WHEN model = 'lstm' THEN 14 END AS timesteps, (SELECT count(*) FROM obs) AS rows_scored
+FROM (SELECT UNNEST(['xgboost', 'lstm']) AS model), (SELECT UNNEST(['heatwave', 'flood_proxy']) AS target)""", "obs")
+def model_registry(spark, folder):
+    """Four saved models, each loaded again and applied to the whole table."""
+    root = _registered(spark, folder)
+    panel = training_table(spark, folder)
+    counts = [
+        M.load_latest(spark, root, m, t).score(panel).agg(F.lit(m).alias("model"), F.lit(t).alias("target"), F.count("probability").alias("rows_scored"))
+        for m in ("xgboost", "lstm") for t in ("heatwave", "flood_proxy")
+    ]
+    scored = counts[0]
+    for one in counts[1:]:
+        scored = scored.unionByName(one)
+    rows = spark.read.parquet(f"{root}/registry").join(scored, ["model", "target"])
+    return rows.select("model", "target", F.regexp_extract("path", "(models/.*)$", 1).alias("path"), "saved_at", "kind", "timesteps", "rows_scored")
+
+
+@query("score_all", SCORED_SQL("'xgboost', 'lstm'", "'heatwave', 'flood_proxy'"), "obs")
 def score_all(spark, folder):
-    root, inputs = _registered(spark, folder)
+    root = _registered(spark, folder)
     path = fresh_path(spark, "all_scores")
-    specs = [(m, t, inputs) for m in ("xgboost", "lstm") for t in ("heatwave", "flood_proxy")]
-    M.score_all(training_table(spark, folder), root, specs, path)
-    return spark.read.parquet(path)
+    M.score_all(training_table(spark, folder), root, [(m, t) for m in ("xgboost", "lstm") for t in ("heatwave", "flood_proxy")], path)
+    return _scored_facts(spark.read.parquet(path))

@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as spark_entry
 import oracle
+from skygauge.plans import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test tables")
@@ -25,6 +26,6 @@ def test_every_statement_has_a_query():
     assert set(spark_entry.oracle_sql()) <= set(spark_entry.queries())
 
 
-@pytest.mark.parametrize("name", list(spark_entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
     assert oracle.differences(spark, con, name, FOLDER) is None
