@@ -81,7 +81,8 @@ def _segments(docs: DataFrame) -> DataFrame:
             several = np.bincount(group, new_segment)[group] > 1
             repeated = np.bincount(group)[group] > 1
             place = start * 256 + count
-            sign = new_gram & repeated  # more than once here: told to the other slices
+            # more than once here: told to the other slices, with the least and the largest segment if there are several
+            sign = (new_gram & repeated) | (several & np.append(new_gram[1:], True))
             parts = [(ALONE, new_segment & ~several, gram, segment, place), (SEVERAL, sign, gram, segment, place), (ONE_OF, several & new_segment, segment, segment, place)]
             gone = np.flatnonzero(~new_segment)
             lanes, keys, segs, docs_, places = ([np.full(int(m.sum()), lane) for lane, m, *_ in parts], [k[m] for _, m, k, _, _ in parts],
