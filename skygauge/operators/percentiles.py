@@ -8,6 +8,8 @@ and the answer is read off the few values that remain. Linear interpolation betw
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 SKETCH_ACCURACY = 10_000
+#: parts that the rows of one key are joined in
+PARTS = 64
 
 
 def approx_percentiles(df: DataFrame, key: str, specs: dict, accuracy: int = SKETCH_ACCURACY) -> DataFrame:
@@ -29,7 +31,11 @@ def exact_percentiles(df: DataFrame, key: str, specs: dict, accuracy: int = SKET
         ).alias(name)
         for name, (c, p) in specs.items()
     ])
-    joined = df.select(key, *[F.col(c).cast("double").alias(f"_v_{n}") for n, (c, _) in specs.items()]).join(sketch, key)
+    # joined by (key, part): beyond the broadcast limit a hot key's rows still go to PARTS tasks
+    values = df.select(key, *[F.col(c).cast("double").alias(f"_v_{n}") for n, (c, _) in specs.items()])
+    part = F.pmod(F.xxhash64(*[c for c in values.columns if c != key]), F.lit(PARTS)).cast("int")
+    spread = sketch.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    joined = values.withColumn("_part", part).join(spread, [key, "_part"])
     # One long row per (key, percentile, value). Zone -1 / 1: below / above the bracket, zone 2: no
     # value; each collapses into one row. A group without values has no rank.
     def entry(name, p):

@@ -12,6 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 _zones: dict = {}
+_building: dict = {}
 _zones_lock = threading.Lock()
 
 
@@ -78,13 +79,14 @@ def landed_zone(spark: SparkSession, name: str, build) -> DataFrame:
     """
     key = (spark.sparkContext.applicationId, name)
     with _zones_lock:
+        building = _building.setdefault(key, threading.Lock())
+    with building:  # a second thread waits for the first one's zone
         known = _zones.get(key)
-    if known:
-        df = read_if_present(spark, known)
-        if df is not None:
-            return df
-    path = fresh_path(spark, name.strip("/").replace("/", "_"))
-    build().write.parquet(path)
-    with _zones_lock:
+        if known:
+            df = read_if_present(spark, known)
+            if df is not None:
+                return df
+        path = fresh_path(spark, name.strip("/").replace("/", "_"))
+        build().write.parquet(path)
         _zones[key] = path
-    return spark.read.parquet(path)
+        return spark.read.parquet(path)
