@@ -1,7 +1,7 @@
-"""Token ids of whole texts by a word-level BPE tokenizer file, remembered by runs without white space.
+"""Token ids of whole texts by a word-level BPE tokenizer file, remembered by runs without white space and by words.
 
-The file's own library gives the result; this module repeats it for ordinary texts because the runs repeat, and hands texts with a
-special token or an unusual case rule to the library. The cache changes no result.
+The file's own library gives the result: its model splits each different word, and texts with a special token or an unusual
+case rule go to it whole. The caches change no result; when one is full, the entries still in use move on to the next generation.
 """
 
 import json
@@ -12,9 +12,9 @@ import numpy as np
 import regex
 from tokenizers import Tokenizer
 
-from skygauge.llm import common, merges
+from skygauge.llm import common
 
-CACHE = 300_000
+CACHE = 250_000
 #: characters whose lower case or spacing the library and Python treat differently
 _UNUSUAL = regex.compile("[\x1c-\x1fΣİ]")
 
@@ -26,6 +26,26 @@ def _byte_names() -> list[str]:
     return [chr(b) if b in shown else chr(next(rest)) for b in range(256)]
 
 
+class _Words(dict):
+    """word -> ids."""
+
+    def __init__(self, model, names: list[str]):
+        super().__init__()
+        self.model, self.names, self.old = model, names, {}
+
+    def __missing__(self, word: str) -> list[int]:
+        ids = self.old.get(word)
+        if ids is None:
+            shown = word if word.isascii() and word.isprintable() else "".join([self.names[b] for b in word.encode("utf-8", "replace")])
+            ids = [token.id for token in self.model.tokenize(shown)]
+        if len(word) < 60:
+            if len(self) >= CACHE:
+                self.old = dict(self)
+                self.clear()
+            self[word] = ids
+        return ids
+
+
 class Encoder(dict):
     """run -> row; each row has the run's ids."""
 
@@ -34,14 +54,10 @@ class Encoder(dict):
         with open(path, encoding="utf-8") as file:
             data = json.load(file)
         self.library = Tokenizer.from_file(path)
-        self.vocab = data["model"]["vocab"]
-        self.end = data["model"]["end_of_word_suffix"] or ""
-        pairs = (m.split(" ") if isinstance(m, str) else m for m in data["model"]["merges"])
-        self.ranks = {(a, b): i for i, (a, b) in enumerate(pairs)}
         splits = [p for p in data["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"]
         self.words = regex.compile(splits[0]["pattern"]["Regex"], regex.V0)
         self.special = [t["content"] for t in data["added_tokens"]]
-        self.names = _byte_names()
+        self.known = _Words(self.library.model, _byte_names())
         self.forget()
 
     def forget(self) -> None:
@@ -62,9 +78,7 @@ class Encoder(dict):
     def __missing__(self, run: str) -> int:
         ids = []
         for word in self.words.findall(run):
-            parts = [self.names[b] for b in word.encode("utf-8", "replace")]
-            parts[-1] += self.end
-            ids.extend(map(self.vocab.__getitem__, merges.merge(parts, lambda a, b: self.ranks.get((a, b)))))
+            ids += self.known[word]
         row = self._add(ids)
         if len(run) < 60:
             self[run] = row
