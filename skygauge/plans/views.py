@@ -175,11 +175,11 @@ def predictions(spark: SparkSession, folder: str) -> DataFrame:
     return landed_zone(spark, f"{folder}/predictions", lambda: _scores(spark, folder))
 
 
-def scored(spark: SparkSession, folder: str, model="rule", target="heatwave") -> DataFrame:
-    """Probability ``p`` of one model next to the true label ``y``."""
-    p = predictions(spark, folder).filter((F.col("model") == model) & (F.col("target") == target))
-    y = hazard_labels(spark, folder).select("District", "Date", F.col(target).alias("y"))
-    return p.select("District", "Date", F.col("probability").alias("p")).join(y, ["District", "Date"])
+def scored(spark: SparkSession, folder: str) -> DataFrame:
+    """Probability ``p`` of every model and target next to the true label ``y``."""
+    y = hazard_labels(spark, folder).select("District", "Date", F.inline(F.array(*[
+        F.struct(F.lit(t).alias("target"), F.col(t).alias("y")) for t in ("heatwave", "flood_proxy")])))
+    return predictions(spark, folder).select("District", "Date", "model", "target", F.col("probability").alias("p")).join(y, ["District", "Date", "target"])
 
 
 # The same views in SQL: name -> (views it reads, text).
@@ -276,9 +276,8 @@ SQL_VIEWS = {
          CASE WHEN probability > CAST(0.5 AS DOUBLE) THEN 'HIGH' WHEN probability > CAST(0.3 AS DOUBLE) THEN 'MEDIUM' ELSE 'LOW' END AS risk
   FROM u"""),
     "scored": ("predictions hazard_labels", """
-  SELECT p.District, p.Date, p.probability AS p, h.heatwave AS y
-  FROM predictions p JOIN hazard_labels h ON p.District = h.District AND p.Date = h.Date
-  WHERE p.model = 'rule' AND p.target = 'heatwave'"""),
+  SELECT p.District, p.Date, p.model, p.target, p.probability AS p, CASE p.target WHEN 'heatwave' THEN h.heatwave ELSE h.flood_proxy END AS y
+  FROM predictions p JOIN hazard_labels h ON p.District = h.District AND p.Date = h.Date"""),
 }
 
 # The label views once more, over the merged zones instead of the panel.
@@ -288,5 +287,7 @@ SQL_VIEWS["merged"] = ("hist strm", """
 for _view, _input in (("filled", "merged"), ("limits", "m_filled"), ("runs", "m_filled m_limits"), ("hazard_labels", "m_runs")):
     _text = SQL_VIEWS[_view][1]
     for _old, _new in (("FROM obs", "FROM merged"), ("FROM filled", "FROM m_filled"), ("JOIN limits", "JOIN m_limits"), ("FROM runs", "FROM m_runs")):
-        _text = _text.replace(_old, _new)
+        _changed = _text.replace(_old, _new)
+        assert _changed != _text or _old not in SQL_VIEWS[_view][1], f"{_old} in {_view}"
+        _text = _changed
     SQL_VIEWS[f"m_{_view}"] = (_input, _text)
