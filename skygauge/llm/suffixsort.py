@@ -43,11 +43,13 @@ class Suffixes:
     def sort(self, group: np.ndarray) -> np.ndarray:
         """Order of the suffixes within each group; ``group`` is ascending and equal suffixes keep their order."""
         n = len(group)
-        first = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if n else np.zeros(0, np.int64)
+        if not n:
+            return np.zeros(0, np.int64)
+        first = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
         begin = np.repeat(first, np.diff(np.append(first, n)))
         end = np.repeat(np.append(first[1:], n), np.diff(np.append(first, n)))
         order, width = np.arange(n), 1
-        longest = int((end - begin).max()) if n else 0
+        longest = int((end - begin).max())
         while width < longest:
             place = np.arange(n) - begin
             run = place // width

@@ -350,3 +350,8 @@ def test_suffix_sort_orders_by_bytes():
     assert order.tolist() == sorted(range(700), key=lambda i: (key[i], i))
     kinds = suffixes.classes(group, order)
     assert all((kinds[k] == kinds[k - 1]) == (key[order[k]] == key[order[k - 1]]) for k in range(1, 700))
+    none = suffix.Suffixes(data, start[:0], 100)
+    assert len(none.sort(group[:0])) == len(none.classes(group[:0], group[:0])) == 0
+    # segments that share an anchor string but no window
+    found = suffix._compared(np.array([0, 0]), np.array([1, 2]), np.array([0, 0]), np.array([1, 1]), np.array([3, 9]), [b"a" * 100, b"b" * 100])
+    assert all(len(x) == 0 for x in found)
