@@ -9,7 +9,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,11 +31,14 @@ def sampled(rows: DataFrame, limit: int, by: list[str] | None = None, seed: int
 
     The row limit runs before the shuffle too, so a hot group sends at most ``limit`` rows from each task.
     """
-    order = [F.xxhash64(F.lit(seed), "doc_id"), F.col("doc_id")]
-    place = F.row_number().over(Window.partitionBy(*by).orderBy(*order)) if by else None
-    if place is None:
-        return rows.orderBy(*order).limit(limit)
-    return rows.withColumn("_place", place).where(F.col("_place") <= limit).drop("_place")
+    place = F.xxhash64(F.lit(seed), "doc_id")
+    if by:
+        return rows.withColumn("_place", F.row_number().over(Window.partitionBy(*by).orderBy(place, "doc_id"))).where(F.col("_place") <= limit).drop("_place")
+    # only the lowest part of the hashes can hold the first rows: the rest stays where it is
+    share = 4 * limit / max(1, rows.count())
+    if share < 1:
+        rows = rows.where(place < F.lit(int((share - 0.5) * 2**64)))
+    return rows.orderBy(place, "doc_id").limit(limit)
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -35,11 +35,11 @@ HOT = 256
 #: what a row of the first pass is: the only segment of its anchor string in its slice, a sign that there were several, one of those, a removal
 ALONE, SEVERAL, ONE_OF, REMOVED = range(4)
 CHUNK = 8_000
-PIECE = 4 << 20
+PIECE = 2 << 20
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(bytes, begin, end, doc_id, offset in the document) of about 4 MB; longer texts in pieces that overlap by a window."""
+    """(bytes, begin, end, doc_id, offset in the document) of about ``PIECE`` bytes; longer texts in pieces that overlap by a window."""
     def made(parts):
         size = np.array([len(p[0]) for p in parts], np.int64)
         end = np.cumsum(size)
