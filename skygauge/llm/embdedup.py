@@ -16,7 +16,7 @@ Extra columns are ignored.
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skygauge.llm import common, vectors
@@ -25,8 +25,8 @@ from skygauge.store import landed
 
 COSINE = 0.95
 DIMS = 8
-BLOCK = 512
-RUN = 64
+BLOCK = 4096
+RUN = 256
 FANOUT = 16
 SAMPLE = 4000
 EDGE = 1e-9
@@ -43,7 +43,7 @@ def _directions(classes: DataFrame, dims: int) -> np.ndarray:
 
 
 def _blocks(classes: DataFrame, directions: np.ndarray, reach: float) -> DataFrame:
-    """(part, block, lo, hi, data): the sequence cut to blocks, with the box of each; data has ids, weights and vectors."""
+    """(block, lo, hi, data): the sequence cut to blocks, with the box of each; data has ids, weights, vectors and projections."""
     dims = directions.shape[1]
 
     def place(batches):
@@ -58,49 +58,30 @@ def _blocks(classes: DataFrame, directions: np.ndarray, reach: float) -> DataFra
                     *(pa.array(np.ascontiguousarray(c)) for c in cells.T)], names=["id", "weight", "unit", "at", *(f"c{i}" for i in range(dims))])
 
     order = [f"c{i}" for i in range(dims)] + ["id"]
-    placed = classes.mapInArrow(place, "id long, weight long, unit binary, at binary, " + ", ".join(f"c{i} int" for i in range(dims)))
-    sequence = landed(placed, "placed")
-    parts = sequence.repartitionByRange(*order).sortWithinPartitions(*order).select(F.spark_partition_id().alias("part"), "id", "weight", "unit", "at")
+    placed = landed(classes.mapInArrow(place, "id long, weight long, unit binary, at binary, " + ", ".join(f"c{i} int" for i in range(dims))), "placed")
 
-    def cut(batches):
-        rest, number = [], 0
+    def numbered(batches):
+        at = 0
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.arange(at, at + batch.num_rows))], names=[*batch.schema.names, "row"])
+            at += batch.num_rows
 
-        def block(rows):
-            nonlocal number
-            ids, weights, units, at = (np.concatenate(x) for x in zip(*rows))
-            number += 1
-            return [number - 1, at.min(0).tolist(), at.max(0).tolist(), ids.tobytes(), weights.tobytes(), units.tobytes(), at.tobytes()]
+    parts = placed.repartitionByRange(*order).sortWithinPartitions(*order).select(F.spark_partition_id().alias("part"), "id", "weight", "unit", "at")
+    sequence = landed(parts.mapInArrow(numbered, "part int, id long, weight long, unit binary, at binary, row long"), "sequence")
+    # places in the whole sequence: one row per partition says how many rows stand before it
+    sizes = sequence.groupBy("part").agg(F.count("*").alias("n"))
+    before = sizes.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
+    ranked = sequence.join(before, "part").withColumn("block", F.floor((F.col("before") + F.col("row")) / BLOCK))
 
-        part = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            part = batch.column("part")[0].as_py()
-            units = np.frombuffer(b"".join(batch.column("unit").to_pylist())).reshape(batch.num_rows, -1)
-            at = np.frombuffer(b"".join(batch.column("at").to_pylist())).reshape(batch.num_rows, -1)
-            ids, weights = batch.column("id").to_numpy(), batch.column("weight").to_numpy()
-            out, start = [], 0
-            while start < len(ids):
-                have = sum(len(r[0]) for r in rest)
-                end = min(len(ids), start + BLOCK - have)
-                rest.append((ids[start:end], weights[start:end], units[start:end], at[start:end]))
-                if have + end - start == BLOCK:
-                    out.append(block(rest))
-                    rest = []
-                start = end
-            if out:
-                yield _rows(part, out)
-        if rest:
-            yield _rows(part, [block(rest)])
-
-    return landed(parts.mapInArrow(cut, "part int, block int, lo array<double>, hi array<double>, ids binary, weights binary, units binary, at binary"), "blocks")
-
-
-def _rows(part, rows):
-    number, lo, hi, *data = zip(*rows)
-    return pa.RecordBatch.from_arrays([
-        pa.array([part] * len(rows), pa.int32()), pa.array(number, pa.int32()), pa.array(lo, pa.list_(pa.float64())), pa.array(hi, pa.list_(pa.float64())),
-        *(pa.array(d, pa.binary()) for d in data)], names=["part", "block", "lo", "hi", "ids", "weights", "units", "at"])
+    def gather(key, rows):
+        rows = rows.sort_by([("part", "ascending"), ("row", "ascending")])
+        at = np.frombuffer(b"".join(rows.column("at").to_pylist())).reshape(rows.num_rows, -1)
+        data = [rows.column("id").to_numpy().tobytes(), rows.column("weight").to_numpy().tobytes(), b"".join(rows.column("unit").to_pylist()), at.tobytes()]
+        return pa.table({"block": pa.array([key[0].as_py()], pa.int64()), "lo": pa.array([at.min(0).tolist()], pa.list_(pa.float64())), "hi": pa.array([at.max(0).tolist()], pa.list_(pa.float64())),
+                         **{n: pa.array([d], pa.binary()) for n, d in zip(("ids", "weights", "units", "at"), data)}})
+
+    return landed(ranked.select("block", "part", "row", "id", "weight", "unit", "at").groupBy("block").applyInArrow(
+        gather, "block long, lo array<double>, hi array<double>, ids binary, weights binary, units binary, at binary"), "blocks")
 
 
 def _near(dims: int, reach: float):
@@ -111,15 +92,14 @@ def _near(dims: int, reach: float):
 
 def _block_pairs(blocks: DataFrame, dims: int, reach: float) -> DataFrame:
     """(a, b) of blocks whose boxes are close, a <= b, found by following pairs of intervals downwards."""
-    flat = blocks.select(F.col("part").cast("long").alias("part"), (F.col("part").cast("long") * (1 << 24) + F.col("block")).alias("node"),
-                         *[F.col("lo")[i].alias(f"lo{i}") for i in range(dims)], *[F.col("hi")[i].alias(f"hi{i}") for i in range(dims)])
-    flat = landed(flat, "boxes")
+    up = F.floor(F.col("node") / FANOUT).alias("up")
     box = [f(f"{side}{i}").alias(f"{side}{i}") for i in range(dims) for side, f in (("lo", F.min), ("hi", F.max))]
-    levels = [flat.withColumnRenamed("part", "up"), flat.groupBy(F.col("part").alias("node")).agg(*box).withColumn("up", F.floor(F.col("node") / FANOUT))]
-    top = blocks.agg(F.max("part")).first()[0] or 0
-    while top:
-        top //= FANOUT
-        levels.append(levels[-1].groupBy(F.col("up").alias("node")).agg(*box).withColumn("up", F.floor(F.col("node") / FANOUT)))
+    own = [F.col(side)[i].alias(f"{side}{i}") for i in range(dims) for side in ("lo", "hi")]
+    flat = landed(blocks.select(F.col("block").alias("node"), *own), "boxes")
+    levels, last = [flat.select("*", up)], flat.agg(F.max("node")).first()[0] or 0
+    while last or len(levels) == 1:
+        last //= FANOUT
+        levels.append(levels[-1].groupBy(F.col("up").alias("node")).agg(*box).select("*", up))
     pairs = levels[-1].select(F.col("node").alias("a"), F.col("node").alias("b"))
     for level in reversed(levels[:-1]):
         a = level.select(F.col("up").alias("a"), F.col("node").alias("a_node"), *[F.col(f"{s}{i}").alias(f"a_{s}{i}") for i in range(dims) for s in ("lo", "hi")])
@@ -128,6 +108,16 @@ def _block_pairs(blocks: DataFrame, dims: int, reach: float) -> DataFrame:
     return pairs
 
 
+def _weighed(links: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    return np.concatenate([links[i:i + RUN] @ weights for i in range(0, len(links), RUN)])
+
+
+def _least(links: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """The smallest linked label of each row."""
+    none = np.iinfo(np.int64).max
+    return np.concatenate([np.where(links[i:i + RUN], labels[None], none).min(1) for i in range(0, len(links), RUN)])
+
+
 def _compare(one, two, same: bool, cosine: float, reach: float):
     """Link counts of the rows and columns, and links that connect what the pair of blocks connects."""
     (ids, weights, units, at), (ids2, weights2, units2, at2) = one, two
@@ -135,28 +125,26 @@ def _compare(one, two, same: bool, cosine: float, reach: float):
     runs, runs2 = range(0, len(ids), RUN), range(0, len(ids2), RUN)
     boxes = [(at[i:i + RUN].min(0), at[i:i + RUN].max(0)) for i in runs]
     boxes2 = [(at2[j:j + RUN].min(0), at2[j:j + RUN].max(0)) for j in runs2]
-    for i, (lo, hi) in zip(runs, boxes):
-        for j, (lo2, hi2) in zip(runs2, boxes2):
-            if same and j < i:
-                continue
-            gap = np.maximum(0, np.maximum(lo - hi2, lo2 - hi))
-            if gap @ gap <= (reach + EDGE) ** 2:
-                links[i:i + RUN, j:j + RUN] = units[i:i + RUN] @ units2[j:j + RUN].T >= cosine
+    (lo, hi), (lo2, hi2) = (tuple(np.array(x) for x in zip(*b)) for b in (boxes, boxes2))
+    gaps = np.maximum(0, np.maximum(lo[:, None] - hi2[None], lo2[None] - hi[:, None]))
+    for k, m in np.argwhere((gaps**2).sum(2) <= (reach + EDGE) ** 2):
+        if not same or m >= k:
+            i, j = k * RUN, m * RUN
+            links[i:i + RUN, j:j + RUN] = units[i:i + RUN] @ units2[j:j + RUN].T >= cosine
     if same:
         links = np.triu(links, 1)
         links |= links.T
-        counts = links @ weights2
+        counts = _weighed(links, weights2)
         found = [(ids, counts)]
     else:
-        found = [(ids, links @ weights2), (ids2, links.T @ weights)]
+        found = [(ids, _weighed(links, weights2)), (ids2, _weighed(links.T, weights))]
     # the smallest id that each row and column reaches inside this pair of blocks
     label, label2 = ids.copy(), (ids.copy() if same else ids2.copy())
-    big = np.iinfo(np.int64).max
     rows, cols = np.flatnonzero(links.any(1)), np.flatnonzero(links.any(0))
     part = links[np.ix_(rows, cols)]
     while len(rows):
-        new2 = np.minimum(label2[cols], np.where(part, label[rows][:, None], big).min(0))
-        new = np.minimum(label[rows], np.where(part, new2[None], big).min(1))
+        new2 = np.minimum(label2[cols], _least(part.T, label[rows]))
+        new = np.minimum(label[rows], _least(part, new2))
         if same:
             new = new2 = np.minimum(new, new2)
         if (new == label[rows]).all() and (new2 == label2[cols]).all():
@@ -176,7 +164,7 @@ def link(rows: DataFrame, cosine: float = COSINE) -> DataFrame:
     if directions.size:
         blocks = _blocks(classes, directions, reach)
         pairs = landed(_block_pairs(blocks, directions.shape[1], reach), "block_pairs")
-        named = blocks.select((F.col("part").cast("long") * (1 << 24) + F.col("block")).alias("node"), "ids", "weights", "units", "at")
+        named = blocks.select(F.col("block").alias("node"), "ids", "weights", "units", "at")
         left = pairs.join(named.withColumnRenamed("node", "a"), "a").groupBy("a", "b")
         right = pairs.join(named.withColumnRenamed("node", "b"), "b").select("a", "b", "ids", "weights", "units", "at").toDF(
             "a_", "b_", "ids_", "weights_", "units_", "at_").groupBy("a_", "b_")
