@@ -4,7 +4,8 @@ Vectors are dealt by a hash of their ids to shards of about ``SHARD``. Largest i
 component, sqrt(M^2 - |x|^2) with M the largest length of the shard (0 for a query). In a shard, greedy searches from the current graph
 propose the neighbours of each vector; among them, nearest first, one is kept and drops all candidates p' with
 alpha * d(kept, p') <= d(x, p'), so edges stay diverse and at most ``DEGREE``. Reverse edges are added and pruned alike. A query is
-a beam search of width ``BEAM`` in every shard; the shards' answers are merged by exact scores.
+a beam search of width ``BEAM`` in every shard; the shards' answers are merged by exact scores, first in the task that has
+several of them.
 
 Equal vectors share a node. Of their ids the ``top + 1`` smallest are kept with it: ties go to the smaller id, so no other can be
 among the nearest.
@@ -29,7 +30,9 @@ BUILD_BEAM = 40
 BEAM = 80
 ALPHA = 1.2
 BATCH = 512
-QUERY_GROUP = 4096
+#: a task has this many queries and shards, and hands on the best of all its shards
+QUERY_GROUP = 512
+SHARD_GROUP = 16
 
 
 class Graph:
@@ -163,36 +166,36 @@ def index(candidates: DataFrame, shard: int = SHARD, top: int = TOP) -> DataFram
 def search(queries: DataFrame, built: DataFrame, candidates: DataFrame, top: int = TOP, beam: int = BEAM) -> DataFrame:
     """query_id, rank, vec_id, score: the ``top`` nearest found of every query (query_id, embedding), its own row left out."""
     groups = max(1, -(-queries.count() // QUERY_GROUP))
-    # every query goes to every shard, in groups of about QUERY_GROUP
-    left = built.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    last = built.agg(F.max("shard")).first()[0] or 0
+    # every query goes to every shard, in groups of both
+    last = (built.agg(F.max("shard")).first()[0] or 0) // SHARD_GROUP
+    left = built.select("*", F.floor(F.col("shard") / SHARD_GROUP).alias("shards"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("part"))
     right = queries.select("query_id", "embedding", F.pmod(F.xxhash64("query_id"), F.lit(groups)).cast("int").alias("part_"),
-                           F.explode(F.sequence(F.lit(0).cast("long"), F.lit(last))).alias("shard_"))
+                           F.explode(F.sequence(F.lit(0).cast("long"), F.lit(last))).alias("shards_"))
 
     def ask(own: pa.Table, asked: pa.Table) -> pa.Table:
-        if not own.num_rows or not asked.num_rows:
-            return pa.table({"query_id": pa.array([], pa.int64()), "node": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-        read = lambda name, kind: np.frombuffer(own.column(name)[0].as_py(), kind)
-        nodes, entries = read("nodes", np.int64), read("entries", np.int64)
-        points, edges, x = (read(name, kind).reshape(len(nodes), -1) for name, kind in (("points", np.float32), ("edges", np.int32), ("vectors", np.float64)))
-        graph = Graph(points, edges.astype(np.int64), entries)
-        q, ids = vectors.matrix(asked.column("embedding")), asked.column("query_id").to_numpy()
-        out = []
-        for start in range(0, len(q), BATCH):
-            part = q[start:start + BATCH]
-            lengths = np.linalg.norm(part, axis=1, keepdims=True)
-            asked_at = np.column_stack([part / lengths * np.sqrt(graph.squares.max()), np.zeros(len(part))]).astype(np.float32)
-            found, _, _ = graph.search(asked_at, min(beam, len(nodes)))
-            score = np.einsum("bcd,bd->bc", x[found], part)
-            score[found < 0] = -np.inf
-            # one more than asked for: a query's own vector may be among them
-            keep = np.lexsort((nodes[found], -score), 1)[:, :top + 1]
-            out.append((np.repeat(ids[start:start + BATCH], keep.shape[1]), np.take_along_axis(nodes[found], keep, 1).ravel(), np.take_along_axis(score, keep, 1).ravel()))
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        q, ids = (vectors.matrix(asked.column("embedding")), asked.column("query_id").to_numpy()) if asked.num_rows else (np.zeros((0, 0)), None)
+        for shard in range(own.num_rows if asked.num_rows else 0):
+            read = lambda name, kind: np.frombuffer(own.column(name)[shard].as_py(), kind)  # noqa: B023, E731
+            nodes, entries = read("nodes", np.int64), read("entries", np.int64)
+            points, edges, x = (read(name, kind).reshape(len(nodes), -1) for name, kind in (("points", np.float32), ("edges", np.int32), ("vectors", np.float64)))
+            graph = Graph(points, edges.astype(np.int64), entries)
+            for start in range(0, len(q), BATCH):
+                part = q[start:start + BATCH]
+                lengths = np.linalg.norm(part, axis=1, keepdims=True)
+                asked_at = np.column_stack([part / lengths * np.sqrt(graph.squares.max()), np.zeros(len(part))]).astype(np.float32)
+                found, _, _ = graph.search(asked_at, min(beam, len(nodes)))
+                score = np.einsum("bcd,bd->bc", x[found], part)
+                good = found >= 0
+                out.append((np.repeat(ids[start:start + BATCH], good.sum(1)), nodes[found[good]], score[good]))
         query, node, score = (np.concatenate(c) for c in zip(*out))
-        good = np.isfinite(score)
-        return pa.table({"query_id": query[good], "node": node[good], "score": score[good]})
+        order = np.lexsort((node, -score, query))
+        query, node, score = query[order], node[order], score[order]
+        first = np.searchsorted(query, query)
+        best = np.arange(len(query)) - first <= top  # one more than asked for: a query's own vector may be among them
+        return pa.table({"query_id": query[best], "node": node[best], "score": score[best]})
 
-    found = left.groupBy("shard", "part").cogroup(right.groupBy("shard_", "part_")).applyInArrow(ask, "query_id long, node long, score double")
+    found = left.groupBy("shards", "part").cogroup(right.groupBy("shards_", "part_")).applyInArrow(ask, "query_id long, node long, score double")
     best = found.withColumn("place", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "node"))).where(F.col("place") <= top + 1)
     # back from nodes to ids
     few = vectors.smallest_ids(candidates, top + 1)
