@@ -31,7 +31,7 @@ from skygauge.llm.anchors import LENGTH
 from skygauge.llm.suffixsort import Suffixes
 from skygauge.store import landed
 
-HOT = 256
+HOT = 2048
 #: what a row of the first pass is: the only segment of its anchor string in its slice, a sign that there were several, one of those, a removal
 ALONE, SEVERAL, ONE_OF, REMOVED = range(4)
 CHUNK = 8_000

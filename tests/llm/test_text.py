@@ -307,7 +307,7 @@ def repeats_fixture():
     return texts
 
 
-@pytest.mark.parametrize("hot", [256, 2])
+@pytest.mark.parametrize("hot", [2048, 2])
 def test_repeats_equal_brute_force(spark, hot, monkeypatch):
     monkeypatch.setattr(suffix, "HOT", hot)
     texts = repeats_fixture()
