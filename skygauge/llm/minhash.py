@@ -29,7 +29,7 @@ from skygauge.store import landed
 
 BANDS = 24
 ROWS = 4
-TILE = 400
+TILE = 800
 SIMILAR = 80
 #: signatures of a pair of similarity 0.8 stay above this but for one in a million
 FLOOR = 0.6
@@ -213,7 +213,8 @@ def near_duplicates(docs: DataFrame, n: int = 5) -> DataFrame:
         "tile", F.pmod(F.xxhash64("id", F.lit(7)), F.col("tiles")))
     rows = landed(tiled.select("key", "id", "tile", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)).alias("other")).select(
         "key", "id", "tile", F.least("tile", "other").alias("one"), F.greatest("tile", "other").alias("two")), "buckets")
-    texts = _packed(docs.where("doc_id IS NOT NULL")).join(rows.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"])
+    # the same join at every size: a small side is not broadcast
+    texts = _packed(docs.where("doc_id IS NOT NULL")).join(rows.select("id").distinct().hint("merge"), "id", "left_semi").dropDuplicates(["id"])
     links = _linked(rows.join(landed(texts, "texts"), "id"), n)
     found = components(links.union(copies))
     joined = signed.select("doc_id", "n_shingles").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
