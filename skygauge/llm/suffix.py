@@ -10,14 +10,17 @@ Bounds: rows of one slice of documents are reduced before the shuffle, so an anc
 equal segment one. An anchor string with more than ``HOT`` different first segments is not gathered: its windows
 are dealt by 128-bit hashes of their whole content instead. Texts travel compressed.
 
-Defined results: a null text counts as empty; texts shorter than ``LENGTH`` lose nothing. Rows without doc_id come after all others and have
-no order among each other: they lose what occurs with an id, and are otherwise judged alone. Rows that repeat a doc_id count as one
-document's copies: the first stays only if no copy precedes it, so of identical rows with one id each is judged like the others.
+Defined results: a null text counts as empty; texts shorter than ``LENGTH`` lose nothing. Earlier means a smaller (doc_id, start). Rows without
+doc_id come after all others and have no order among each other: they lose what occurs with an id, and are otherwise judged alone. Rows that
+repeat a doc_id keep their own ranges (a row is named by doc_id and a hash of its text); between them only the start counts, so
+identical rows of one id are judged alike, neither loses text to the other, and each keeps what starts nowhere earlier. Rows of one id with the
+same passage at the same start, and rows without id, each send their own row of it, where otherwise a slice sends one.
 An empty table gives an empty result. ``stage`` decodes what is left, leaving out characters that were cut apart.
 """
 
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -38,22 +41,60 @@ CHUNK = 8_000
 PIECE = 2 << 20
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(bytes, begin, end, doc_id, offset in the document) of about ``PIECE`` bytes; longer texts in pieces that overlap by a window."""
+class Rows(NamedTuple):
+    """Whose row it is: ``null`` without doc_id (``doc`` is 0 then), ``name`` a hash of the text."""
+
+    null: np.ndarray
+    doc: np.ndarray
+    name: np.ndarray
+
+    @staticmethod
+    def read(batch: pa.RecordBatch | pa.Table) -> "Rows":
+        doc = batch.column("doc_id")
+        return Rows(np.asarray(doc.is_null()), np.asarray(doc.fill_null(0)), np.asarray(batch.column("row")))
+
+    def __getitem__(self, at) -> "Rows":
+        return Rows(*(x[at] for x in (self.null, self.doc, self.name))) if not isinstance(at, int) else tuple.__getitem__(self, at)
+
+    def arrow(self) -> list[pa.Array]:
+        """doc_id and row."""
+        return [pa.array(self.doc, pa.int64(), mask=self.null), pa.array(self.name, pa.int64())]
+
+    def changes(self) -> np.ndarray:
+        """Where another row begins."""
+        new = np.ones(len(self.doc), bool)
+        new[1:] = (self.null[1:] != self.null[:-1]) | (self.doc[1:] != self.doc[:-1]) | (self.name[1:] != self.name[:-1])
+        return new
+
+    def order(self, start: np.ndarray, *groups: np.ndarray) -> np.ndarray:
+        """By ``groups`` (the last one first), then ids before none, then doc_id and start; without id row by row."""
+        return np.lexsort((self.name, start, np.where(self.null, self.name, 0), self.doc, self.null, *groups))
+
+    def later(self, start: np.ndarray, new: np.ndarray) -> np.ndarray:
+        """Which of rows in that order have an equal before them that is earlier; ``new`` is where groups of equals begin."""
+        at = np.arange(len(start))
+        part = new | (self.null & self.changes())
+        first, group = np.maximum.accumulate(np.where(part, at, 0)), np.maximum.accumulate(np.where(new, at, 0))
+        return (self.doc != self.doc[first]) | (start != start[first]) | (self.null & ~self.null[group])
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, Rows, np.ndarray]]:
+    """(bytes, begin, end, row, offset in the document) of about ``PIECE`` bytes; longer texts in pieces that overlap by a window."""
     def made(parts):
         size = np.array([len(p[0]) for p in parts], np.int64)
         end = np.cumsum(size)
         return (np.frombuffer(b"".join(p[0] for p in parts), np.uint8), end - size, end,
-                np.array([p[1] for p in parts], np.int64), np.array([p[2] for p in parts], np.int64))
+                Rows(np.array([p[1] is None for p in parts]), np.array([p[1] or 0 for p in parts], np.int64), np.array([p[2] for p in parts], np.int64)),
+                np.array([p[3] for p in parts], np.int64))
 
     parts, size = [], 0
     for batch in common.slices(batches):
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+        for doc_id, name, text in zip(batch.column("doc_id").to_pylist(), batch.column("row").to_pylist(), batch.column("text").to_pylist()):
             data = (text or "").encode("utf-8", "replace")
-            if len(data) < LENGTH or doc_id is None:
+            if len(data) < LENGTH:
                 continue
             for at in range(0, max(1, len(data) - LENGTH + 1), PIECE):
-                parts.append((data[at:at + PIECE + LENGTH - 1], doc_id, at))
+                parts.append((data[at:at + PIECE + LENGTH - 1], doc_id, name, at))
                 size += len(parts[-1][0])
                 if size >= PIECE:
                     yield made(parts)
@@ -63,41 +104,48 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.
 
 
 def _segments(docs: DataFrame) -> DataFrame:
-    """(lane, key, segment, doc_id, place) with place = start * 256 + windows; for removals start * 2^20 + bytes."""
-    names = ["lane", "key", "segment", "doc_id", "place"]
+    """(lane, key, segment, doc_id, row, place) with place = start * 256 + windows; for removals start * 2^24 + bytes."""
+    names = ["lane", "key", "segment", "doc_id", "row", "place"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for data, begin, end, doc_id, offset in _slices(batches):
+        for data, begin, end, rows, offset in _slices(batches):
             gram, segment, first, count = anchors.runs(anchors.Hashes(data), len(data), begin, end)
             if not len(gram):
                 continue
             text = np.searchsorted(begin, first, "right") - 1
-            doc, start = doc_id[text], first - begin[text] + offset[text]
-            order = np.lexsort((start, doc, segment, gram))
-            gram, segment, doc, start, count = (x[order] for x in (gram, segment, doc, start, count))
+            row, start = rows[text], first - begin[text] + offset[text]
+            order = row.order(start, segment, gram)
+            gram, segment, row, start, count = (x[order] for x in (gram, segment, row, start, count))
             new_gram = np.concatenate([[True], gram[1:] != gram[:-1]])
             new_segment = new_gram | np.concatenate([[True], segment[1:] != segment[:-1]])
+            twin = ~(new_segment | row.changes() | np.concatenate([[True], start[1:] != start[:-1]]))  # an identical row has it here too
+            gone = row.later(start, new_segment)
+            stays = ~gone & ~twin
             group = np.cumsum(new_gram) - 1
             several = np.bincount(group, new_segment)[group] > 1
             repeated = np.bincount(group)[group] > 1
             place = start * 256 + count
             # more than once here: told to the other slices, with the least and the largest segment if there are several
             sign = (new_gram & repeated) | (several & np.append(new_gram[1:], True))
-            parts = [(ALONE, new_segment & ~several, gram, segment, place), (SEVERAL, sign, gram, segment, place), (ONE_OF, several & new_segment, segment, segment, place)]
-            gone = np.flatnonzero(~new_segment)
-            lanes, keys, segs, docs_, places = ([np.full(int(m.sum()), lane) for lane, m, *_ in parts], [k[m] for _, m, k, _, _ in parts],
-                                                [s[m] for _, m, _, s, _ in parts], [doc[m] for _, m, *_ in parts], [p[m] for *_, m, _, _, p in parts])
-            own, at, size = _merged(doc[gone], start[gone], start[gone] + count[gone] + LENGTH - 1)
-            lanes.append(np.full(len(own), REMOVED))
-            keys.append(own.view(np.uint64))
-            segs.append(np.zeros(len(own), np.uint64))
-            docs_.append(own)
-            places.append(at * (1 << 24) + size)
+            parts = [(ALONE, stays & ~several, gram, segment, place), (SEVERAL, sign, gram, segment, place), (ONE_OF, several & stays, segment, segment, place)]
+            own, at, size = _ranges(row[gone], start[gone], start[gone] + count[gone] + LENGTH - 1)
+            lanes, keys, segs, places = ([np.full(int(m.sum()), lane) for lane, m, *_ in parts] + [np.full(len(at), REMOVED)], [k[m] for _, m, k, _, _ in parts] + [own.name.view(np.uint64)],
+                                         [s[m] for _, m, _, s, _ in parts] + [np.zeros(len(at), np.uint64)], [p[m] for *_, m, _, _, p in parts] + [at * (1 << 24) + size])
+            whose = Rows(*(np.concatenate(x) for x in zip(*[row[m] for _, m, *_ in parts], own)))
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.concatenate(lanes).astype(np.int8)), pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(segs).view(np.int64)),
-                pa.array(np.concatenate(docs_)), pa.array(np.concatenate(places))], names=names)
+                *whose.arrow(), pa.array(np.concatenate(places))], names=names)
+
+    return docs.mapInArrow(run, "lane byte, key long, segment long, doc_id long, row long, place long")
 
-    return docs.mapInArrow(run, "lane byte, key long, segment long, doc_id long, place long")
+
+def _ranges(rows: Rows, start: np.ndarray, end: np.ndarray) -> tuple[Rows, np.ndarray, np.ndarray]:
+    """``_merged`` of each row's ranges."""
+    order = np.lexsort((rows.name, rows.doc, rows.null))
+    rows, start, end = rows[order], start[order], end[order]
+    new = rows.changes()
+    which, start, size = _merged(np.cumsum(new) - 1, start, end)
+    return rows[np.flatnonzero(new)[which]], start, size
 
 
 def _merged(doc: np.ndarray, start: np.ndarray, end: np.ndarray, most: int = (1 << 24) - 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -122,39 +170,54 @@ def _merged(doc: np.ndarray, start: np.ndarray, end: np.ndarray, most: int = (1
     return doc, start, size
 
 
+def _leads(rows: DataFrame, at: str, by: list[str]) -> DataFrame:
+    """``rows`` with ``lead``: no row of equal ``by`` is earlier."""
+    place = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", at)
+    least, own = F.min(place).over(Window.partitionBy(*by)), F.min(at).over(Window.partitionBy(*by, "row"))
+    return rows.withColumns({"_least": least, "_own": own}).withColumn(
+        "lead", F.when(F.col("doc_id").isNotNull(), F.col("_least") == place).otherwise(F.col("_least.null") & (F.col(at) == F.col("_own")))).drop("_least", "_own")
+
+
 def _resolved(docs: DataFrame) -> DataFrame:
-    """(doc_id, start, size, gram, check): removed ranges, and first segments (check) whose windows must be looked into."""
+    """(doc_id, row, start, size, check): removed ranges, and first segments (check) whose windows must be looked into."""
     rows = _segments(docs)
     same = Window.partitionBy("key", F.col("lane") == REMOVED, F.col("lane") == ONE_OF)
-    least = F.struct("doc_id", "place")
+    least = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "place")
     joined = rows.withColumns({
         "rows": F.count(F.when(F.col("lane") == ALONE, 1)).over(same), "signs": F.count(F.when(F.col("lane") == SEVERAL, 1)).over(same),
         "low": F.min("segment").over(same), "high": F.max("segment").over(same), "least": F.min(F.when(F.col("lane") == ALONE, least)).over(same)})
     several = F.col("low") != F.col("high")
     start, count = F.shiftright("place", 8), F.col("place").bitwiseAND(255)
+    # without id the least of the own row counts, if no id has the segment
+    lead = F.when(F.col("doc_id").isNotNull(), least == F.col("least")).otherwise(F.col("least.null"))
     one = joined.where(f"lane = {REMOVED} OR lane = {ONE_OF} OR (lane = {ALONE} AND (rows > 1 OR signs > 0))").select(
-        "lane", "segment", "doc_id", "place", (F.col("lane") == ONE_OF).alias("_"), (several | (F.col("lane") == ONE_OF)).alias("several"),
-        (F.struct("doc_id", "place") == F.col("least")).alias("least"), F.when(F.col("lane") == ALONE, F.col("key")).alias("gram"))
+        "lane", "segment", "doc_id", "row", "place", (several | (F.col("lane") == ONE_OF)).alias("several"), lead.alias("least"))
     one = landed(one, "segments")
-    removed = one.where(f"lane = {REMOVED}").select("doc_id", F.shiftright("place", 24).alias("start"), F.col("place").bitwiseAND((1 << 24) - 1).alias("size"))
-    plain = one.where(f"lane = {ALONE} AND NOT several AND NOT least").select("doc_id", start.alias("start"), (count + LENGTH - 1).alias("size"))
-    among = one.where(f"several AND lane <> {REMOVED}")
-    first = among.withColumn("first", F.min(least).over(Window.partitionBy("segment")) == least)
-    first = first.select("doc_id", start.alias("start"), (count + LENGTH - 1).alias("size"), "first")
+    removed = one.where(f"lane = {REMOVED}").select("doc_id", "row", F.shiftright("place", 24).alias("start"), F.col("place").bitwiseAND((1 << 24) - 1).alias("size"))
+    plain = one.where(f"lane = {ALONE} AND NOT several")
+    own = plain.where("doc_id IS NULL AND least").withColumn("least", F.min("place").over(Window.partitionBy("segment", "row")) == F.col("place"))
+    plain = plain.where("NOT (doc_id IS NULL AND least)").unionByName(own).where("NOT least").select("doc_id", "row", start.alias("start"), (count + LENGTH - 1).alias("size"))
+    among = _leads(one.where(f"several AND lane <> {REMOVED}"), "place", ["segment"])
+    first = among.select("doc_id", "row", start.alias("start"), (count + LENGTH - 1).alias("size"), F.col("lead").alias("check"))
     none = F.lit(False)
-    return removed.withColumn("check", none).unionByName(plain.withColumn("check", none)).unionByName(first.withColumnRenamed("first", "check"))
+    return removed.withColumn("check", none).unionByName(plain.withColumn("check", none)).unionByName(first)
+
+
+def _joined(texts: DataFrame, ranges: DataFrame, how: str) -> DataFrame:
+    """Each row with its ranges as an array; identical rows have the same."""
+    ranges = ranges.groupBy(F.col("doc_id").alias("_id"), F.col("row").alias("_name")).agg(F.collect_set(F.struct("start", "size")).alias("ranges"))
+    return texts.join(ranges, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_name")), how)
 
 
-def _by_doc(rows: DataFrame, flag: str | None = None) -> DataFrame:
-    """doc_id, and its ranges as an array."""
-    columns = ["start", "size"] + ([flag] if flag else [])
-    return rows.groupBy("doc_id").agg(F.collect_list(F.struct(*columns)).alias("ranges"))
+def _name():
+    """What tells rows of one doc_id apart."""
+    return F.xxhash64("text")
 
 
 def _texts(docs: DataFrame, kept: list[str]) -> DataFrame:
-    """``kept`` columns, doc_id as _doc, and the compressed text (null for null)."""
-    source = docs.select(*[F.col(c).alias(f"k_{c}") for c in kept], F.col("doc_id").cast("long").alias("_doc"), F.col("text").alias("text"))
-    schema = T.StructType([T.StructField(f"k_{c}", docs.schema[c].dataType) for c in kept] + [T.StructField("_doc", T.LongType()), T.StructField("_packed", T.BinaryType())])
+    """``kept`` columns, doc_id as _doc, the row's name as _row, and the compressed text (null for null)."""
+    source = docs.select(*[F.col(c).alias(f"k_{c}") for c in kept], F.col("doc_id").cast("long").alias("_doc"), _name().alias("_row"), F.col("text").alias("text"))
+    schema = T.StructType([T.StructField(f"k_{c}", docs.schema[c].dataType) for c in kept] + [T.StructField("_doc", T.LongType()), T.StructField("_row", T.LongType()), T.StructField("_packed", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=3)
@@ -165,17 +228,17 @@ def _texts(docs: DataFrame, kept: list[str]) -> DataFrame:
     return source.mapInArrow(run, schema)
 
 
-SPANS = "lane byte, key long, other long, doc_id long, start long, windows int, offset int, span binary"
+SPANS = "key long, doc_id long, row long, start long, windows int, offset int, span binary"
 
 
 def _spans(texts: DataFrame, checks: DataFrame) -> DataFrame:
-    """Rows of segments to look into: lane 0 with their bytes under their anchor string; of hot ones (lane 1) each window's hashes."""
+    """Segments to look into, with their bytes under their anchor string."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
             out = []
-            for doc, packed, ranges in zip(batch.column("_doc").to_pylist(), batch.column("_packed").to_pylist(), batch.column("ranges").to_pylist()):
+            for doc, name, packed, ranges in zip(*(batch.column(c).to_pylist() for c in ("_doc", "_row", "_packed", "ranges"))):
                 data = unpack.decompress(packed)
                 for r in ranges:
                     start, size = r["start"], r["size"]
@@ -187,67 +250,72 @@ def _spans(texts: DataFrame, checks: DataFrame) -> DataFrame:
                     # the anchor is in every window of the segment: the least gram between the last window's start and the first's end
                     among = gram[windows - 1:LENGTH - anchors.GRAM + 1]
                     at = int(among.argmin()) + windows - 1
-                    out.append((0, int(among[at - windows + 1].view(np.int64)), 0, doc, start, windows, at, span))
+                    out.append((int(among[at - windows + 1].view(np.int64)), doc, name, start, windows, at, span))
             if out:
                 columns = list(zip(*out))
-                types = (pa.int8(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["lane", "key", "other", "doc_id", "start", "windows", "offset", "span"])
+                types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["key", "doc_id", "row", "start", "windows", "offset", "span"])
 
-    wanted = texts.join(_by_doc(checks).withColumnRenamed("doc_id", "_doc"), "_doc").select("_doc", "_packed", "ranges")
+    wanted = _joined(texts, checks, "inner").select("_doc", "_row", "_packed", "ranges")
     return wanted.mapInArrow(run, SPANS)
 
 
-def _compared(group: np.ndarray, doc: np.ndarray, start: np.ndarray, windows: np.ndarray, offset: np.ndarray, spans: list[bytes]):
-    """(doc, start, end) of windows that have an equal, earlier one in their group."""
+def _compared(group: np.ndarray, doc: np.ndarray | Rows, start: np.ndarray, windows: np.ndarray, offset: np.ndarray, spans: list[bytes]):
+    """(row, start, end) of windows that have an equal, earlier one in their group; ``doc`` is ids, or rows."""
+    rows = doc if isinstance(doc, Rows) else Rows(np.zeros(len(doc), bool), doc, np.zeros(len(doc), np.int64))
     data = np.frombuffer(b"".join(spans), np.uint8)
     size = windows + LENGTH - 1
     base = np.cumsum(size) - size
-    row = np.repeat(np.arange(len(doc)), windows)
-    turn = common.ragged(np.zeros(len(doc), np.int64), windows)
+    row = np.repeat(np.arange(len(start)), windows)
+    turn = common.ragged(np.zeros(len(start), np.int64), windows)
     # equal windows have the anchor at the same place, so they are sorted apart from the others
     bucket = group[row] * 256 + (offset[row] - turn)
     shared = np.bincount(np.unique(bucket, return_inverse=True)[1])[np.unique(bucket, return_inverse=True)[1]] > 1
     row, turn, bucket = row[shared], turn[shared], bucket[shared]
     at = start[row] + turn
-    order = np.lexsort((at, doc[row], bucket))
+    order = rows[row].order(at, bucket)
     row, turn, bucket, at = row[order], turn[order], bucket[order], at[order]
     suffixes = Suffixes(data, base[row] + turn, LENGTH)
     order = suffixes.sort(bucket)
     kind = suffixes.classes(bucket, order)
-    later = order[1:][kind[1:] == kind[:-1]]  # the sort is stable: the earliest of equals comes first
-    return doc[row[later]], at[later], at[later] + LENGTH
+    # the sort is stable: the earliest of equals comes first
+    later = order[rows[row[order]].later(at[order], np.concatenate([[True], kind[1:] != kind[:-1]]) if len(kind) else np.zeros(0, bool))]
+    return rows[row[later]] if rows is doc else doc[row[later]], at[later], at[later] + LENGTH
 
 
 def _windows(spans: DataFrame) -> DataFrame:
-    """Hot lane: one row per window with two hashes of all its bytes, the earliest of equal ones in a batch."""
+    """Hot lane: windows with two hashes of all their bytes, of equal ones in a batch those with none earlier; and what is removed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin in range(0, batch.num_rows, CHUNK):
                 part = batch.slice(begin, CHUNK)
-                doc, start, windows = part.column("doc_id").to_numpy(), part.column("start").to_numpy(), part.column("windows").to_numpy().astype(np.int64)
+                rows, start, windows = Rows.read(part), part.column("start").to_numpy(), part.column("windows").to_numpy().astype(np.int64)
                 data = np.frombuffer(b"".join(part.column("span").to_pylist()), np.uint8)
                 size = windows + LENGTH - 1
                 base = np.cumsum(size) - size
-                row, turn = np.repeat(np.arange(len(doc)), windows), common.ragged(np.zeros(len(doc), np.int64), windows)
+                row, turn = np.repeat(np.arange(len(start)), windows), common.ragged(np.zeros(len(start), np.int64), windows)
                 at = base[row] + turn
                 one = anchors.mixed(anchors.Hashes(data).of(at, LENGTH))
                 other = anchors.mixed(anchors.Hashes(data ^ np.uint8(0xA5)).of(at, LENGTH) ^ np.uint64(0x5DEECE66D))
-                order = np.lexsort((start[row] + turn, doc[row], other, one))
-                row, turn, one, other = row[order], turn[order], one[order], other[order]
+                rows, place = rows[row], start[row] + turn
+                order = rows.order(place, other, one)
+                rows, place, one, other = rows[order], place[order], one[order], other[order]
                 new = np.concatenate([[True], (one[1:] != one[:-1]) | (other[1:] != other[:-1])])
-                place = start[row] + turn
-                gone = _merged(doc[row[~new]], place[~new], place[~new] + LENGTH)
+                later = rows.later(place, new)
+                stays = ~later & (new | rows.changes() | np.concatenate([[True], place[1:] != place[:-1]]))
+                gone, begin_, size_ = _ranges(rows[later], place[later], place[later] + LENGTH)
+                whose = Rows(*(np.concatenate(x) for x in zip(rows[stays], gone)))
+                none = np.zeros(len(begin_), np.int64)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.concatenate([one[new].view(np.int64), gone[0]])), pa.array(np.concatenate([other[new].view(np.int64), gone[1]])),
-                    pa.array(np.concatenate([doc[row[new]], gone[0]])), pa.array(np.concatenate([place[new], gone[1]])),
-                    pa.array(np.concatenate([np.zeros(int(new.sum()), np.int64), gone[2]]))], names=["one", "other", "doc_id", "start", "size"])
+                    pa.array(np.concatenate([one[stays].view(np.int64), none])), pa.array(np.concatenate([other[stays].view(np.int64), none])), *whose.arrow(),
+                    pa.array(np.concatenate([place[stays], begin_])), pa.array(np.concatenate([np.zeros(int(stays.sum()), np.int64), size_]))], names=["one", "other", "doc_id", "row", "start", "size"])
 
-    return spans.mapInArrow(run, "one long, other long, doc_id long, start long, size long")
+    return spans.mapInArrow(run, "one long, other long, doc_id long, row long, start long, size long")
 
 
 def _repeated_windows(spans: DataFrame) -> DataFrame:
-    """(doc_id, start, size) of what repeats among the looked-into segments."""
+    """(doc_id, row, start, size) of what repeats among the looked-into segments."""
     spans = landed(spans, "spans")
     hot = spans.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("key", (F.col("n") > HOT).alias("hot"))
     spans = spans.join(hot, "key")
@@ -257,9 +325,10 @@ def _repeated_windows(spans: DataFrame) -> DataFrame:
 
         def judged(t: pa.Table):
             key = t.column("key").to_numpy()
-            doc, at, end = _compared(np.cumsum(np.concatenate([[0], key[1:] != key[:-1]])), t.column("doc_id").to_numpy(), t.column("start").to_numpy(),
+            rows, at, end = _compared(np.cumsum(np.concatenate([[0], key[1:] != key[:-1]])), Rows.read(t), t.column("start").to_numpy(),
                                      t.column("windows").to_numpy().astype(np.int64), t.column("offset").to_numpy().astype(np.int64), t.column("span").to_pylist())
-            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in _merged(doc, at, end)], names=["doc_id", "start", "size"])
+            rows, at, size = _ranges(rows, at, end)
+            return pa.RecordBatch.from_arrays([*rows.arrow(), pa.array(at, pa.int64()), pa.array(size, pa.int64())], names=["doc_id", "row", "start", "size"])
 
         for batch in batches:
             for begin in range(0, batch.num_rows, CHUNK):
@@ -273,21 +342,21 @@ def _repeated_windows(spans: DataFrame) -> DataFrame:
         if rest is not None and rest.num_rows:
             yield judged(rest)
 
-    cold = spans.where("NOT hot").repartition("key").sortWithinPartitions("key").select("key", "doc_id", "start", "windows", "offset", "span")
-    found = cold.mapInArrow(run, "doc_id long, start long, size long")
-    windows = _windows(spans.where("hot").select("doc_id", "start", "windows", "span"))
-    least = F.struct("doc_id", "start")
-    later = windows.where("size = 0").withColumn("first", F.min(least).over(Window.partitionBy("one", "other")) == least).where("NOT first")
-    return found.union(later.select("doc_id", "start", F.lit(LENGTH).cast("long").alias("size"))).union(windows.where("size > 0").select("doc_id", "start", "size"))
+    cold = spans.where("NOT hot").repartition("key").sortWithinPartitions("key").select("key", "doc_id", "row", "start", "windows", "offset", "span")
+    found = cold.mapInArrow(run, "doc_id long, row long, start long, size long")
+    windows = _windows(spans.where("hot").select("doc_id", "row", "start", "windows", "span"))
+    later = _leads(windows.where("size = 0"), "start", ["one", "other"]).where("NOT lead")
+    columns = ["doc_id", "row", "start"]
+    return found.union(later.select(*columns, F.lit(LENGTH).cast("long").alias("size"))).union(windows.where("size > 0").select(*columns, "size"))
 
 
 def _apply(docs: DataFrame, kept: list[str], out: list[tuple[str, T.DataType]], function) -> DataFrame:
     """``kept`` columns and those that ``function(bytes or None, removed starts, removed ends)`` makes of each document."""
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _name().alias("row"), F.col("text").alias("text"))
     resolved = landed(_resolved(ids), "resolved")
     texts = _texts(docs, kept)
-    removed = resolved.where("NOT check").select("doc_id", "start", "size").union(_repeated_windows(_spans(texts, resolved.where("check"))))
-    joined = texts.join(_by_doc(removed).withColumnRenamed("doc_id", "_doc"), "_doc", "left").select(*[f"k_{c}" for c in kept], "_packed", "ranges")
+    removed = resolved.where("NOT check").select("doc_id", "row", "start", "size").union(_repeated_windows(_spans(texts, resolved.where("check"))))
+    joined = _joined(texts, removed, "left").select(*[f"k_{c}" for c in kept], "_packed", "ranges")
     schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField(n, t) for n, t in out])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

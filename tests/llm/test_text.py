@@ -320,6 +320,42 @@ def test_repeats_equal_brute_force(spark, hot, monkeypatch):
     assert [got[i] for i in range(len(texts))] == [w[:4] for w in brute_repeats(texts)]
 
 
+def brute_repeats_by_id(rows):
+    """Earlier: a smaller (doc_id, start). Rows without id lose what any id has, and what they have before themselves."""
+    least, out = {}, []
+    windows = [[t.encode()[k:k + 100] for k in range(len(t.encode()) - 99)] for _, t in rows]
+    for (d, _), own in zip(rows, windows):
+        for k, w in enumerate(own):
+            if d is not None:
+                least[w] = min(least.get(w, (d, k)), (d, k))
+    for (d, t), own in zip(rows, windows):
+        x, seen = t.encode(), set()
+        gone = bytearray(len(x))
+        for k, w in enumerate(own):
+            if (least[w] < (d, k)) if d is not None else (w in least or w in seen):
+                gone[k:k + 100] = b"\1" * 100
+            seen.add(w)
+        out.append((-1 if d is None else d, bytes(c for c, g in zip(x, gone) if not g).decode("utf-8", "ignore")))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("hot", [2048, 2])
+@pytest.mark.parametrize("parts, piece", [(1, 2 << 20), (5, 2 << 20), (2, 1000)])
+def test_repeats_of_rows_that_share_an_id_or_have_none(spark, hot, parts, piece, monkeypatch):
+    monkeypatch.setattr(suffix, "HOT", hot)
+    monkeypatch.setattr(suffix, "PIECE", piece)
+    rng = random.Random(12)
+    texts = [t for t in repeats_fixture() if t]
+    one, other = prose(rng, 90), prose(rng, 90)
+    rows = [(500, one)] * 2 + [(500, one + "?" + other)] + [(501, other + one)] * 2 + [(501, "." + one), (502, "é" * 60), (None, one), (None, prose(rng, 50))]
+    rows += [(None, "x" * 400)] * 2 + [(None, t + t) for t in (prose(rng, 60),) * 2]
+    rows += [(rng.choice([1, 2, 3, None, i]), t) for i, t in enumerate(texts)]
+    rows += [r for r in rows[13:] if rng.random() < 0.3]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+    got = sorted((-1 if r.doc_id is None else r.doc_id, r.text) for r in suffix.stage(spark, table, "").collect())
+    assert got == brute_repeats_by_id(rows)
+
+
 def test_repeat_stage_cuts_texts(spark):
     texts = repeats_fixture()
     table = docs(spark, texts)
