@@ -3,10 +3,10 @@
 Documents become token ids and an end id; longer ones than ``capacity`` are cut. Full pieces are sequences of their own. The other
 pieces are dealt to shards of about ``SHARD`` pieces by a hash. A shard packs best fit, largest first, and
 then searches: pieces of underfull sequences move into, or change places one for one and two for one with pieces of, other
-underfull sequences whenever that increases the sum of squared fills, and emptied sequences go. The pieces of
-sequences that stay underfull go to a next round with fewer shards, dealt anew, so that what shards could not fill alone is
-filled across them; this ends with a single shard, or when a round leaves most of its pieces to the next, because then no
-partners exist. A shard has about ``SHARD`` pieces in every round.
+underfull sequences whenever that increases the sum of squared fills, until there is no such change, and emptied sequences go. The pieces of
+sequences that stay underfull go to a next round, dealt anew, so that what shards could not fill alone is
+filled across them; this ends with a single shard, or with a round that needs as many sequences as its pieces had before.
+A shard has about ``SHARD`` pieces in every round.
 
 Defined results: a null or empty text is the end id alone. Repeated rows, also of one doc_id, are packed one by one. An empty table
 gives an empty result. Lengths that tie are taken in the order of (doc_id, piece).
@@ -29,10 +29,6 @@ TOKENIZER = "word_bpe_49k.json"
 CAPACITY = 2048
 END = 0
 SHARD = 20_000
-#: the search empties the emptiest ``EMPTIED`` sequences of a shard into the fullest ``FILLED`` underfull ones
-EMPTIED = 32
-FILLED = 200
-PASSES = 3
 #: a sequence with at most this share of room is not repacked across shards
 SLACK = 0.005
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -81,57 +77,77 @@ def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
-def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int, passes: int = PASSES) -> list[list[int]]:
-    """Moves and exchanges between underfull bins that increase the sum of squared fills.
+def _gives(own: list[int], lengths: np.ndarray) -> list[int]:
+    """What one piece or two of a bin hold, each number once; all different lengths of a bin are few (63 for 2048)."""
+    sizes = sorted(lengths[own].tolist())
+    different = sorted(set(sizes))
+    twice = {a for a, b in zip(sizes, sizes[1:]) if a == b}
+    return sorted({*different, *(a + b for i, a in enumerate(different) for b in different[i + 1:]), *(2 * a for a in twice)})
+
+
+def _taken(own: list[int], size: int, lengths: np.ndarray) -> list[int]:
+    """One piece or two of a bin that hold ``size``."""
+    seen: dict[int, int] = {}
+    for i in own:
+        if lengths[i] == size:
+            return [i]
+    for i in own:
+        if size - int(lengths[i]) in seen:
+            return [seen[size - int(lengths[i])], i]
+        seen[int(lengths[i])] = i
+    raise ValueError("no such pieces")
+
+
+def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> list[list[int]]:
+    """Moves and exchanges between underfull bins that increase the sum of squared fills, until a pass over all finds none.
 
     Taking d tokens from a bin of fill a to one of fill b changes the sum by 2d(b - a + d), so every change carries tokens
-    to the fuller bin or past it. For each bin, emptiest first, and each bin it can give to, fullest first, the best change is the
-    largest gain that the other's room allows: a move, one for one, or two of its pieces for one.
+    to the fuller bin or past it. A pass goes through all underfull bins, fullest first; what one or two pieces of the emptier ones hold is kept
+    sorted, so for each length that the bin can give back (or none) a bisection finds the most that its room allows. It ends early only
+    with as few bins as the tokens need.
     """
+    bins = [list(b) for b in bins]
     fills = [int(lengths[b].sum()) for b in bins]
-    least = -(-sum(fills) // capacity)
-    for _ in range(passes):
-        order = sorted((i for i in range(len(bins)) if fills[i] < capacity and bins[i]), key=lambda i: fills[i])
-        if sum(map(bool, bins)) == least:
-            break
+    least, count = -(-sum(fills) // capacity), len(bins)
+    changed = True
+    while changed and count > least:
         changed = False
-        for low in order[:EMPTIED]:
-            for high in order[:-FILLED - 1:-1]:
-                if high == low or not bins[low] or fills[high] >= capacity or fills[high] < fills[low]:
-                    continue
-                change = _best_change(bins[low], bins[high], lengths, capacity - fills[high])
-                if change:
-                    give, take, d = change
-                    bins[low] = [x for x in bins[low] if x not in give] + take
-                    bins[high] = [x for x in bins[high] if x not in take] + give
-                    fills[low] -= d
-                    fills[high] += d
-                    changed = True
-        if not changed:
-            break
+        order = sorted((i for i in range(len(bins)) if bins[i] and fills[i] < capacity), key=lambda i: fills[i], reverse=True)
+        # of equal sizes the emptiest bin gives: it stands last
+        place = {i: at for at, i in enumerate(order)}
+        gives = sorted((size, place[i]) for i in order for size in _gives(bins[i], lengths))
+
+        def drop(i):
+            for size in _gives(bins[i], lengths):
+                del gives[bisect.bisect_left(gives, (size, place[i]))]
+
+        for high in order:
+            if not bins[high]:
+                continue
+            drop(high)  # from here on it only receives; those that are left are no fuller
+            while (room := capacity - fills[high]) and gives and count > least:
+                best = (0, 0, 0)
+                for back in (0, *sorted(set(lengths[bins[high]].tolist()))):
+                    at = bisect.bisect_right(gives, (room + back, len(order))) - 1
+                    if at >= 0 and gives[at][0] - back > best[0]:
+                        best = (gives[at][0] - back, back, at)
+                        if best[0] == room:
+                            break
+                d, back, at = best
+                if not d:
+                    break
+                size, low = gives[at][0], order[gives[at][1]]
+                give, take = _taken(bins[low], size, lengths), _taken(bins[high], back, lengths) if back else []
+                drop(low)
+                bins[low] = [x for x in bins[low] if x not in give] + take
+                bins[high] = [x for x in bins[high] if x not in take] + give
+                fills[low], fills[high], changed = fills[low] - d, fills[high] + d, True
+                count -= not bins[low]
+                for size in _gives(bins[low], lengths):
+                    bisect.insort(gives, (size, place[low]))
     return [b for b in bins if b]
 
 
-def _best_change(low: list[int], high: list[int], lengths: np.ndarray, room: int) -> tuple[list[int], list[int], int] | None:
-    """(pieces given, pieces taken, tokens carried) with the most tokens carried to the fuller bin, at most ``room``."""
-    own, other = sorted(low, key=lambda i: lengths[i])[-24:], sorted(high, key=lambda i: lengths[i])[:24]
-    mine, theirs = lengths[own], np.concatenate([[0], lengths[other]])
-    gain = mine[:, None] - theirs[None]  # a move (nothing taken) or one for one
-    gain = np.where((gain > 0) & (gain <= room), gain, 0)
-    best, found = int(gain.max()), None
-    if best:
-        i, j = np.unravel_index(int(gain.argmax()), gain.shape)
-        found = [own[i]], [other[j - 1]] if j else [], best
-    if best < room and len(own) > 1:
-        a, b = np.triu_indices(len(own), 1)
-        two = (mine[a] + mine[b])[:, None] - theirs[None]  # two for one, or two moved
-        two = np.where((two > best) & (two <= room), two, 0)
-        if two.any():
-            k, j = np.unravel_index(int(two.argmax()), two.shape)
-            found = [own[a[k]], own[b[k]]], [other[j - 1]] if j else [], int(two[k, j])
-    return found
-
-
 def _pack_shard(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(bin, offset, whether its bin is left underfull) of each piece."""
     bins = local_search(best_fit(lengths, capacity), lengths, capacity)
@@ -164,18 +180,23 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, shard: int = SHARD) -> DataF
     rest = rows.where(F.col("length") < capacity)
     # any number may name a sequence: round and shard in front, so rounds and shards never share one
     done = [full.select("*", (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))]
-    count, number = rest.count(), 0
+    count, number, before = rest.count(), 0, None
     while count:
         shards = -(-count // shard)
         dealt = rest.select(*columns, F.pmod(F.xxhash64(F.lit(number), "doc_id", "piece", "ids_crc32", "length"), F.lit(shards)).alias("_shard"))
         packed = landed(dealt.groupBy("_shard").applyInPandas(_packer(capacity, number << 48), ", ".join(
             f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", sequence_id long, offset long, _open boolean"), "packed")
-        left = packed.where("_open").count() if shards > 1 else 0
-        if left == 0 or left > count // 2:
+        # each sequence has one piece at offset 0
+        needed, left, open_ = packed.agg(F.count_if(F.col("offset") == 0), F.count_if("_open"), F.count_if(F.col("_open") & (F.col("offset") == 0))).first()
+        if before and needed >= before[0]:
+            done.append(before[1])
+            break
+        if left == 0 or shards == 1:
             done.append(packed.drop("_open"))
             break
         done.append(packed.where("NOT _open").drop("_open"))
-        rest, count, number = packed.where("_open").select(*columns), left, number + 1
+        before = open_, packed.where("_open").drop("_open")
+        rest, count, number = before[1].select(*columns), left, number + 1
     out = done[0]
     for part in done[1:]:
         out = out.unionByName(part)

@@ -219,6 +219,32 @@ def test_local_search_empties_a_bin():
     assert packing.local_search([], lengths, 10) == [] and packing.best_fit(np.zeros(0, np.int64), 10) == []
 
 
+def test_local_search_tries_every_underfull_bin():
+    # the only changes are between bins that are neither among the emptiest nor among the fullest; pieces beyond the 24th count too
+    lengths = np.array([51] * 40 + [60, 38, 55, 43] * 300 + [99] * 250 + [2, 1, 1] * 60)
+    bins = [[i] for i in range(40)] + [[40 + 4 * i, 41 + 4 * i] for i in range(300)] + [[42 + 4 * i, 43 + 4 * i] for i in range(300)]
+    bins += [[i] for i in range(1240, 1490)] + [list(range(a, a + 60)) for a in (1490, 1550, 1610)]
+    found = packing.local_search(bins, lengths, 100)
+    fills = [int(lengths[b].sum()) for b in found]
+    assert sorted(i for b in found for i in b) == list(range(len(lengths))) and max(fills) <= 100
+    assert packing.local_search(found, lengths, 100) == found
+    # nothing that one or two pieces of an emptier bin could do is left
+    if len(found) > -(-sum(fills) // 100):
+        for low, a in zip(found, fills):
+            gives = packing._gives(low, lengths)
+            for high, b in zip(found, fills):
+                if high is not low and a <= b < 100:
+                    assert not any(0 < g - y <= 100 - b for g in gives for y in {0, *lengths[high].tolist()})
+
+
+def test_rounds_go_on_while_sequences_are_emptied(spark):
+    # two lengths fill a sequence together; a shard gets few of the rare one, and most pieces stay underfull
+    rows = [(i, 0, 0, 1300 if i < 60 else 748, i) for i in range(120)]
+    table = spark.createDataFrame(rows, packing.PIECES)
+    got = packing.pack(table, shard=7).collect()
+    assert sorted(r.doc_id for r in got) == list(range(120)) and len({r.sequence_id for r in got}) <= 66
+
+
 # --- near duplicates
 
 def brute_near(texts, n):
