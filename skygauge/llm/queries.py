@@ -1,6 +1,6 @@
 """Named queries of the corpus operators, and SQL that states their results where SQL can."""
 
-from skygauge.llm import ann, chat, embdedup, langid, minhash, packing, pieces, quality, suffix, toxicity
+from skygauge.llm import ann, chat, embdedup, langid, minhash, packing, phrases, pieces, quality, secrets, suffix, toxicity, whitening
 
 QUERIES = {
     "op1_language_id": langid.op1,
@@ -13,10 +13,14 @@ QUERIES = {
     "op8_quality": quality.op8,
     "op9_toxicity": toxicity.op9,
     "op10_embedding_dedup": embdedup.op10,
+    "op11_secrets": secrets.op11,
+    "op12_phrases": phrases.op12,
+    "op13_whitening": whitening.op13,
 }
 
 ORACLES: dict[str, str] = {
     "op4_chat": chat.ORACLE,
     "op6_minhash": minhash.ORACLE,
     "op10_embedding_dedup": embdedup.ORACLE,
+    "op12_phrases": phrases.ORACLE,
 }
