@@ -1,10 +1,11 @@
 """Phrase collocations: frequent phrases of two and three words, scored at their weakest cut.
 
 Texts are lower-cased (A-Z only), split at punctuation into pieces and those into words. Every word starts a suffix of up to
-three words of its piece; a slice of documents sends each different suffix once, with its count. The suffixes are routed by their leading
+three words of its piece; a slice of documents holds each different suffix once, with its count. The suffixes are routed by their leading
 words, up to and including the first word that is not frequent: a frequent word (more than ``HEAVY`` occurrences and more than 1 / 65536 of all)
-never brings its suffixes to one task, and at most 65,536 words are frequent. Where they arrive, suffixes are sorted by a multikey
-three-way quicksort, block by block, and a block ends only between routes; the weight of an equal partition is the phrase's count, and
+never brings its suffixes to one task, and at most 65,536 words are frequent (their 64-bit hashes go to every task; words that share such a hash are routed alike,
+which changes no count). The routes are dealt to buckets of about ``BUCKET`` words; a slice sends one compressed block of suffixes to each bucket and language.
+A bucket's suffixes are sorted by a multikey three-way quicksort; the weight of an equal partition is the phrase's count, and
 partitions below ``LEAST`` are abandoned (``multikey``). Prefixes shorter than their route are counted in part there and summed afterwards.
 
 A phrase of ``a`` occurrences, cut into parts of ``l`` and ``r``, scores floor(1000000 a a / (l r)) in decimal arithmetic, exact for counts below
@@ -16,10 +17,13 @@ An empty table gives an empty result.
 """
 
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -31,124 +35,162 @@ LEAST = 10
 TOP = 2000
 HEAVY = 1000
 SHARE = 1 << 16
-SLICE = 4 << 20
-BLOCK = 500_000
-BROADCAST_BYTES = 16 << 20
+SLICE = 8 << 20
+BUCKET = 2_000_000
 WORDS = ("w1", "w2", "w3")
 SUFFIX = "lang string, w1 string, w2 string, w3 string, n long"
+_SUFFIX_SCHEMA = pa.schema([("lang", pa.string()), *((w, pa.string()) for w in WORDS), ("n", pa.int64())])
 #: every end of a piece becomes a full stop, the tab a space
 _ENDS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", b"." * 10 + b" ")
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def words_of(texts: list[str]) -> list[bytes]:
-    """The words of all texts; a full stop stands for the end of a piece."""
+def words_of(texts: list[str]) -> pa.Array:
+    """The words of all texts, dictionary-encoded; code 0 is a full stop and stands for the end of a piece."""
     data = b" . ".join([t.encode("utf-8", "replace") for t in texts]).lower().translate(_ENDS)
-    return [b".", *data.replace(b".", b" . ").split(), b".", b"."]
+    data = b". " + data.replace(b".", b" . ") + b" . ."
+    parts = pc.ascii_split_whitespace(pa.Array.from_buffers(pa.large_string(), 1, [None, pa.py_buffer(np.array([0, len(data)], np.int64)), pa.py_buffer(data)]))
+    words = parts.flatten()
+    return words.filter(pc.greater(pc.binary_length(words), 0)).dictionary_encode()
+
+
+def hashes(words: pa.Array, lang: str) -> np.ndarray:
+    """A 64-bit hash of each word of a language."""
+    seed = xxhash.xxh64_intdigest(lang.encode("utf-8", "replace"))
+    return np.array([xxhash.xxh64_intdigest(w, seed) for w in words.cast(pa.large_binary()).to_pylist()], np.uint64)
+
+
+def _by_lang(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.Array]]:
+    """Language and words of the texts of each slice."""
+    for batch in common.slices(batches, most=SLICE):
+        langs, texts = batch.column("lang"), batch.column("text")
+        for lang in langs.unique().to_pylist():
+            yield lang, words_of(texts.filter(pc.equal(langs, lang)).to_pylist())
+
+
+def _filled(docs: DataFrame) -> DataFrame:
+    return docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
+
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """lang, w1, hash and n of every word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, coded in _by_lang(batches):
+            n = np.bincount(coded.indices.to_numpy(zero_copy_only=False))[1:]
+            words = coded.dictionary[1:]
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), words.cast(pa.string()), pa.array(hashes(words, lang).view(np.int64)), pa.array(n, pa.int64())],
+                                             names=["lang", "w1", "hash", "n"])
+
+    return _filled(docs).mapInArrow(run, "lang string, w1 string, hash long, n long").groupBy("lang", "w1", "hash").agg(F.sum("n").alias("n"))
 
 
-def counted(texts: list[str]) -> tuple[list[pa.Array], np.ndarray]:
-    """Different suffixes of up to three words, as columns of words, and their numbers."""
-    coded = pa.array(words_of(texts), pa.large_binary()).dictionary_encode()
+def counted(coded: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Different suffixes of up to three words, as codes (place, suffix) with 0 past the end, and their numbers."""
     code, size = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), len(coded.dictionary)
-    first, second, third = code[:-2], code[1:-1], code[2:]  # 0 is the full stop
+    first, second, third = code[:-2], code[1:-1], code[2:]
     kept = first > 0
     first, second, third = first[kept], second[kept], (third * (second > 0))[kept]
     pair = first * size + second
+    known = None
     if size >= 1 << 20:  # three numbers would not fit
         known, pair = np.unique(pair, return_inverse=True)
-    else:
-        known = None
     key, n = np.unique(pair * size + third, return_counts=True)
     pair, third = key // size, key % size
     pair = pair if known is None else known[pair]
-    shown = coded.dictionary.cast(pa.large_string()).cast(pa.string())
-    return [shown.take(pa.array(c, mask=c == 0)) for c in (pair // size, pair % size, third)], n
+    return np.stack([pair // size, pair % size, third]), n
 
 
-def suffixes(docs: DataFrame) -> DataFrame:
-    """lang, w1, w2, w3 and n: the suffixes of up to three words, once for each slice and language."""
+def routes(codes: np.ndarray, hashed: np.ndarray, heavy: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, number) of each suffix's leading words up to the first that is not frequent; ``hashed``: of the words by code, ``heavy``: sorted."""
+    place = np.minimum(np.searchsorted(heavy, hashed), max(len(heavy) - 1, 0))
+    frequent = heavy[place] == hashed if len(heavy) else np.zeros(len(hashed), bool)
+    route, depth, on = hashed[codes[0]], np.ones(codes.shape[1], np.int8), np.ones(codes.shape[1], bool)
+    for level in (1, 2):
+        on = on & frequent[codes[level - 1]]
+        depth[on] = level + 1
+        route = np.where(on, (route ^ (route >> np.uint64(29))) * _MIX + hashed[codes[level]], route)
+    return route ^ (route >> np.uint64(32)), depth
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.slices(batches, most=SLICE):
-            langs, texts = batch.column("lang"), batch.column("text")
-            for lang in langs.unique().to_pylist():
-                columns, n = counted(texts.filter(pc.equal(langs, lang)).to_pylist())
-                table = pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), *columns, pa.array(n)], schema=_SUFFIX_SCHEMA)
-                for at in range(0, len(n), 100_000):
-                    yield table.slice(at, 100_000)
 
-    return docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, SUFFIX)
+def _packed(words: pa.Array, codes: np.ndarray, n: np.ndarray, depth: np.ndarray) -> bytes:
+    """Suffixes as the words they use and columns of numbers, byte planes apart."""
+    used, own = np.unique(codes, return_inverse=True)
+    text = b" ".join(words.take(pa.array(used)).cast(pa.large_binary()).to_pylist())
+    columns = np.concatenate([own.reshape(3, -1), n[None]]).astype(np.uint32)
+    columns[0, 1:] -= columns[0, :-1].copy()  # they are sorted
+    planes = columns.view(np.uint8).reshape(4, -1, 4).transpose(0, 2, 1).tobytes()
+    sizes = np.array([len(n), len(used), len(text)], np.int64).tobytes()
+    return zstandard.ZstdCompressor(level=3).compress(sizes + planes + depth.tobytes() + text)
 
 
-_SUFFIX_SCHEMA = pa.schema([("lang", pa.string()), *((w, pa.string()) for w in WORDS), ("n", pa.int64())])
+def _unpacked(payload: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    data = zstandard.ZstdDecompressor().decompress(payload)
+    n, _, size = np.frombuffer(data, np.int64, 3)
+    columns = np.frombuffer(data, np.uint8, 16 * n, 24).reshape(4, 4, n).transpose(0, 2, 1).copy().view(np.uint32)[..., 0]
+    columns[0] = np.cumsum(columns[0], dtype=np.uint32)
+    return data[len(data) - size:].split(b" "), columns[:3], columns[3], np.frombuffer(data, np.int8, n, 24 + 16 * n)
 
 
-def routed(rows: DataFrame, words: DataFrame) -> DataFrame:
-    """``rows`` with depth and route: the number of leading words up to the first that is not frequent, and their hash."""
-    total = words.agg(F.sum("n")).first()[0] or 0
-    heavy = words.where(F.col("n") > max(HEAVY, total // SHARE)).select("lang", "w1")
-    if (heavy.agg(F.sum(F.octet_length("w1") + F.octet_length("lang"))).first()[0] or 0) <= BROADCAST_BYTES:
-        heavy = F.broadcast(heavy)
-    for name in WORDS[:2]:
-        rows = rows.join(heavy.select("lang", F.col("w1").alias(name), F.lit(True).alias(f"heavy_{name}")), ["lang", name], "left")
-    both = F.col("heavy_w1").isNotNull() & F.col("heavy_w2").isNotNull()
-    depth = F.when(F.col("heavy_w1").isNull(), 1).when(~both, 2).otherwise(3)
-    rows = rows.select("lang", *WORDS, "n", depth.alias("depth"))
-    lead = [F.when(F.col("depth") > i, F.col(w)) for i, w in enumerate(WORDS)]
-    return rows.withColumn("route", F.xxhash64("lang", *lead))
-
-
-def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Table]:
-    """Tables of about ``most`` rows of a task sorted by route; the rows of a route stay together."""
-    kept, n = [], 0
-    for batch in batches:
-        kept.append(batch)
-        n += batch.num_rows
-        if n >= most:
-            table = pa.Table.from_batches(kept)
-            route = table["route"].to_numpy()
-            cut = int(np.searchsorted(route, route[-1]))
-            if cut:
-                yield table.slice(0, cut)
-            kept, n = table.slice(cut).combine_chunks().to_batches(), n - cut
-            most = max(most, 2 * n)  # a route beyond the size isn't looked through again with every batch
-    if n:
-        yield pa.Table.from_batches(kept)
-
-
-def _frequent(table: pa.Table, least: int) -> Iterator[pa.RecordBatch]:
-    table = table.combine_chunks()
-    flat = pa.chunked_array([c for w in WORDS for c in table[w].chunks]).combine_chunks().dictionary_encode()
-    code = pc.fill_null(flat.indices, -1).to_numpy(zero_copy_only=False).astype(np.int64).reshape(3, -1)
-    lang = table["lang"].combine_chunks().dictionary_encode()
-    code[0] += lang.indices.to_numpy(zero_copy_only=False).astype(np.int64) * len(flat.dictionary)
-    weight, depth = table["n"].to_numpy(), table["depth"].to_numpy()
+def routed(docs: DataFrame, heavy: np.ndarray, buckets: int) -> DataFrame:
+    """bucket, lang and payload: the suffixes of up to three words, once for each slice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, coded in _by_lang(batches):
+            codes, n = counted(coded)
+            hashed = hashes(coded.dictionary, lang)
+            route, depth = routes(codes, hashed, heavy)
+            bucket = (route % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
+            for a, b in zip(cuts, cuts[1:]):
+                own = order[a:b]
+                payload = _packed(coded.dictionary, codes[:, own], n[own], depth[own])
+                yield pa.RecordBatch.from_pydict({"bucket": [int(bucket[own[0]])], "lang": [lang], "payload": [payload]})
+
+    return _filled(docs).mapInArrow(run, "bucket long, lang string, payload binary")
+
+
+def _frequent(lang: str, payloads: list[bytes], least: int) -> Iterator[pa.RecordBatch]:
+    """The frequent prefixes of one bucket and language."""
+    parts = [_unpacked(p) for p in payloads]
+    words = pa.array([w for part in parts for w in part[0]], pa.binary()).dictionary_encode()
+    number = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    stop = np.flatnonzero(np.array([w == b"." for w in words.dictionary.to_pylist()]))
+    first = np.cumsum([0, *(len(part[0]) for part in parts)])
+    codes = np.concatenate([number[at + part[1]] for at, part in zip(first, parts)], axis=1)
+    codes[np.isin(codes, stop)] = -1
+    weight, depth = (np.concatenate([part[i] for part in parts]) for i in (2, 3))
+    shown = words.dictionary.cast(pa.string())
     for d in (1, 2, 3):
         rows = np.flatnonzero(depth == d)
         floors = tuple(least if level >= d else 1 for level in (1, 2, 3))  # prefixes shorter than the route are only a part
-        for level, (at, n) in enumerate(heavy_prefixes(code[:, rows], weight[rows], floors), 1):
-            own = table.take(pa.array(rows[at]))
-            columns = [own[w].combine_chunks() if i < level else pa.nulls(len(n), pa.string()) for i, w in enumerate(WORDS)]
+        for level, (at, n) in enumerate(heavy_prefixes(codes[:, rows], weight[rows], floors), 1):
+            own = codes[:, rows[at]]
+            columns = [shown.take(pa.array(own[i])) if i < level else pa.nulls(len(n), pa.string()) for i in range(3)]
             if len(n):
-                yield pa.RecordBatch.from_arrays([own["lang"].combine_chunks(), *columns, pa.array(n)], schema=_SUFFIX_SCHEMA)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), *columns, pa.array(n, pa.int64())], schema=_SUFFIX_SCHEMA)
 
 
-def frequent(rows: DataFrame, least: int = LEAST, block: int = BLOCK) -> DataFrame:
+def frequent(rows: DataFrame, least: int = LEAST) -> DataFrame:
     """lang, w1, w2, w3 (null past the end) and n of every prefix of a routed suffix that occurs ``least`` times."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _blocks(batches, block):
-            yield from _frequent(table, least)
+        each = (row for batch in batches for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()))
+        for (_, lang), group in groupby(each, key=lambda row: row[:2]):
+            yield from _frequent(lang, [row[2] for row in group], least)
 
-    parts = rows.repartition("route").sortWithinPartitions("route").mapInArrow(run, SUFFIX)
+    parts = rows.repartition("bucket").sortWithinPartitions("bucket", "lang").mapInArrow(run, SUFFIX)
     return parts.groupBy("lang", *WORDS).agg(F.sum("n").alias("n")).where(F.col("n") >= least)
 
 
 def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the ``top`` phrases of each language."""
-    rows = landed(suffixes(docs), "suffixes")
-    words = landed(rows.groupBy("lang", "w1").agg(F.sum("n").alias("n")), "words")
-    counts = landed(frequent(routed(rows, words), least), "frequent")
+    words = landed(word_counts(docs), "words")
+    total = words.agg(F.sum("n")).first()[0] or 0
+    hot = words.where(F.col("n") > max(HEAVY, total // SHARE)).select("hash").distinct().collect()  # at most ``SHARE`` rows
+    buckets = max(4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET))
+    counts = landed(frequent(routed(docs, np.sort(np.array([r.hash for r in hot], np.int64).view(np.uint64)), buckets), least), "frequent")
     one = counts.where("w2 IS NULL").select("lang", "w1", "n")
     two = counts.where("w2 IS NOT NULL AND w3 IS NULL").select("lang", "w1", "w2", "n")
     three = counts.where("w3 IS NOT NULL").select("lang", *WORDS, F.col("n").alias("a"))

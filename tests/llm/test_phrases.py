@@ -52,9 +52,9 @@ def made(rng, n, vocabulary):
 
 @pytest.mark.parametrize("heavy", [1000, 20])
 def test_against_brute_force(spark, monkeypatch, heavy):
-    """With a low bound for frequent words all three kinds of routes occur, and blocks end inside the tasks."""
+    """With a low bound for frequent words all three kinds of routes occur."""
     monkeypatch.setattr(phrases, "HEAVY", heavy)
-    monkeypatch.setattr(phrases.frequent, "__defaults__", (phrases.LEAST, 50))
+    monkeypatch.setattr(phrases, "BUCKET", 50)
     rng = random.Random(heavy)
     vocabulary = ["a", "a", "a", "the", "the", "The", "of", "É", "é", "ß", " x", "\x1cy", "n-gram", "o'c", *(f"w{i}" for i in range(25))]
     rows = made(rng, 250, vocabulary)
@@ -66,20 +66,37 @@ def test_against_brute_force(spark, monkeypatch, heavy):
     assert sorted(map(tuple, found.collect())) == sorted(want)
 
 
-def test_frequent_words_are_routed_by_what_follows(spark, monkeypatch):
-    monkeypatch.setattr(phrases, "HEAVY", 5)
-    rows = spark.createDataFrame([("en", "a", f"x{i}", "y", 1) for i in range(50)] + [("en", "a", "a", f"z{i}", 1) for i in range(50)], phrases.SUFFIX)
-    words = spark.createDataFrame([("en", "a", 150), ("en", "y", 3)], "lang string, w1 string, n long")
-    routes = phrases.routed(rows, words).groupBy("route").count().collect()
-    assert len(routes) == 100 and {r["count"] for r in routes} == {1}
+def test_frequent_words_are_routed_by_what_follows():
+    coded = phrases.words_of([" . ".join([f"a x{i} y" for i in range(50)] + [f"a a z{i}" for i in range(50)] + ["q r s"] * 3)])
+    codes, n = phrases.counted(coded)
+    hashed = phrases.hashes(coded.dictionary, "en")
+    a, y = (hashed[coded.dictionary.to_pylist().index(w)] for w in "ay")
+    route, depth = phrases.routes(codes, hashed, np.sort(np.array([a, y])))
+    first, second = codes[0] == coded.dictionary.to_pylist().index("a"), codes[1] == coded.dictionary.to_pylist().index("a")
+    assert (depth[first & second] == 3).all() and (depth[first & ~second] == 2).all() and (depth[~first] <= 2).all()
+    assert len(set(route[first])) == 50 + 50 + 50 and n.max() == 50 and n.sum() == 309
+    assert (phrases.routes(codes, hashed, np.zeros(0, np.uint64))[1] == 1).all()
+
+
+def test_blocks_of_suffixes_are_read_back():
+    coded = phrases.words_of(["a b c. b c. é", "c " * 300, "x1 x2 x3"])
+    codes, n = phrases.counted(coded)
+    depth = np.arange(len(n), dtype=np.int8) % 3
+    words, own, weight, deep = phrases._unpacked(phrases._packed(coded.dictionary, codes, n, depth))
+    plain = [w.encode() for w in coded.dictionary.to_pylist()]
+    assert [[words[c] for c in row] for row in own.tolist()] == [[plain[c] for c in row] for row in codes.tolist()]
+    assert weight.tolist() == n.tolist() and deep.tolist() == depth.tolist()
 
 
 def test_products_beyond_64_bits(spark, monkeypatch):
     big = 3 * 10**12 + 1
-    rows = [("en", "a", "b", "c", big), ("en", "b", "c", None, big + 5), ("en", "c", None, None, big + 7)]
-    monkeypatch.setattr(phrases, "suffixes", lambda docs: spark.createDataFrame(rows, phrases.SUFFIX))
+    rows = [("en", "a", None, None, big), ("en", "a", "b", None, big), ("en", "a", "b", "c", big), ("en", "b", None, None, big + 5), ("en", "b", "c", None, big + 5),
+            ("en", "c", None, None, big + 7)]
+    monkeypatch.setattr(phrases, "frequent", lambda rows_, least: spark.createDataFrame(rows, phrases.SUFFIX))
+    monkeypatch.setattr(phrases, "word_counts", lambda docs: spark.createDataFrame([("en", "a", 1, 3 * big)], "lang string, w1 string, hash long, n long"))
     found = [tuple(r) for r in phrases.collocations(spark.createDataFrame([], SCHEMA)).collect()]
-    assert found == [("en", 1, "a b c", big, big, big + 7, 3 * big + 12, 10**6 * big * big // (big * (big + 7)))]
+    score = 10**6 * big * big // (big * (big + 5))  # equal to that of the second cut after flooring
+    assert found == [("en", 1, "a b c", big, big, big + 5, 3 * big, score)]
 
 
 def test_one_word_repeated_and_a_very_long_word(spark):
