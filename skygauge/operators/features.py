@@ -57,8 +57,8 @@ def _underflow(decay: float) -> int:
 def with_api(blocked: DataFrame, decay: float = DECAY) -> DataFrame:
     """Add API to rows that carry ``_block``: s[t] = decay * s[t-1] + rain[t] over the whole history.
 
-    Two levels: inside a stretch of a block a running sum of rain scaled by decay^-i, scaled back; between
-    stretches one row each with its own end value, scanned along the district, carries the state.
+    Inside a stretch of a block a running sum of rain scaled by decay^-i, scaled back; between stretches
+    a tree scan of their end values carries the state.
     """
     if not 0 < decay < 1:
         raise ValueError("decay lies between 0 and 1")
@@ -70,13 +70,42 @@ def with_api(blocked: DataFrame, decay: float = DECAY) -> DataFrame:
     running = F.sum(rain * F.pow(F.lit(decay), -F.col("_i"))).over(parts.orderBy("Date").rowsBetween(W.unboundedPreceding, 0))
     local = placed.withColumn("_local", F.pow(F.lit(decay), F.col("_i")) * running)
     ends = local.groupBy("District", "_block", "_part").agg(F.count(F.lit(1)).alias("_n"), F.max_by("_local", "_i").alias("_end"))
-    before = W.partitionBy("District").orderBy("_block", "_part").rowsBetween(-_underflow(decay), -1)  # every stretch has a row
-    carried = ends.select("District", "_block", "_part", F.aggregate(
-        F.collect_list(F.struct("_n", "_end")).over(before), F.lit(0.0), lambda s, x: s * F.pow(F.lit(decay), x["_n"]) + x["_end"]).alias("_carry"))
-    return local.join(carried, ["District", "_block", "_part"]).withColumn(
+    return local.join(_carried(ends, decay), ["District", "_block", "_part"]).withColumn(
         "API", F.round(F.col("_local") + F.pow(F.lit(decay), F.col("_i")) * F.col("_carry"), API_DIGITS)).drop("_at", "_part", "_i", "_local", "_carry")
 
 
+#: blocks that are combined before the scan along a district
+GROUP = 64
+
+
+def _carried(ends: DataFrame, decay: float) -> DataFrame:
+    """``_carry``, the state before each stretch, by a tree scan over (rows, end value) pairs.
+
+    Two neighbouring pairs combine to (n + m, end * decay^m + other), in any grouping: stretches to their block, blocks to groups of
+    ``GROUP``; on the way down each adds what lies before it in the next larger unit. Along a district there is one row for each block.
+    """
+    def joined(a, b):
+        return F.struct((a["_n"] + b["_n"]).alias("_n"), (a["_end"] * F.pow(F.lit(decay), b["_n"]) + b["_end"]).alias("_end"))
+
+    def earlier(pairs, w, start=W.unboundedPreceding):
+        nothing = F.struct(F.lit(0).cast("bigint").alias("_n"), F.lit(0.0).alias("_end"))
+        return F.aggregate(F.collect_list(pairs).over(w.rowsBetween(start, -1)), nothing, joined)
+
+    pair = F.struct("_n", "_end")
+    parts = ends.withColumn("_in_block", earlier(pair, W.partitionBy("District", "_block").orderBy("_part")))
+    blocks = parts.groupBy("District", "_block").agg(F.max_by(joined(F.col("_in_block"), pair), "_part").alias("_whole"))
+    along = W.partitionBy("District").orderBy("_block")
+    blocks = blocks.withColumn("_block_group", F.floor((F.row_number().over(along) - 1) / GROUP))
+    blocks = blocks.withColumn("_in_group", earlier(F.col("_whole"), W.partitionBy("District", "_block_group").orderBy("_block")))
+    ends_group = F.lead("_block_group").over(along).eqNullSafe(F.col("_block_group"))
+    blocks = blocks.withColumn("_group_whole", F.when(~ends_group, joined(F.col("_in_group"), F.col("_whole"))))
+    # a block has a row at least, so what ended further back has no weight left
+    blocks = blocks.withColumn("_groups", earlier(F.col("_group_whole"), along, -(_underflow(decay) + GROUP)))
+    blocks = blocks.select("District", "_block", joined(F.col("_groups"), F.col("_in_group"))["_end"].alias("_before"))
+    carry = F.col("_before") * F.pow(F.lit(decay), F.col("_in_block._n")) + F.col("_in_block._end")
+    return parts.join(blocks, ["District", "_block"]).select("District", "_block", "_part", carry.alias("_carry"))
+
+
 PANEL_VALUES = ["Precip", "MaxTemp_2m", "TempRange_2m"]
 
 

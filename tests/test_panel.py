@@ -4,6 +4,7 @@ import random
 import re
 from datetime import date
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -145,6 +146,23 @@ def test_cold_start_rows(panel):
     assert early[8] == (6.0, 14.0, 36.0, 37.0, 3.0)
 
 
+@pytest.mark.parametrize("group", [3, 64])
+def test_rain_index_over_many_small_blocks(panel, monkeypatch, group):
+    """States pass through stretches, blocks and groups of blocks."""
+    monkeypatch.setattr(X, "GROUP", group)
+    monkeypatch.setattr(X, "STRETCH", 4)
+    rng = np.random.default_rng(1)
+    rain = [None if r < 0.5 else float(r) for r in rng.exponential(3, 700)]
+    df = panel({"A": [(1.0, r, 1.0) for r in rain], "B": [(1.0, 5.0, 1.0)] * 3})
+    for block in (F.col("Date"), F.expr("unix_date(Date) div 11"), F.lit(1)):
+        for decay in (0.8, 0.02):
+            got, state = by_date(X.add_api(df, decay, block=block), "A", "API"), 0.0
+            assert len(got) == len(rain)
+            for value, r in zip(got, rain):
+                state = state * decay + (r or 0.0)
+                assert abs(value - state) < 2e-6
+
+
 def test_windows_never_gather_a_whole_district(panel, values):
     """Row windows run per (District, block); only block summaries are scanned per District."""
     plan = X.build_features(panel(values))._jdf.queryExecution().optimizedPlan().toString()
@@ -152,5 +170,6 @@ def test_windows_never_gather_a_whole_district(panel, values):
     for line in plan.splitlines():
         if "Window [" in line:
             partition = re.findall(r"\[([^\[\]]*)\]", line)[-2]
-            summaries = "sum(_n#" in line or "AS _next#" in line
+            # one row per block: sizes, the blocks within reach, and the tree scan of the rain index
+            summaries = any(x in line for x in ("sum(_n#", "AS _next#", "row_number() windowspecdefinition(District#", "lead(_block_group#", "collect_list(_group_whole#"))
             assert "District" in partition and ("_block" in partition or summaries), line

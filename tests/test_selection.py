@@ -3,10 +3,11 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from skygauge.operators import evaluate as E
+from skygauge.operators import evaluate as E, percentiles
 from skygauge.operators.ordered import positions, running_totals
 from skygauge.operators.percentiles import approx_percentiles, exact_percentiles
 
@@ -30,6 +31,29 @@ def test_exact_percentiles(spark, accuracy):
             assert got[k][n] == pytest.approx(float(np.quantile(vs, p)), rel=1e-12, abs=1e-12), (k, n)
 
 
+@pytest.mark.parametrize("groups", [0, 100])
+def test_percentiles_of_large_groups_are_narrowed(spark, monkeypatch, groups):
+    """Brackets that hold more than a task should sort are narrowed first, ties and nulls included."""
+    monkeypatch.setattr(percentiles, "INSIDE", 60)
+    monkeypatch.setattr(percentiles, "CUTS", 16)
+    monkeypatch.setattr(percentiles, "GROUPS", groups)
+    monkeypatch.setattr(percentiles, "PART_ROWS", 5000)
+    rng = np.random.default_rng(6)
+    data = {"even": rng.normal(size=30_000), "ties": np.where(rng.random(20_000) < 0.7, 0.0, rng.exponential(size=20_000)),
+            "steps": rng.integers(0, 5, 10_000).astype(float), "far": np.append(rng.normal(size=5000), [1e300, -1e300]), "few": np.array([3.0, 1.0])}
+    df = spark.createDataFrame(pd.DataFrame({"k": np.repeat(list(data), [len(v) for v in data.values()]), "v": np.concatenate(list(data.values()))}))
+    df = df.union(spark.createDataFrame([("none", None), ("even", None)], "k string, v double")).repartition(4)
+    rounds = []
+    narrowed = percentiles._narrowed
+    monkeypatch.setattr(percentiles, "_narrowed", lambda *a: rounds.append(1) or narrowed(*a))
+    ps = {"p0": 0.0, "p1": 0.01, "p50": 0.5, "p69": 0.6999, "p95": 0.95, "p100": 1.0}
+    got = {r.k: r for r in exact_percentiles(df, "k", {n: ("v", p) for n, p in ps.items()}, 200).collect()}
+    assert rounds and got.keys() == {*data, "none"} and got["none"].p50 is None
+    for k, v in data.items():
+        for name, p in ps.items():
+            assert got[k][name] == pytest.approx(np.quantile(v, p, method="linear"), rel=1e-12), (k, name)
+
+
 def test_approx_percentiles_are_values(spark):
     df = spark.createDataFrame([("a", float(i)) for i in range(100)], "k string, v double")
     assert approx_percentiles(df, "k", {"p": ("v", 0.95)}).first().p == 94.0
