@@ -1,20 +1,21 @@
-"""Token ids of whole texts by a word-level BPE tokenizer file, remembered by runs without white space and by words.
+"""Token ids of whole texts by a byte-level BPE tokenizer file, remembered by runs without white space.
 
-The file's own library gives the result: its model splits each different word, and texts with a special token or an unusual
-case rule go to it whole. The caches change no result; when one is full, the entries still in use move on to the next generation.
+The words of all runs that a slice of texts has anew are merged at once (``merges.Pairs``); texts with a special token or an unusual
+case rule, and very long words, go to the file's own library. The cache changes no result.
 """
 
 import json
 import unicodedata
-from array import array
+from itertools import chain
 
 import numpy as np
 import regex
 from tokenizers import Tokenizer
 
-from skygauge.llm import common
+from skygauge.llm import common, merges
 
-CACHE = 250_000
+#: runs, and characters of runs, that are remembered between slices
+CACHE, CACHE_CHARS = 200_000, 4_000_000
 #: characters whose lower case or spacing the library and Python treat differently
 _UNUSUAL = regex.compile("[\x1c-\x1fΣİ]")
 
@@ -26,75 +27,90 @@ def _byte_names() -> list[str]:
     return [chr(b) if b in shown else chr(next(rest)) for b in range(256)]
 
 
-class _Words(dict):
-    """word -> ids."""
-
-    def __init__(self, model, names: list[str]):
-        super().__init__()
-        self.model, self.names, self.old = model, names, {}
-
-    def __missing__(self, word: str) -> list[int]:
-        ids = self.old.get(word)
-        if ids is None:
-            shown = word if word.isascii() and word.isprintable() else "".join([self.names[b] for b in word.encode("utf-8", "replace")])
-            ids = [token.id for token in self.model.tokenize(shown)]
-        if len(word) < 60:
-            if len(self) >= CACHE:
-                self.old = dict(self)
-                self.clear()
-            self[word] = ids
-        return ids
-
-
-class Encoder(dict):
-    """run -> row; each row has the run's ids."""
-
+class Encoder:
     def __init__(self, path: str):
-        super().__init__()
         with open(path, encoding="utf-8") as file:
             data = json.load(file)
         self.library = Tokenizer.from_file(path)
         splits = [p for p in data["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"]
         self.words = regex.compile(splits[0]["pattern"]["Regex"], regex.V0)
         self.special = [t["content"] for t in data["added_tokens"]]
-        self.known = _Words(self.library.model, _byte_names())
+        self.names = _byte_names()
+        model = data["model"]
+        vocabulary, end = model["vocab"], model["end_of_word_suffix"] or ""
+        self.inner = np.array([vocabulary[n] for n in self.names], np.int64)
+        self.last = np.array([vocabulary[n + end] for n in self.names], np.int64)
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        left, right, joined = (np.array([vocabulary[x] for x in column], np.int64) for column in zip(*((a, b, a + b) for a, b in pairs)))
+        self.pairs = merges.Pairs(left, right, np.arange(len(pairs)), joined, 1 + max(vocabulary.values()))
         self.forget()
 
     def forget(self) -> None:
-        self.clear()
-        self.flat, self.bounds = array("I"), array("q", [0])
-        self._table = None
+        """The remembered runs; each has a row with its ids."""
+        self.known: dict[str, int] = {}
+        self.chars = 0
+        self.flat, self.bounds = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     def start(self) -> None:
         """Called before a slice of texts; rows stay valid within one."""
-        if len(self.bounds) > CACHE:
+        if len(self.known) > CACHE or self.chars > CACHE_CHARS:
             self.forget()
 
-    def _add(self, ids) -> int:
-        self.flat.extend(ids)
-        self.bounds.append(len(self.flat))
-        return len(self.bounds) - 2
-
-    def __missing__(self, run: str) -> int:
-        ids = []
-        for word in self.words.findall(run):
-            ids += self.known[word]
-        row = self._add(ids)
-        if len(run) < 60:
-            self[run] = row
-        return row
+    def _merged(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each word)."""
+        data = [w.encode("utf-8", "replace") for w in words]
+        size = np.array([len(d) for d in data], np.int64)
+        byte = np.frombuffer(b"".join(data), np.uint8)
+        symbol = self.inner[byte]
+        ends = np.cumsum(size) - 1
+        symbol[ends] = self.last[byte[ends]]
+        word = np.repeat(np.arange(len(words)), size)
+        short = (size <= merges.LONG)[word]
+        ids, of, _ = self.pairs.merge(symbol[short], word[short])
+        for w in np.flatnonzero(size > merges.LONG):
+            own = [t.id for t in self.library.model.tokenize("".join([self.names[b] for b in data[w]]))]
+            at = np.searchsorted(of, w)
+            ids, of = np.insert(ids, at, own), np.insert(of, at, [w] * len(own))
+        return ids, np.bincount(of, minlength=len(words))
+
+    def _add(self, ids: np.ndarray, counts: np.ndarray) -> int:
+        """The first of the new rows."""
+        self.flat = np.concatenate([self.flat, ids.astype(np.uint32)])
+        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(counts)])
+        return len(self.bounds) - 1 - len(counts)
+
+    def _learn(self, runs: list[str]) -> None:
+        # a run of letters alone is a word
+        words = [[run] if run.isalpha() else self.words.findall(run) for run in runs]
+        sizes = np.array([len(w) for w in words], np.int64)
+        flat = list(chain.from_iterable(words))
+        ids, counts = self._merged(flat) if flat else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        total = np.concatenate([[0], np.cumsum(counts)])
+        ends = np.cumsum(sizes)
+        first = self._add(ids, total[ends] - total[ends - sizes])
+        self.known.update(zip(runs, range(first, first + len(runs))))
+        self.chars += sum(map(len, runs))
+
+    def all_rows(self, texts: list[str]) -> list[list[int]]:
+        """The rows of each text's runs."""
+        plain = [not (any(token in text for token in self.special) or _UNUSUAL.search(text)) for text in texts]
+        runs = [unicodedata.normalize("NFC", text).lower().split() if own else [] for text, own in zip(texts, plain)]
+        new = set().union(*runs).difference(self.known)
+        if new:
+            self._learn(list(new))
+        rows = [list(map(self.known.__getitem__, own)) for own in runs]
+        for i, own in enumerate(plain):
+            if not own:
+                ids = np.array(self.library.encode(texts[i], add_special_tokens=False).ids, np.int64)
+                rows[i] = [self._add(ids, np.array([len(ids)]))]
+        return rows
 
     def rows(self, text: str) -> list[int]:
-        if any(token in text for token in self.special) or _UNUSUAL.search(text):
-            return [self._add(self.library.encode(text, add_special_tokens=False).ids)]
-        return list(map(self.__getitem__, unicodedata.normalize("NFC", text).lower().split()))
+        return self.all_rows([text])[0]
 
     def ids(self, rows: list[int]) -> np.ndarray:
-        if self._table is None or len(self._table[1]) != len(self.bounds):
-            self._table = np.frombuffer(self.flat.tobytes(), np.uint32), np.frombuffer(self.bounds.tobytes(), np.int64)
-        flat, bounds = self._table
         own = np.array(rows, np.int64)
-        return flat[common.ragged(bounds[own], bounds[own + 1] - bounds[own])]
+        return self.flat[common.ragged(self.bounds[own], self.bounds[own + 1] - self.bounds[own])]
 
 
 _encoders: dict[str, Encoder] = {}

@@ -48,6 +48,10 @@ def _unrole(role: str) -> str:
     return re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], role)
 
 
+def unescaped(body: str) -> str:
+    return _ESCAPED.sub(r"\1\2\3", body)
+
+
 def parse(formatted: str) -> list[tuple[str, str, int, int]] | None:
     """(role, text, start and end of the text in ``formatted``) of every turn; None outside the grammar."""
     found, at = [], 0
@@ -60,8 +64,8 @@ def parse(formatted: str) -> list[tuple[str, str, int, int]] | None:
         split = formatted.find("\n", at + len(start), stop)
         if stop < 0 or split < 0:
             return None
-        role = _unrole(_ESCAPED.sub(r"\1\2\3", formatted[at + len(start):split]))
-        found.append((role, _ESCAPED.sub(r"\1\2\3", formatted[split + 1:stop]), split + 1, stop))
+        role = _unrole(unescaped(formatted[at + len(start):split]))
+        found.append((role, unescaped(formatted[split + 1:stop]), split + 1, stop))
         at = stop + len(end)
     return found
 
@@ -98,8 +102,8 @@ def format_turns(conversations: DataFrame) -> DataFrame:
 
 
 def read_back(turns: DataFrame) -> DataFrame:
-    """Digests of every conversation, parsed from the formatted text alone."""
-    ordered = turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "formatted")
+    """Digests of every conversation: turns parsed from the formatted text alone, the loss read under its mask."""
+    ordered = turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "formatted", "loss_start", "loss_end")
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,6 +117,7 @@ def read_back(turns: DataFrame) -> DataFrame:
         for batch in common.slices(batches, "formatted"):
             done = []
             convs, texts = batch.column("conv_id").to_pylist(), batch.column("formatted").to_pylist()
+            masks = list(zip(batch.column("loss_start").to_pylist(), batch.column("loss_end").to_pylist()))
             start = 0
             for i in range(1, len(convs) + 1):
                 if i < len(convs) and convs[i] == convs[start]:
@@ -125,9 +130,10 @@ def read_back(turns: DataFrame) -> DataFrame:
                 for role, text, _, _ in parse(whole):
                     state[0] += 1
                     state[1].update(f"{role}\n{text}\n".encode("utf-8", "replace"))
-                    if role == LEARNED_ROLE:
-                        state[2] += len(text)
-                        state[3].update(text.encode("utf-8", "replace"))
+                for formatted, (begin, end) in zip(texts[start:i], masks[start:i]):
+                    learned = unescaped(formatted[begin:end])
+                    state[2] += len(learned)
+                    state[3].update(learned.encode("utf-8", "replace"))
                 state[4] += len(whole)
                 start = i
             if done:

@@ -26,21 +26,33 @@ def held_out(modulus: int, remainder: int, doc_id: str = "doc_id") -> Column:
     return F.coalesce(fold(doc_id, modulus) == remainder, F.lit(True))
 
 
-def sampled(rows: DataFrame, limit: int, by: list[str] | None = None, seed: int = 17) -> DataFrame:
-    """At most ``limit`` rows (of each group of ``by``) in the order of a hash of doc_id.
+def sampled(rows: DataFrame, limit: int, by: str | None = None, seed: int = 17) -> DataFrame:
+    """At most ``limit`` rows (of each value of ``by``, of which there are few) in the order of a hash of doc_id.
 
-    The row limit runs before the shuffle too, so a hot group sends at most ``limit`` rows from each task.
+    Only the lowest part of the hashes can hold the first rows, so the rest stays where it is: of a group of any size about four times
+    ``limit`` rows are sent.
     """
     place = F.xxhash64(F.lit(seed), "doc_id")
     if by:
-        return rows.withColumn("_place", F.row_number().over(Window.partitionBy(*by).orderBy(place, "doc_id"))).where(F.col("_place") <= limit).drop("_place")
-    # only the lowest part of the hashes can hold the first rows: the rest stays where it is
+        sizes = {r[by]: r["n"] for r in rows.where(F.col(by).isNotNull()).groupBy(by).agg(F.count("*").alias("n")).collect()}
+        if not sizes:
+            return rows.limit(0)
+        share = F.create_map(*[F.lit(x) for value, n in sizes.items() for x in (value, 4 * limit / n)])
+        near = rows.where(place.cast("double") / 2.0**64 + 0.5 < F.element_at(share, F.col(by)))
+        return near.withColumn("_place", F.row_number().over(Window.partitionBy(by).orderBy(place, "doc_id"))).where(F.col("_place") <= limit).drop("_place")
     share = 4 * limit / max(1, rows.count())
     if share < 1:
         rows = rows.where(place < F.lit(int((share - 0.5) * 2**64)))
     return rows.orderBy(place, "doc_id").limit(limit)
 
 
+def unused(columns: list[str], prefix: str) -> str:
+    """``prefix``, made longer until no column begins with it."""
+    while any(c.lower().startswith(prefix) for c in columns):
+        prefix = "_" + prefix
+    return prefix
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches into row ranges of about ``most`` bytes of ``column``; one long row stays whole."""
     for batch in batches:

@@ -6,12 +6,13 @@ don't hide the words. A text is cut into pieces of ``PIECE`` bytes; each piece i
 language with the smallest total wins. The margin is the gap to the runner-up as a share of the
 runner-up's size; a narrow margin is rejected.
 
-Learning takes a bounded sample: at most ``SAMPLE_DOCS`` documents a language, ``SAMPLE_CHARS`` characters of each.
+Learning takes a bounded sample: at most ``SAMPLE_DOCS`` documents a language, of each ``EXCERPTS`` excerpts of ``EXCERPT_CHARS`` characters spread over the whole
+text (a shorter text whole). The dictionary has the different excerpts in turn, the first of every document before the second of any, up to ``DICTIONARY_BYTES``.
 Prediction reads whole texts and nothing but the text.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0 and is rejected. Without any
 learned language every text is ``und``. Equal sizes go to the language first by name. Repeated rows are
-answered one by one. ``predict`` keeps extra columns unless an output column has their name (``prefix`` avoids that).
+answered one by one. ``predict`` keeps extra columns, whatever their names, unless an output column has their name (``prefix`` avoids that).
 """
 
 from collections.abc import Iterator
@@ -28,7 +29,8 @@ from skygauge.llm import common, words
 UNKNOWN = "und"
 DICTIONARY_BYTES = 256 << 10
 SAMPLE_DOCS = 400
-SAMPLE_CHARS = 1500
+EXCERPTS = 4
+EXCERPT_CHARS = 320
 PIECE = 2048
 LEVEL = 5
 MARGIN = 0.01
@@ -42,14 +44,21 @@ def letters(text: str) -> bytes:
 
 def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, dictionary_bytes: int = DICTIONARY_BYTES) -> dict[str, bytes]:
     """One dictionary for each value of ``lang``, from at most ``sample_docs`` texts of it."""
-    rows = common.sampled(
-        docs.where(F.col("lang").isNotNull() & (F.length("text") > 0)).select("doc_id", "lang", F.substring("text", 1, SAMPLE_CHARS).alias("text")),
-        sample_docs, ["lang"])
-    texts: dict[str, list[bytes]] = {}
-    for row in rows.orderBy("lang", F.xxhash64("doc_id"), "doc_id", "text").collect():
-        if common.has_letter(row.text):
-            texts.setdefault(row.lang, []).append(letters(row.text))
-    return {lang: b"\n".join(own)[:dictionary_bytes] for lang, own in sorted(texts.items())}
+    room = F.greatest(F.length("text") - EXCERPT_CHARS, F.lit(0))
+    starts = [F.floor(room * i / (EXCERPTS - 1)).cast("int") + 1 for i in range(EXCERPTS)]
+    excerpts = F.when(room < EXCERPT_CHARS * (EXCERPTS - 1), F.array(F.substring("text", 1, EXCERPT_CHARS * EXCERPTS))).otherwise(
+        F.array(*[F.substr("text", start, F.lit(EXCERPT_CHARS)) for start in starts]))
+    known = docs.where(F.col("lang").isNotNull() & (F.length("text") > 0)).select("doc_id", "lang", "text")
+    rows = common.sampled(known, sample_docs, "lang").select("doc_id", "lang", excerpts.alias("excerpts"))
+    texts: dict[str, list[list[str]]] = {}
+    for row in rows.orderBy("lang", F.xxhash64("doc_id"), "doc_id", "excerpts").collect():
+        if any(map(common.has_letter, row.excerpts)):
+            texts.setdefault(row.lang, []).append(row.excerpts)
+    found = {}
+    for lang, own in sorted(texts.items()):
+        turns = [letters(excerpts[i]) for i in range(EXCERPTS) for excerpts in own if i < len(excerpts)]
+        found[lang] = b"\n".join(dict.fromkeys(turns))[:dictionary_bytes]
+    return found
 
 
 class Classifier:
@@ -83,14 +92,14 @@ def predict(docs: DataFrame, dictionaries: dict[str, bytes], keep: list[str] | N
     """``keep`` columns (default all) followed by lang_pred, score, margin and rejected, each after ``prefix``."""
     names = [prefix + name for name, _ in OUT]
     kept = [c for c in (docs.columns if keep is None else keep) if c not in names]
-    source = docs.select(*kept, F.col("text").alias("_text"))
+    source = docs.select(*[F.col(c).alias(f"k_{c}") for c in kept], F.col("text").alias("text"))
     schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField(prefix + n, t) for n, t in OUT])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classify = Classifier(dictionaries)
-        for batch in common.slices(batches, "_text"):
-            found = [classify(text) for text in batch.column("_text").to_pylist()]
-            columns = [batch.column(c) for c in kept] + [pa.array(v, t) for v, t in zip(
+        for batch in common.slices(batches):
+            found = [classify(text) for text in batch.column("text").to_pylist()]
+            columns = [batch.column(f"k_{c}") for c in kept] + [pa.array(v, t) for v, t in zip(
                 zip(*found), (pa.string(), pa.float64(), pa.float64(), pa.bool_()))]
             yield pa.RecordBatch.from_arrays(columns, names=[*kept, *names])
 
@@ -107,4 +116,5 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised with a sufficient margin."""
     dictionaries = learn(common.table(spark, sf_dir, "documents").where(~common.held_out(4, 2)))
-    return predict(docs, dictionaries, prefix="_langid_").where("NOT _langid_rejected").select(*docs.columns)
+    prefix = common.unused(docs.columns, "_langid_")
+    return predict(docs, dictionaries, prefix=prefix).where(~F.col(f"{prefix}rejected")).select(*docs.columns)

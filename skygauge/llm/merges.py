@@ -1,33 +1,54 @@
-"""Byte-pair merges of one word: the pair whose joined text has the smallest rank is merged first, the leftmost among equals."""
+"""Byte-pair merges: the pair whose joined text has the smallest rank is merged first, the leftmost among equals.
+
+``Pairs`` merges many words of numbered symbols at once, one merge a word and round; ``merge`` merges one long word with a heap.
+"""
 
 import heapq
-from collections.abc import Callable
+
+import numpy as np
 
 LONG = 100
-_NONE = float("inf")
-
-
-def merge(parts: list[str], rank: Callable[..., float | None]) -> list[str]:
-    """``rank`` is the ``get`` of a table from joined texts to ranks."""
-    if len(parts) > LONG:
-        return _merge_long(parts, rank)
-    ranks = [rank(a + b, _NONE) for a, b in zip(parts, parts[1:])]
-    while ranks:
-        best = min(ranks)
-        if best == _NONE:
-            break
-        i = ranks.index(best)
-        new = parts[i] = parts[i] + parts.pop(i + 1)
-        del ranks[i]
-        if i:
-            ranks[i - 1] = rank(parts[i - 1] + new, _NONE)
-        if i < len(ranks):
-            ranks[i] = rank(new + parts[i + 1], _NONE)
-    return parts
-
-
-def _merge_long(parts: list[str], rank) -> list[str]:
-    """The same with a heap and links, for words of any length."""
+_NONE = np.iinfo(np.int32).max
+
+
+class Pairs:
+    """A table from pairs of symbols to their rank and to the symbol that replaces them."""
+
+    def __init__(self, left: np.ndarray, right: np.ndarray, rank: np.ndarray, joined: np.ndarray, symbols: int):
+        """``symbols``: larger than every symbol that will be merged."""
+        key = left.astype(np.int64) * symbols + right
+        order = np.argsort(key)
+        self.size, self.key, self.rank, self.joined = symbols, key[order], rank[order].astype(np.int32), joined[order].astype(np.int64)
+
+    def merge(self, symbol: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(symbols, their words, the first symbols' number in each) after all merges; ``word`` numbers the words and rises."""
+        width = np.ones(len(symbol), np.int64)
+        done: list[tuple[np.ndarray, ...]] = [(symbol[:0], word[:0], width[:0])]
+        while len(symbol):
+            key = symbol[:-1] * self.size + symbol[1:]
+            at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+            found = (word[:-1] == word[1:]) & (self.key[at] == key)
+            rank = np.append(np.where(found, self.rank[at], _NONE), _NONE)
+            starts = np.flatnonzero(np.diff(word, prepend=-1))
+            sizes = np.diff(starts, append=len(word))
+            best = np.repeat(np.minimum.reduceat(rank, starts), sizes)
+            over = best == _NONE
+            if over.any():
+                done.append((symbol[over], word[over], width[over]))
+            hit = np.flatnonzero((rank == best) & ~over)
+            hit = hit[np.diff(word[hit], prepend=-1) != 0]  # the leftmost of each word
+            symbol[hit] = self.joined[at[hit]]
+            width[hit] += width[hit + 1]
+            kept = ~over
+            kept[hit + 1] = False
+            symbol, word, width = symbol[kept], word[kept], width[kept]
+        symbol, word, width = (np.concatenate(x) for x in zip(*done))
+        order = np.argsort(word, kind="stable")
+        return symbol[order], word[order], width[order]
+
+
+def merge(parts: list[str], rank) -> list[str]:
+    """The parts of one word after all merges, with a heap and links; ``rank`` is the ``get`` of a table from joined texts to ranks."""
     parts = list(parts)
     before, after = list(range(-1, len(parts) - 1)), [*range(1, len(parts)), -1]
     heap = [(r, i, i + 1, a, b) for i, (a, b) in enumerate(zip(parts, parts[1:])) if (r := rank(a + b)) is not None]

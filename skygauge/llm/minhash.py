@@ -20,11 +20,12 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skygauge.llm import common
 from skygauge.llm.components import components
+from skygauge.operators.ordered import positions
 from skygauge.store import landed
 
 BANDS = 24
@@ -227,14 +228,27 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five-word shingles): the one with the smallest id."""
-    drop = near_duplicates(docs, 5).where("NOT kept").select(F.col("doc_id").alias("_drop")).distinct()
-    left = docs.join(drop, docs["doc_id"] == drop["_drop"], "left_anti")
-    repeated = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("_n")).where("_n > 1").select("doc_id")
+    """One document of each group of near duplicates (five-word shingles): the one with the smallest id.
+
+    Rows that share a doc_id are documents of their own if their texts differ, and one document otherwise; of those one row stays, and among
+    near duplicates of one id the one whose text has the smallest hash. Rows without id all stay.
+    """
+    repeated = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("_n")).where("_n > 1")
     if repeated.isEmpty():
-        return left
-    once = left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return left.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(once.select(*docs.columns))
+        drop = near_duplicates(docs, 5).where("NOT kept").select(F.col("doc_id").alias("_drop"))
+        return docs.join(drop, docs["doc_id"] == drop["_drop"], "left_anti")
+    # documents are numbered in the order of (doc_id, hash of the text)
+    own = common.unused(docs.columns, "_near_")
+    named = docs.withColumn(f"{own}name", F.xxhash64("text"))
+    texts = named.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(f"{own}id"), F.col(f"{own}name").alias(f"{own}key")).agg(F.min("text").alias("text"))
+    numbered = landed(positions(texts, [f"{own}id", f"{own}key"], f"{own}number"), "numbered")
+    kept = near_duplicates(numbered.select(F.col(f"{own}number").alias("doc_id"), "text"), 5).where("kept").select(F.col("doc_id").alias(f"{own}number"))
+    kept = numbered.join(kept, f"{own}number", "left_semi").select(f"{own}id", f"{own}key")
+    chosen = named.join(kept, (F.col("doc_id") == F.col(f"{own}id")) & (F.col(f"{own}name") == F.col(f"{own}key")), "left_semi")
+    whole = F.struct(*[F.hash(c).alias(f"h{i}") for i, c in enumerate(docs.columns)])
+    place = F.row_number().over(Window.partitionBy("doc_id", f"{own}name").orderBy(whole))
+    once = chosen.withColumn(f"{own}place", place).where(F.col(f"{own}place") == 1).select(*docs.columns)
+    return once.unionByName(docs.where("doc_id IS NULL"))
 
 
 ORACLE = r"""

@@ -42,7 +42,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool
         own = bpe.encoder(path)
         for batch in common.slices(batches):
             own.start()
-            rows = [own.rows(text or "") for text in batch.column("text").to_pylist()]
+            rows = own.all_rows([text or "" for text in batch.column("text").to_pylist()])
             out = []
             for doc_id, row in zip(batch.column("doc_id").to_pylist(), rows):
                 ids = np.append(own.ids(row), np.uint32(END)).astype("<u4")
@@ -52,6 +52,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool
             columns = list(zip(*out))
             types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t, _ in zip(columns, types, names)], names=names)
+        own.forget()  # the process may go on with other work
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).mapInArrow(run, PIECES + ", ids array<long>" * with_ids)
 

@@ -176,4 +176,5 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score at least ``THRESHOLD``."""
-    return score(docs, learned(spark, sf_dir), prefix="_quality_").where("_quality_predicted = 1").select(*docs.columns)
+    prefix = common.unused(docs.columns, "_quality_")
+    return score(docs, learned(spark, sf_dir), prefix=prefix).where(F.col(f"{prefix}predicted") == 1).select(*docs.columns)

@@ -38,7 +38,7 @@ HOT = 2048
 #: what a row of the first pass is: the only segment of its anchor string in its slice, a sign that there were several, one of those, a removal
 ALONE, SEVERAL, ONE_OF, REMOVED = range(4)
 CHUNK = 8_000
-PIECE = 2 << 20
+PIECE = 512 << 10
 
 
 class Rows(NamedTuple):

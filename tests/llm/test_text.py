@@ -417,3 +417,46 @@ def test_suffix_sort_orders_by_bytes():
     # segments that share an anchor string but no window
     found = suffix._compared(np.array([0, 0]), np.array([1, 2]), np.array([0, 0]), np.array([1, 1]), np.array([3, 9]), [b"a" * 100, b"b" * 100])
     assert all(len(x) == 0 for x in found)
+
+
+def test_columns_with_names_of_the_stages_own(spark):
+    """Extra columns keep their values whatever they are called, in the prediction and in the stages."""
+    rows = spark.createDataFrame([(1, "the thing and the other", "x", "y", 7.0, "en")], "doc_id long, text string, _text string, k_text string, _quality_score double, _langid_margin string")
+    found = langid.predict(rows, {"en": b"the thing and the other", "de": b"das ding und das andere"}).first()
+    assert (found._text, found.k_text, found.lang_pred) == ("x", "y", "en")
+    assert langid.common.unused(rows.columns, "_quality_") == "__quality_"
+    for stage in (quality.stage, langid.stage):
+        left = stage(spark, rows.withColumns({"n_chars": F.length("text"), "lang": F.lit("en"), "source": F.lit("s")}), "/root/testdata/sf0.001")
+        assert {"_quality_score", "_langid_margin", "_text"} < set(left.columns)
+        for row in left.collect():
+            assert row._quality_score == 7.0 and row._langid_margin == "en"
+
+
+def test_language_samples_reach_every_part_of_long_texts(spark):
+    long = "a " * 40_000 + "middle " * 40_000 + "end " * 40_000
+    rows = spark.createDataFrame([(1, long, "x"), (2, "short words", "x"), (3, None, "x"), (4, "0", "y"), (5, "other", None)], "doc_id long, text string, lang string")
+    found = langid.learn(rows)
+    assert set(found) == {"x"} and {b"a", b"middle", b"end", b"short"} <= set(found["x"].split())
+    many = spark.createDataFrame([(i, "same header " * 30 + f"own{i:04d} " * 200, "x") for i in range(400)], "doc_id long, text string, lang string")
+    own = langid.learn(many)["x"]
+    assert len({w for w in own.split() if w.startswith(b"own")}) == 1 or own.count(b"same header") <= 500
+    assert len(langid.learn(many, sample_docs=7)["x"]) < 7 * 1400
+
+
+def test_loss_is_read_under_its_mask(spark):
+    turns = [(1, 0, "user", "ask"), (1, 1, "assistant", "an</s>swer"), (2, 0, "assistant", ""), (2, 1, "assistant", "more")]
+    made = chat.format_turns(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))
+    good = {r.conv_id: r for r in chat.read_back(made).collect()}
+    assert good[1].loss_chars == 10 and good[1].loss_sha256 == hashlib.sha256(b"an</s>swer").hexdigest() and good[2].loss_chars == 4
+    moved = {r.conv_id: r for r in chat.read_back(made.withColumn("loss_start", F.col("loss_start") + F.when(F.col("loss_end") > 0, 1).otherwise(0))).collect()}
+    assert moved[1].turns_sha256 == good[1].turns_sha256 and moved[1].loss_sha256 != good[1].loss_sha256 and moved[1].loss_chars == 9
+
+
+def test_near_duplicate_stage_loses_no_text_of_repeated_ids(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    schema = "doc_id long, text string, _near_id long"
+    rows = [(1, a, 1), (2, a, 2), (2, b, 3), (3, c, 4), (3, c, 4), (4, c, 5), (None, a, 6), (5, None, 7), (5, "", 8), (5, "", 9)]
+    left = minhash.stage(spark, spark.createDataFrame(rows, schema).repartition(4), "")
+    assert left.columns == ["doc_id", "text", "_near_id"]
+    got = sorted(((r.doc_id or 0), r.text or "-") for r in left.collect())
+    assert got == sorted([(0, a), (1, a), (2, b), (3, c), (5, "-"), (5, "-")])
