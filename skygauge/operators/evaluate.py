@@ -68,7 +68,7 @@ def score_prefix(df: DataFrame, by=()) -> DataFrame:
     """
     counts = score_counts(df, by)
     along = running_totals(counts, [*by, F.desc("p")], {"tp": "pos", "fp": "neg"})
-    sets = counts.groupBy(*by).agg(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg"))
+    sets = along.groupBy(*by).agg(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg"))  # from the pinned counts
     if not by:
         whole = sets.agg(F.struct(F.first("all_pos").alias("p"), F.first("all_neg").alias("n"))).scalar()
         return along.withColumns({"all_pos": whole["p"], "all_neg": whole["n"]})

@@ -7,7 +7,7 @@ from skygauge.plans.registry import query
 from skygauge.plans.serving import LATEST_SQL
 from skygauge.plans.summaries import ALERTS_SQL, HOURLY_SQL
 from skygauge.plans.views import messages, predictions, station_events
-from skygauge.store import fresh_path
+from skygauge.store import fresh_path, read_if_present
 from skygauge.streaming import sinks
 from skygauge.streaming.sources import file_stream
 
@@ -97,10 +97,17 @@ def stream_alerts(spark, folder):
     return spark.read.parquet(sink)
 
 
-@query("stream_hourly", HOURLY_SQL, "station_events")
+@query("stream_hourly", HOURLY_SQL.replace(" FROM station_events GROUP BY 1, 2", """,
+  count(*) FILTER (WHERE id % 40 = 0 AND fetch_time < TIMESTAMP '2024-01-11') AS late_rows FROM station_events GROUP BY 1, 2"""), "station_events")
 def stream_hourly(spark, folder):
-    sink = drain(spark, "hourly", event_parts(spark, folder), lambda s, p, c: sinks.hourly(s, p, c, sinks.ONCE))
-    return spark.read.parquet(sink).drop("batch_id", "day")
+    """Every 40th event of the first ten days arrives with the last instalment, many days late."""
+    early = (F.col("id") % 40 == 0) & (F.col("fetch_time") < F.lit("2024-01-11 00:00:00").cast("timestamp_ntz"))
+    first, second, third = event_parts(spark, folder)
+    sink = drain(spark, "hourly", [first.filter(~early), second, third.unionByName(first.filter(early))], lambda s, p, c: sinks.hourly(s, p, c, sinks.ONCE))
+    late = read_if_present(spark, f"{sink}/late")
+    late = late.groupBy("District", F.date_trunc("hour", "fetch_time").cast("timestamp_ntz").alias("hour_bucket")).agg(F.count(F.lit(1)).alias("late_rows"))
+    hours = spark.read.parquet(f"{sink}/hours").drop("batch_id", "day", "state", "before")
+    return hours.join(late, ["District", "hour_bucket"], "left").fillna(0, ["late_rows"])
 
 
 @query("stream_running", """SELECT District, count(*) AS fetches, max(fetch_time) AS last_fetch, arg_max(max_temp, fetch_time) AS last_temp,

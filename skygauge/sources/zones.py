@@ -31,19 +31,21 @@ def upsert(updates: DataFrame, path: str, key: list, newest: list, by: list, tim
     """Insert or overwrite rows by primary key; only partitions touched by ``updates`` are rewritten.
 
     Rows inside a partition are sorted by ``time``, newest first. The partition columns must be
-    functions of the key. Only the updates are reduced to one row per key; stored rows, unique already, are joined with them.
+    functions of the key. Only the updates are reduced to one row per key; the stored rows of the touched partitions, unique already,
+    are read once and joined with them once.
     """
     spark = updates.sparkSession
-    kept = updates.persist()  # read for its partitions, its keys and its rows: computed once
+    kept = updates.persist()  # read for its partitions and its rows: computed once
     try:
-        latest = newest_per_key(kept, key, newest)
+        latest, columns = newest_per_key(kept, key, newest), updates.columns
         current = read_if_present(spark, path)
         if current is not None:
-            here = current.join(kept.select(*by).distinct(), by, "left_semi")
-            incoming = latest.select(*key, F.struct(*newest).alias("_new"))
-            old = here.join(incoming, key, "left").filter(F.col("_new").isNull() | (F.struct(*newest) > F.col("_new"))).drop("_new")
-            ahead = here.select(*key, F.struct(*newest).alias("_old"))
-            latest = latest.join(ahead, key, "left").filter(F.col("_old").isNull() | (F.col("_old") <= F.struct(*newest))).drop("_old").unionByName(old)
+            here = current.select(*columns).join(kept.select(*by).distinct(), by, "left_semi")
+            rest = F.struct(*[c for c in columns if c not in key])
+            both = here.select(*key, rest.alias("_old")).join(latest.select(*key, rest.alias("_new")), key, "full_outer")
+            rank = {side: F.struct(*[(F.col(c) if c in key else F.col(f"{side}.{c}")).alias(c) for c in newest]) for side in ("_old", "_new")}
+            stays = F.col("_new").isNull() | (F.col("_old").isNotNull() & (rank["_old"] > rank["_new"]))
+            latest = both.select(*key, F.when(stays, F.col("_old")).otherwise(F.col("_new")).alias("_row")).select(*key, "_row.*").select(*columns)
         (
             latest.hint("rebalance", *by).sortWithinPartitions(*by, F.desc(time))
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from skygauge.functions import rules
 from skygauge.operators import serving, summaries
 from skygauge.sources.messages import accepted, event_date, parse_messages, quarantined
-from skygauge.sources.zones import newest_per_key, replace_partitions, upsert
+from skygauge.sources.zones import newest_per_key, replace_partitions
 from skygauge.store import read_if_present
 
 ONCE = {"availableNow": True}
@@ -101,24 +101,72 @@ def raise_alerts(events: DataFrame, path: str, checkpoint: str, trigger=EVERY_10
     )
 
 
+def _hour_state(rows: DataFrame) -> DataFrame:
+    """District, hour_bucket and what of an hour can be added up, as ``_new``."""
+    rain = F.sum(F.col("precipitation").cast("decimal(28,12)"))
+    hour = F.date_trunc("hour", "fetch_time").cast("timestamp_ntz")
+    return rows.groupBy("District", hour.alias("hour_bucket")).agg(F.struct(
+        F.count(F.lit(1)).alias("record_count"), F.sum(F.col("max_temp").cast("decimal(28,12)")).alias("temp_sum"), F.count("max_temp").alias("temp_count"),
+        F.max("max_temp").alias("max_temp"), rain.alias("rain_sum"), F.count_if(rules.is_hot(F.col("max_temp"))).alias("heatwave_alerts"),
+        F.count_if(rules.is_heavy_rain(F.col("precipitation"))).alias("flood_alerts")).alias("_new"))
+
+
+def _added(a: str, b: str):
+    """Two states of an hour as one; either may be null."""
+    def both(name, f):
+        return f(F.col(f"{a}.{name}"), F.col(f"{b}.{name}"))
+
+    def plus(x, y):
+        return F.coalesce(x + y, x, y)
+    sums = {n: both(n, plus) for n in ("record_count", "temp_sum", "temp_count", "rain_sum", "heatwave_alerts", "flood_alerts")}
+    sums |= {n: sums[n].cast("decimal(38,12)") for n in ("temp_sum", "rain_sum")} | {"max_temp": both("max_temp", F.greatest)}
+    order = ("record_count", "temp_sum", "temp_count", "max_temp", "rain_sum", "heatwave_alerts", "flood_alerts")
+    return F.struct(*[sums[n].alias(n) for n in order])
+
+
 def hourly(events: DataFrame, path: str, checkpoint: str, trigger=EVERY_10S, late="1 day") -> StreamingQuery:
-    """Hourly statistics per district, upserted into a table partitioned by day.
+    """Hourly statistics per district in ``path/hours``, partitioned by day; rows count in their hour however late they come.
 
-    Open hours are updated as they change, so only the days of changed hours are rewritten. The state is bounded by ``late``: rows
-    further behind the newest are not counted in, and :func:`late_rows` says how many there were.
+    A batch is reduced to one row per district and hour, which is added to what the table holds of that hour: sums, counts and maxima stay in ``state``,
+    and ``before`` is the hour without its last batch, from which a repeated batch starts again. Only the days of changed hours are
+    rewritten, and nothing is held between batches. Rows further than ``late`` behind the newest of the batches before, and rows without a time (which
+    count in no hour), are also filed under ``path/late``; ``path/log`` has a line per batch, whose ``records`` and ``late`` add up to what was sent.
     """
-    timed = events.withColumn("fetch_time", F.col("fetch_time").cast("timestamp")).withWatermark("fetch_time", late)
-    grouped = timed.groupBy("District", F.window("fetch_time", "1 hour")).agg(
-        F.count(F.lit(1)).alias("record_count"), summaries.exact_avg("max_temp").alias("avg_temp"), F.max("max_temp").alias("max_temp"),
-        summaries.exact_sum("precipitation").alias("total_precip"),
-        F.count_if(rules.is_hot(F.col("max_temp"))).alias("heatwave_alerts"), F.count_if(rules.is_heavy_rain(F.col("precipitation"))).alias("flood_alerts"))
-
     def batch(df, number):
-        hour = F.col("window.start").cast("timestamp_ntz")
-        rows = df.select("District", hour.alias("hour_bucket"), *[c for c in df.columns if c not in ("District", "window")],
-                         F.lit(number).alias("batch_id"), hour.cast("date").alias("day"))
-        upsert(rows, path, key=["District", "hour_bucket", "day"], newest=["batch_id"], by=["day"], time="hour_bucket")
-    return _batches(grouped, checkpoint, trigger, "update", batch)
+        spark = df.sparkSession
+        timed = df.withColumn("fetch_time", F.col("fetch_time").cast("timestamp")).persist()
+        try:
+            log, held = read_if_present(spark, f"{path}/log"), read_if_present(spark, f"{path}/hours")
+            newest = None if log is None else log.filter(F.col("batch_id") < number).agg(F.max("newest")).first()[0]
+            behind = F.col("fetch_time").isNull()
+            if newest is not None:
+                behind = behind | (F.col("fetch_time") < F.lit(newest) - F.expr(f"INTERVAL {late}"))
+            replace_partitions(timed.filter(behind).withColumn("batch_id", F.lit(number)), f"{path}/late", ["batch_id"])
+            states = _hour_state(timed.filter(F.col("fetch_time").isNotNull())).withColumn("day", F.col("hour_bucket").cast("date"))
+            key = ["District", "hour_bucket", "day"]
+            if held is None:
+                merged = states.withColumn("before", F.when(F.lit(False), F.col("_new")))
+            else:
+                here = held.join(states.select("day").distinct(), "day", "left_semi")
+                known = F.when(F.col("batch_id") == number, F.col("before")).otherwise(F.col("state"))
+                merged = states.join(here.select(*key, known.alias("before"), "state", "batch_id"), key, "full_outer")
+            state = _added("before", "_new")
+            if held is not None:  # hours that the batch doesn't touch stay as they are
+                touched = F.col("_new").isNotNull()
+                state = F.when(touched, state).otherwise(F.col("state"))
+                merged = merged.withColumn("_batch", F.when(touched, F.lit(number)).otherwise(F.col("batch_id"))).withColumn("_state", state)
+            else:
+                merged = merged.withColumn("_batch", F.lit(number)).withColumn("_state", state)
+            rows = merged.select(
+                "District", "hour_bucket", "_state.record_count", F.round(F.try_divide(F.col("_state.temp_sum").cast("double"), F.col("_state.temp_count")), summaries.DIGITS).alias("avg_temp"),
+                "_state.max_temp", F.col("_state.rain_sum").cast("double").alias("total_precip"), "_state.heatwave_alerts", "_state.flood_alerts",
+                F.col("_state").alias("state"), "before", F.col("_batch").alias("batch_id"), "day")
+            replace_partitions(rows, f"{path}/hours", ["day"])
+            counts = timed.agg(F.count_if(~behind).alias("records"), F.count_if(behind).alias("late"), F.max("fetch_time").alias("newest"))
+            replace_partitions(counts.withColumn("batch_id", F.lit(number)), f"{path}/log", ["batch_id"])
+        finally:
+            timed.unpersist()
+    return _batches(events, checkpoint, trigger, "append", batch)
 
 
 #: versions of a small table that are kept: a reader may still be in the last but one
@@ -169,11 +217,6 @@ def newest_version(spark, path: str) -> DataFrame:
     return versions.filter(F.col("version") == versions.agg(F.max("version")).scalar()).drop("version", "slot")
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows that a query's recent batches left out because they were behind the watermark."""
-    return sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for op in p["stateOperators"])
-
-
 def batch_progress(query: StreamingQuery) -> list:
     """(batch, input rows, rows per second) of a query's recent batches."""
     return [(p["batchId"], p["numInputRows"], p.get("processedRowsPerSecond")) for p in query.recentProgress]

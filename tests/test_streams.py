@@ -122,7 +122,7 @@ def test_a_repeated_batch_replaces_itself(spark, tmp_path):
     assert spark.read.parquet(path).count() == 5
 
 
-def test_hourly_updates_open_hours_and_drops_late_rows(spark, tmp_path):
+def test_hourly_adds_late_rows_to_their_hours(spark, tmp_path):
     f = Feed(spark, tmp_path, EVENT)
     f.send([event(1, 0.1), event(2, 0.2)])
     f.run(sinks.hourly)
@@ -130,8 +130,31 @@ def test_hourly_updates_open_hours_and_drops_late_rows(spark, tmp_path):
     f.run(sinks.hourly)
     f.send([event(5, 0.4), event(6, 72.5)])  # the first is three days late
     f.run(sinks.hourly)
-    got = {r.hour_bucket: (r.record_count, r.heatwave_alerts) for r in spark.read.parquet(f.sink).collect()}
-    assert got == {datetime(2024, 1, 1): (3, 1), datetime(2024, 1, 4): (2, 0)}
+    got = {r.hour_bucket: (r.record_count, r.heatwave_alerts) for r in spark.read.parquet(f"{f.sink}/hours").collect()}
+    assert got == {datetime(2024, 1, 1): (4, 1), datetime(2024, 1, 4): (2, 0)}
+    assert [(r.id, r.batch_id) for r in spark.read.parquet(f"{f.sink}/late").collect()] == [(5, 2)]
+    assert [(r.records, r.late) for r in spark.read.parquet(f"{f.sink}/log").orderBy("batch_id").collect()] == [(2, 0), (2, 0), (1, 1)]
+
+
+def test_a_repeated_hourly_batch_counts_once(spark, tmp_path, monkeypatch):
+    """The second batch fails after its hours are written; it runs again from the state before it."""
+    f = Feed(spark, tmp_path, EVENT)
+    f.send([event(1, 0.1), event(2, 5)])
+    f.run(sinks.hourly)
+    f.send([event(3, 0.2, temp=41.0), event(4, 0.3)])
+    write = sinks.replace_partitions
+
+    def failing(df, path, by):
+        write(df, path, by)
+        if path.endswith("hours"):
+            raise ValueError("lost")
+    monkeypatch.setattr(sinks, "replace_partitions", failing)
+    with pytest.raises(Exception, match="lost"):
+        f.run(sinks.hourly)
+    monkeypatch.setattr(sinks, "replace_partitions", write)
+    f.run(sinks.hourly)
+    got = {r.hour_bucket.hour: (r.record_count, r.heatwave_alerts, r.batch_id) for r in spark.read.parquet(f"{f.sink}/hours").collect()}
+    assert got == {0: (3, 1, 1), 5: (1, 0, 0)}
 
 
 def test_running_totals_and_last_rows(spark, tmp_path):
