@@ -22,29 +22,44 @@ class Pairs:
 
     def merge(self, symbol: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(symbols, their words, the first symbols' number in each) after all merges; ``word`` numbers the words and rises."""
-        width = np.ones(len(symbol), np.int64)
+        width = np.ones(len(symbol), np.int32)
         done: list[tuple[np.ndarray, ...]] = [(symbol[:0], word[:0], width[:0])]
+        word = word.astype(np.int32)
+        rank, to = np.full(len(symbol), _NONE, np.int32), np.zeros(len(symbol), np.int64)  # of the pair that begins at each place
+        self._look(symbol, rank, to, np.flatnonzero(word[:-1] == word[1:]))
         while len(symbol):
-            key = symbol[:-1] * self.size + symbol[1:]
-            at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
-            found = (word[:-1] == word[1:]) & (self.key[at] == key)
-            rank = np.append(np.where(found, self.rank[at], _NONE), _NONE)
             starts = np.flatnonzero(np.diff(word, prepend=-1))
             sizes = np.diff(starts, append=len(word))
             best = np.repeat(np.minimum.reduceat(rank, starts), sizes)
-            over = best == _NONE
-            if over.any():
-                done.append((symbol[over], word[over], width[over]))
-            hit = np.flatnonzero((rank == best) & ~over)
+            kept = best != _NONE
+            if not kept.all():
+                done.append((symbol[~kept], word[~kept], width[~kept]))
+            hit = np.flatnonzero((rank == best) & kept)
             hit = hit[np.diff(word[hit], prepend=-1) != 0]  # the leftmost of each word
-            symbol[hit] = self.joined[at[hit]]
+            symbol[hit] = to[hit]
             width[hit] += width[hit + 1]
-            kept = ~over
             kept[hit + 1] = False
-            symbol, word, width = symbol[kept], word[kept], width[kept]
+            hit = (np.cumsum(kept) - 1)[hit]
+            symbol, word, width, rank, to = symbol[kept], word[kept], width[kept], rank[kept], to[kept]
+            # the merged symbols have new pairs on both sides
+            rank[hit] = _NONE
+            after = hit[hit + 1 < len(word)]
+            self._look(symbol, rank, to, after[word[after] == word[after + 1]])
+            before = hit[hit > 0] - 1
+            before = before[word[before] == word[before + 1]]
+            rank[before] = _NONE
+            self._look(symbol, rank, to, before)
         symbol, word, width = (np.concatenate(x) for x in zip(*done))
         order = np.argsort(word, kind="stable")
-        return symbol[order], word[order], width[order]
+        return symbol[order], word[order].astype(np.int64), width[order].astype(np.int64)
+
+    def _look(self, symbol: np.ndarray, rank: np.ndarray, to: np.ndarray, at: np.ndarray) -> None:
+        """Fill in rank and replacement of the pairs at ``at`` that are in the table."""
+        key = symbol[at] * self.size + symbol[at + 1]
+        place = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+        found = self.key[place] == key
+        at, place = at[found], place[found]
+        rank[at], to[at] = self.rank[place], self.joined[place]
 
 
 def merge(parts: list[str], rank) -> list[str]:
