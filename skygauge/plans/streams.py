@@ -9,6 +9,7 @@ from skygauge.plans.summaries import ALERTS_SQL, HOURLY_SQL
 from skygauge.plans.views import messages, predictions, station_events
 from skygauge.store import fresh_path, read_if_present
 from skygauge.streaming import sinks
+from skygauge.streaming.groups import land_groups
 from skygauge.streaming.sources import file_stream
 
 
@@ -80,6 +81,22 @@ def stream_batch_log(spark, folder):
     return spark.read.parquet(f"{sink}/log").select("batch_id", "source", "records", "rejected", "status")
 
 
+@query("stream_groups", """WITH n AS (SELECT id % 4 AS part, count(*) AS landed, CAST(sum(id) AS BIGINT) AS sum_ids FROM station_events GROUP BY 1),
+  g AS (SELECT *, unnest(range(0, (landed + 199) // 200)) AS grp FROM n)
+SELECT part, grp, CASE WHEN (grp + 1) * 200 <= landed THEN 'size' ELSE 'time' END AS closed_by, least(200, landed - grp * 200) AS records, landed, sum_ids FROM g""", "station_events")
+def stream_groups(spark, folder):
+    """Groups of 200 messages a partition over three instalments; what is left waits in the state until a last run without patience."""
+    i = F.col("id")
+    topic = station_events(spark, folder).select(F.col("District").alias("key"), F.col("max_temp").cast("string").alias("value"),
+                                                 (i % 4).alias("partition"), i.alias("offset"), F.col("fetch_time").alias("timestamp"))
+    parts = [topic.filter(F.floor(i / 4) % 3 == k) for k in range(3)]
+    delays = iter([3_600_000, 3_600_000, 0])
+    sink = drain(spark, "groups", parts, lambda s, p, c: land_groups(s, p, c, sinks.ONCE, size=200, delay_ms=next(delays)))
+    rows = spark.read.parquet(f"{sink}/rows").groupBy(F.col("partition").alias("part")).agg(F.count(F.lit(1)).alias("landed"), F.sum("offset").alias("sum_ids"))
+    log = spark.read.parquet(f"{sink}/log").select(F.col("key").alias("part"), F.col("group").alias("grp"), "closed_by", "records")
+    return log.join(rows, "part")
+
+
 @query("stream_score", """WITH s AS (SELECT id, District, fetch_time,
   greatest(CAST(0 AS DOUBLE), least(CAST(1 AS DOUBLE), (max_temp - CAST(35 AS DOUBLE)) / CAST(15 AS DOUBLE))) AS heatwave_probability,
   greatest(CAST(0 AS DOUBLE), least(CAST(1 AS DOUBLE), (precipitation - CAST(50 AS DOUBLE)) / CAST(100 AS DOUBLE) + (humidity - CAST(80 AS DOUBLE)) / CAST(100 AS DOUBLE))) AS flood_probability FROM station_events)
