@@ -6,6 +6,7 @@ windows have their anchors at equal distances, and consecutive windows mostly sh
 """
 
 import numpy as np
+import xxhash
 
 LENGTH = 100
 GRAM = 32
@@ -82,3 +83,9 @@ def runs(hashes: Hashes, n: int, begin: np.ndarray, end: np.ndarray):
     gram = gram[anchor[first]]
     segment = mixed(hashes.of(first, count + LENGTH - 1) + mixed((anchor[first] - first).astype(np.uint64) * np.uint64(256) + count.astype(np.uint64)))
     return gram, segment, first, count
+
+
+def proofs(data: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A second hash of each substring, of another kind than ``Hashes``: what collides in one does so in the other by chance only."""
+    whole, digest = memoryview(data), xxhash.xxh3_64_intdigest
+    return np.fromiter((digest(whole[a:a + n]) for a, n in zip(first.tolist(), size.tolist())), np.uint64, len(first))

@@ -1,14 +1,15 @@
 """Removal of repeated strings: every byte covered by a string of ``LENGTH`` bytes that also starts earlier.
 
 Candidates come from anchors (see ``anchors``): equal windows have equal anchor strings, and runs of windows with one anchor form segments.
-An anchor string that occurs once has no repeated window. Of equal segments all but the first are removed whole. Only first segments
+An anchor string that occurs once has no repeated window. Of equal segments all but the first are removed whole; equal are those that agree
+in a polynomial hash and in a second one of another kind, 64 bits each, both of all their bytes (in a slice and between slices). Only first segments
 whose anchor string has other segments too are looked into: their bytes are grouped by the anchor string, and
 their windows are sorted as suffixes by a mergesort with hash comparisons and verified on the bytes (``suffixsort``). In
 each group of equal windows all but the first are removed.
 
 Bounds: rows of one slice of documents are reduced before the shuffle, so an anchor string sends one row from each slice at most, and an
 equal segment one. An anchor string with more than ``HOT`` different first segments is not gathered: its windows
-are dealt by 128-bit hashes of their whole content instead. Texts travel compressed.
+are dealt by the same two hashes of their whole content instead. Texts travel compressed.
 
 Defined results: a null text counts as empty; texts shorter than ``LENGTH`` lose nothing. Earlier means a smaller (doc_id, start). Rows without
 doc_id come after all others and have no order among each other: they lose what occurs with an id, and are otherwise judged alone. Rows that
@@ -103,21 +104,26 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.
         yield made(parts)
 
 
-def _segments(docs: DataFrame) -> DataFrame:
-    """(lane, key, segment, doc_id, row, place) with place = start * 256 + windows; for removals start * 2^24 + bytes."""
-    names = ["lane", "key", "segment", "doc_id", "row", "place"]
+def _segments(docs: DataFrame, bits: int = 64) -> DataFrame:
+    """(lane, key, segment, proof, doc_id, row, place) with place = start * 256 + windows; for removals start * 2^24 + bytes.
+
+    A segment is named by its hash, of which ``bits`` are kept (fewer are for tests), and a second hash as the proof.
+    """
+    names = ["lane", "key", "segment", "proof", "doc_id", "row", "place"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for data, begin, end, rows, offset in _slices(batches):
             gram, segment, first, count = anchors.runs(anchors.Hashes(data), len(data), begin, end)
             if not len(gram):
                 continue
+            segment >>= np.uint64(64 - bits)
+            proof = anchors.proofs(data, first, count + LENGTH - 1)
             text = np.searchsorted(begin, first, "right") - 1
             row, start = rows[text], first - begin[text] + offset[text]
-            order = row.order(start, segment, gram)
-            gram, segment, row, start, count = (x[order] for x in (gram, segment, row, start, count))
+            order = row.order(start, proof, segment, gram)
+            gram, segment, proof, row, start, count = (x[order] for x in (gram, segment, proof, row, start, count))
             new_gram = np.concatenate([[True], gram[1:] != gram[:-1]])
-            new_segment = new_gram | np.concatenate([[True], segment[1:] != segment[:-1]])
+            new_segment = new_gram | np.concatenate([[True], (segment[1:] != segment[:-1]) | (proof[1:] != proof[:-1])])
             twin = ~(new_segment | row.changes() | np.concatenate([[True], start[1:] != start[:-1]]))  # an identical row has it here too
             gone = row.later(start, new_segment)
             stays = ~gone & ~twin
@@ -127,16 +133,17 @@ def _segments(docs: DataFrame) -> DataFrame:
             place = start * 256 + count
             # more than once here: told to the other slices, with the least and the largest segment if there are several
             sign = (new_gram & repeated) | (several & np.append(new_gram[1:], True))
-            parts = [(ALONE, stays & ~several, gram, segment, place), (SEVERAL, sign, gram, segment, place), (ONE_OF, several & stays, segment, segment, place)]
+            parts = [(ALONE, stays & ~several, gram), (SEVERAL, sign, gram), (ONE_OF, several & stays, segment)]
             own, at, size = _ranges(row[gone], start[gone], start[gone] + count[gone] + LENGTH - 1)
-            lanes, keys, segs, places = ([np.full(int(m.sum()), lane) for lane, m, *_ in parts] + [np.full(len(at), REMOVED)], [k[m] for _, m, k, _, _ in parts] + [own.name.view(np.uint64)],
-                                         [s[m] for _, m, _, s, _ in parts] + [np.zeros(len(at), np.uint64)], [p[m] for *_, m, _, _, p in parts] + [at * (1 << 24) + size])
-            whose = Rows(*(np.concatenate(x) for x in zip(*[row[m] for _, m, *_ in parts], own)))
+            none = np.zeros(len(at), np.uint64)
+            lanes, keys = [np.full(int(m.sum()), lane) for lane, m, _ in parts] + [np.full(len(at), REMOVED)], [k[m] for _, m, k in parts] + [own.name.view(np.uint64)]
+            segs, sure, places = ([x[m] for _, m, _ in parts] + [last] for x, last in ((segment, none), (proof, none), (place, at * (1 << 24) + size)))
+            whose = Rows(*(np.concatenate(x) for x in zip(*[row[m] for _, m, _ in parts], own)))
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.concatenate(lanes).astype(np.int8)), pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(segs).view(np.int64)),
-                *whose.arrow(), pa.array(np.concatenate(places))], names=names)
+                pa.array(np.concatenate(sure).view(np.int64)), *whose.arrow(), pa.array(np.concatenate(places))], names=names)
 
-    return docs.mapInArrow(run, "lane byte, key long, segment long, doc_id long, row long, place long")
+    return docs.mapInArrow(run, "lane byte, key long, segment long, proof long, doc_id long, row long, place long")
 
 
 def _ranges(rows: Rows, start: np.ndarray, end: np.ndarray) -> tuple[Rows, np.ndarray, np.ndarray]:
@@ -178,26 +185,26 @@ def _leads(rows: DataFrame, at: str, by: list[str]) -> DataFrame:
         "lead", F.when(F.col("doc_id").isNotNull(), F.col("_least") == place).otherwise(F.col("_least.null") & (F.col(at) == F.col("_own")))).drop("_least", "_own")
 
 
-def _resolved(docs: DataFrame) -> DataFrame:
+def _resolved(docs: DataFrame, bits: int = 64) -> DataFrame:
     """(doc_id, row, start, size, check): removed ranges, and first segments (check) whose windows must be looked into."""
-    rows = _segments(docs)
+    rows = _segments(docs, bits)
     same = Window.partitionBy("key", F.col("lane") == REMOVED, F.col("lane") == ONE_OF)
     least = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "place")
     joined = rows.withColumns({
         "rows": F.count(F.when(F.col("lane") == ALONE, 1)).over(same), "signs": F.count(F.when(F.col("lane") == SEVERAL, 1)).over(same),
-        "low": F.min("segment").over(same), "high": F.max("segment").over(same), "least": F.min(F.when(F.col("lane") == ALONE, least)).over(same)})
-    several = F.col("low") != F.col("high")
+        "low": F.min("segment").over(same), "high": F.max("segment").over(same), "less": F.min("proof").over(same), "more": F.max("proof").over(same), "least": F.min(F.when(F.col("lane") == ALONE, least)).over(same)})
+    several = (F.col("low") != F.col("high")) | (F.col("less") != F.col("more"))
     start, count = F.shiftright("place", 8), F.col("place").bitwiseAND(255)
     # without id the least of the own row counts, if no id has the segment
     lead = F.when(F.col("doc_id").isNotNull(), least == F.col("least")).otherwise(F.col("least.null"))
     one = joined.where(f"lane = {REMOVED} OR lane = {ONE_OF} OR (lane = {ALONE} AND (rows > 1 OR signs > 0))").select(
-        "lane", "segment", "doc_id", "row", "place", (several | (F.col("lane") == ONE_OF)).alias("several"), lead.alias("least"))
+        "lane", "segment", "proof", "doc_id", "row", "place", (several | (F.col("lane") == ONE_OF)).alias("several"), lead.alias("least"))
     one = landed(one, "segments")
     removed = one.where(f"lane = {REMOVED}").select("doc_id", "row", F.shiftright("place", 24).alias("start"), F.col("place").bitwiseAND((1 << 24) - 1).alias("size"))
     plain = one.where(f"lane = {ALONE} AND NOT several")
-    own = plain.where("doc_id IS NULL AND least").withColumn("least", F.min("place").over(Window.partitionBy("segment", "row")) == F.col("place"))
+    own = plain.where("doc_id IS NULL AND least").withColumn("least", F.min("place").over(Window.partitionBy("segment", "proof", "row")) == F.col("place"))
     plain = plain.where("NOT (doc_id IS NULL AND least)").unionByName(own).where("NOT least").select("doc_id", "row", start.alias("start"), (count + LENGTH - 1).alias("size"))
-    among = _leads(one.where(f"several AND lane <> {REMOVED}"), "place", ["segment"])
+    among = _leads(one.where(f"several AND lane <> {REMOVED}"), "place", ["segment", "proof"])
     first = among.select("doc_id", "row", start.alias("start"), (count + LENGTH - 1).alias("size"), F.col("lead").alias("check"))
     none = F.lit(False)
     return removed.withColumn("check", none).unionByName(plain.withColumn("check", none)).unionByName(first)
@@ -297,7 +304,7 @@ def _windows(spans: DataFrame) -> DataFrame:
                 row, turn = np.repeat(np.arange(len(start)), windows), common.ragged(np.zeros(len(start), np.int64), windows)
                 at = base[row] + turn
                 one = anchors.mixed(anchors.Hashes(data).of(at, LENGTH))
-                other = anchors.mixed(anchors.Hashes(data ^ np.uint8(0xA5)).of(at, LENGTH) ^ np.uint64(0x5DEECE66D))
+                other = anchors.proofs(data, at, np.full(len(at), LENGTH))
                 rows, place = rows[row], start[row] + turn
                 order = rows.order(place, other, one)
                 rows, place, one, other = rows[order], place[order], one[order], other[order]
@@ -350,10 +357,10 @@ def _repeated_windows(spans: DataFrame) -> DataFrame:
     return found.union(later.select(*columns, F.lit(LENGTH).cast("long").alias("size"))).union(windows.where("size > 0").select(*columns, "size"))
 
 
-def _apply(docs: DataFrame, kept: list[str], out: list[tuple[str, T.DataType]], function) -> DataFrame:
+def _apply(docs: DataFrame, kept: list[str], out: list[tuple[str, T.DataType]], function, bits: int = 64) -> DataFrame:
     """``kept`` columns and those that ``function(bytes or None, removed starts, removed ends)`` makes of each document."""
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _name().alias("row"), F.col("text").alias("text"))
-    resolved = landed(_resolved(ids), "resolved")
+    resolved = landed(_resolved(ids, bits), "resolved")
     texts = _texts(docs, kept)
     removed = resolved.where("NOT check").select("doc_id", "row", "start", "size").union(_repeated_windows(_spans(texts, resolved.where("check"))))
     joined = _joined(texts, removed, "left").select(*[f"k_{c}" for c in kept], "_packed", "ranges")

@@ -333,8 +333,9 @@ def repeats_fixture():
     return texts
 
 
-@pytest.mark.parametrize("hot", [2048, 2])
-def test_repeats_equal_brute_force(spark, hot, monkeypatch):
+@pytest.mark.parametrize("hot, bits", [(2048, 64), (2, 64), (2048, 3), (2, 1)])
+def test_repeats_equal_brute_force(spark, hot, bits, monkeypatch):
+    """With few ``bits`` the hashes of unlike segments collide, and only their proofs differ."""
     monkeypatch.setattr(suffix, "HOT", hot)
     texts = repeats_fixture()
 
@@ -342,7 +343,7 @@ def test_repeats_equal_brute_force(spark, hot, monkeypatch):
         data = data or b""
         return len(data), int((end - start).sum()), len(start), hashlib.sha256(suffix._left(data, start, end)).hexdigest()
     got = {r.doc_id: tuple(r)[1:] for r in suffix._apply(docs(spark, texts), ["doc_id"], [
-        ("n_bytes", suffix.T.LongType()), ("n_removed", suffix.T.LongType()), ("n_spans", suffix.T.LongType()), ("kept_sha256", suffix.T.StringType())], digest).collect()}
+        ("n_bytes", suffix.T.LongType()), ("n_removed", suffix.T.LongType()), ("n_spans", suffix.T.LongType()), ("kept_sha256", suffix.T.StringType())], digest, bits).collect()}
     assert [got[i] for i in range(len(texts))] == [w[:4] for w in brute_repeats(texts)]
 
 
