@@ -1,10 +1,14 @@
 """Observation files: CSV scans and exports, per-district folders, JSON batches."""
 
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+import csv
+from collections import Counter
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from skygauge.operators.cleaning import clean_columns
 from skygauge.operators.ordered import positions
 from skygauge.schemas import OBSERVATION
+from skygauge.store import landed
 
 
 def typed(df: DataFrame, schema=OBSERVATION) -> DataFrame:
@@ -23,27 +27,40 @@ def uncastable(df: DataFrame, schema=OBSERVATION) -> DataFrame:
     return rows.filter(F.size("rejected") > 0)
 
 
+def _file():
+    """The path of the row's file as it is written."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
+def _names(header: str) -> list:
+    """Column names of a header line: trimmed; empty ones and repeated ones get their place, as Spark's reader does."""
+    cells = [c.strip() for c in next(csv.reader([header]))]
+    known = Counter(c.lower() for c in cells)
+    return [f"_c{i}" if not c else f"{c}{i}" if known[c.lower()] > 1 else c for i, c in enumerate(cells)]
+
+
 def read_csv_text(spark: SparkSession, path) -> DataFrame:
     """CSV files with a header each, all columns as text, matched by name.
 
-    Files may order their columns differently, lack some or have more: the files are grouped by their header
-    line, each group is read by its own header, and missing columns are null. ``_file`` is the file.
-    The headers are the only lines that come to the driver, one for each different header.
+    Files may order their columns differently, lack some or have more; missing columns are null. ``_file`` is the file. The values
+    are read in one scan, by place. Where headers differ, a table of one row per file tells which place has which column, and the rows
+    are joined with it. Only the different header lines come to the driver, never the files. Finding the headers is a pass over the lines before.
     """
     lines = spark.read.option("recursiveFileLookup", True).text(path).select(
-        F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("file"), "value", F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("n"))
-    first = lines.filter("at = 0").groupBy("file").agg(F.min_by("value", "n").alias("header"))
-    layouts = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
-    if not layouts:
-        return spark.read.option("header", True).option("recursiveFileLookup", True).csv(path).withColumn("_file", F.lit(None).cast("string"))
-    parts = [
-        clean_columns(spark.read.option("header", True).csv(row.files).withColumn("_file", F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))))
-        for row in layouts
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part, allowMissingColumns=True)
-    return out
+        _file().alias("_file"), "value", F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("n"))
+    first = landed(lines.filter("at = 0 AND trim(value) <> ''").groupBy("_file").agg(F.min_by("value", "n").alias("header")), "headers")
+    layouts = {r.header: _names(r.header) for r in first.select("header").distinct().orderBy("header").collect()}
+    names = {n.lower(): n for own in reversed(layouts.values()) for n in reversed(own)}  # of spellings the first
+    order = list(dict.fromkeys(n.lower() for own in layouts.values() for n in own))
+    width = max(map(len, layouts.values()), default=0)
+    cells = StructType([StructField(f"_at{i}", StringType()) for i in range(max(1, width))])
+    rows = spark.read.option("header", True).option("recursiveFileLookup", True).schema(cells).csv(path).withColumn("_file", _file())
+    if len(layouts) < 2:
+        return rows.select(*[F.col(f"_at{i}").alias(names[n]) for i, n in enumerate(order)], "_file")
+    places = [(header, [own.index(n) if n in own else None for n in order]) for header, own in ((h, [n.lower() for n in own]) for h, own in layouts.items())]
+    placed = first.join(spark.createDataFrame(places, "header string, _places array<int>"), "header").drop("header")
+    values = F.array(*cells.names)
+    return rows.join(placed, "_file").select(*[F.get(values, F.get("_places", F.lit(i))).alias(names[n]) for i, n in enumerate(order)], "_file")
 
 
 def read_csv(spark: SparkSession, path, schema=OBSERVATION) -> DataFrame:

@@ -205,6 +205,25 @@ def test_csv_columns_are_matched_by_name(spark, tmp_path):
     assert [(r.Date, r.rejected) for r in uncastable(read_csv_text(spark, str(tmp_path))).collect()] == [("2024-01-02", ["MaxTemp_2m"])]
 
 
+def test_csv_headers_of_many_layouts_are_read_in_one_scan(spark, tmp_path):
+    from skygauge.sources.files import read_csv_text
+    (tmp_path / "1.csv").write_text("\ufeffDate, Rain ,\"a,b\"\n2024-01-01,1,\"x,y\"\nDate,Rain,z\n")  # a row that looks like a header is a row
+    (tmp_path / "2.csv").write_text("\n rain,Date\r\n2,2024-01-02\r\n3\r\n")  # a blank line first, another spelling, a short row
+    (tmp_path / "3.csv").write_text("k,,k\n1,2,3,4\n")  # repeated and empty names, a row that is too long
+    (tmp_path / "4.csv").write_text("Date,Rain\n")
+    (tmp_path / "5.csv").write_text("")
+    rows = read_csv_text(spark, str(tmp_path))
+    assert rows.columns == ["rain", "Date", "a,b", "k0", "_c1", "k2", "_file"]  # by header line, the first spelling counts
+    got = sorted(((r._file[-5], r.Date, r.rain, r["a,b"], r.k0, r["_c1"], r.k2) for r in rows.collect()), key=str)
+    none = (None,) * 3
+    assert got == sorted([("1", "2024-01-01", "1", "x,y", *none), ("1", "Date", "Rain", "z", *none), ("2", "2024-01-02", "2", None, *none),
+                          ("2", None, "3", None, *none), ("3", None, None, None, "1", "2", "3")], key=str)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("csv") == 1 and "Union" not in plan
+    (tmp_path / "none").mkdir()
+    assert read_csv_text(spark, str(tmp_path / "none")).count() == 0
+
+
 def test_equal_times_take_the_smallest_tie(spark):
     from skygauge.operators.serving import latest_per, newest
     rows = spark.createDataFrame([("A", 2, 5), ("A", 1, 5), ("A", 0, 4)], "District string, id bigint, t bigint")
