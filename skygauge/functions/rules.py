@@ -61,6 +61,7 @@ def risk_level_five(p: Column) -> Column:
     return chain.otherwise(band(*LOWEST_BAND))
 
 
+# Alert thresholds (degrees, millimetres); the kinds, severities and texts of ``alert_list`` are fixed too.
 HOT_DAY, VERY_HOT_DAY, HEAVY_RAIN, VERY_HEAVY_RAIN = 40.0, 45.0, 100.0, 150.0
 
 

@@ -31,6 +31,12 @@ def _log(spark, path, number, records, rejected, status, seconds):
     replace_partitions(line, f"{path}/log", ["batch_id"])
 
 
+def _held(spark, path, batch):
+    """Landed rows of the dates in ``batch``, or None: other dates' folders are not opened. There are at most as many dates as days."""
+    held = read_if_present(spark, f"{path}/rows")
+    return None if held is None else held.filter(F.col("Date").isin([r.Date for r in batch.select("Date").distinct().collect()]))
+
+
 def land(raw: DataFrame, path: str, checkpoint: str, trigger=EVERY_10S, by=("Date", "District"), dedupe: bool = False, expect=None) -> StreamingQuery:
     """Topic rows to ``path/rows`` under ``by`` and the batch number, with the ingestion time; messages that can't be
     read, or lack a required field, to ``path/rejected``; one line per batch to ``path/log``.
@@ -50,7 +56,7 @@ def land(raw: DataFrame, path: str, checkpoint: str, trigger=EVERY_10S, by=("Dat
             if dedupe:
                 same = ["District", "Date", "timestamp"]
                 good = good.dropDuplicates(same)
-                held = read_if_present(spark, f"{path}/rows")
+                held = _held(spark, path, good)
                 if held is not None:
                     good = good.join(held.filter(F.col("batch_id") != number).select(*same), same, "left_anti")
             stamped = good.withColumn("ingestion_time", F.current_timestamp()).withColumn("batch_id", F.lit(number)).persist()

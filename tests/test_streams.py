@@ -61,6 +61,14 @@ def test_landing_drops_duplicates(spark, tmp_path):
     f.send([message(2), message(3, timestamp="2020-01-01T00:00:00")])  # a repeat, and a message years late
     f.run(sinks.land, dedupe=True)
     assert spark.read.parquet(f"{f.sink}/rows").count() == 3
+    f.send([message(2), message(4, Date="2024-06-16"), message(4, Date="2024-06-17")])
+    f.run(sinks.land, dedupe=True)
+    assert spark.read.parquet(f"{f.sink}/rows").count() == 5
+    touched = sinks._held(spark, f.sink, spark.sql("SELECT DATE '2024-06-16' AS Date UNION ALL SELECT DATE '2024-06-17'"))
+    assert touched.count() == 2
+    plan = touched._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "Date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert sinks._held(spark, f.sink, spark.sql("SELECT DATE '2024-06-16' AS Date WHERE false")).count() == 0
 
 
 def test_a_failing_batch_leaves_a_line_and_is_repeated(spark, tmp_path):
