@@ -164,10 +164,15 @@ def add_anomaly(df: DataFrame, clim: DataFrame | None = None) -> DataFrame:
     )
 
 
-def build_features(df: DataFrame, decay: float = DECAY, block: Column | None = None) -> DataFrame:
-    """All features in one window pass, the antecedent rain, then the climatology join. Keeps every input column."""
+def window_features(df: DataFrame, decay: float = DECAY, block: Column | None = None) -> DataFrame:
+    """Calendar, rolling, lag and antecedent rain features in one window pass. Keeps every input column."""
     rolled = _in_blocks(df, max(LAGS), lambda w: {**rolling_columns(w), **lag_columns(w)}, block=block, keep_block=True)
-    return add_anomaly(add_time_features(with_api(rolled, decay).drop("_block")), climatology(df))
+    return add_time_features(with_api(rolled, decay).drop("_block"))
+
+
+def build_features(df: DataFrame, decay: float = DECAY, block: Column | None = None) -> DataFrame:
+    """The window features, then the climatology join."""
+    return add_anomaly(window_features(df, decay, block), climatology(df))
 
 
 # Constants of the two single-observation rows.

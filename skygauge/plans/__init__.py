@@ -2,7 +2,7 @@
 
 from skygauge.plans.registry import ORACLES, QUERIES
 from skygauge.plans import (  # noqa: F401
-    cleaning, evaluation, labelling, learning, refresh, serving, storage, streams, summaries, windows,
+    advance, cleaning, evaluation, labelling, learning, refresh, serving, storage, streams, summaries, windows,
 )
 
 __all__ = ["ORACLES", "QUERIES"]
