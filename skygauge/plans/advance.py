@@ -67,7 +67,10 @@ def apply_changes(spark: SparkSession, root: str, rows: DataFrame, newest: str |
         return _zone(spark, root, name, districts)
 
     # windows, rain index, fills
-    merged = zone("merged").drop(*RANK)
+    merged = zone("merged")
+    if merged is None:
+        return  # no rows yet
+    merged = merged.drop(*RANK)
     carried = landed(P.fills(merged), "fills")
     moved = P.changed_rows(carried, zone("fills")).filter("gaps > 0")
     blocks = landed(P.reached(merged, touched, P.reach_rows(), moved), "reached")

@@ -101,6 +101,12 @@ def test_fills_and_runs_travel_through_whole_years(spark, panel, tmp_path):
     assert_like_full(spark, root, whole)
 
 
+def test_no_rows_at_all(spark, panel, tmp_path):
+    root = str(tmp_path / "zones")
+    A.apply_changes(spark, root, panel({"A": [(1.0, 1.0, 1.0)]}).limit(0), newest=None)
+    assert A._zone(spark, root, "merged") is None and A._zone(spark, root, "features") is None
+
+
 def test_reach_by_hand(spark):
     rows = spark.createDataFrame([("A", y, date(y, 1, d)) for y in range(2000, 2010) for d in range(1, 5)], "District string, year int, Date date")
     touched = spark.createDataFrame([("A", 2003, date(2003, 1, 3))], "District string, year int, last date")
