@@ -28,6 +28,8 @@ from skygauge.llm import common, merges
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
+#: bytes above 127 and control pieces, while a text is put together
+_ESCAPED, PARTED = re.compile("[\udc80-\udcff]+"), "\ud800"
 #: parts, and characters of parts, that are remembered between slices
 CACHE, CACHE_CHARS = 200_000, 4_000_000
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -150,6 +152,7 @@ class Model:
         self.parts = re.compile(rf"{MARK}*[^{MARK}\n]+|\n|{MARK}+" if marks and lines else rf"{MARK}*[^{MARK}]+|{MARK}+" if marks else r"(?s).+")
         self._number(inner)
         self.names = [str(i) for i in range(len(kinds))]
+        self.shown = [self._shown(t, k) for t, k in zip(self.texts, kinds)]
         self.forget()
 
     def _number(self, inner: set[str]) -> None:
@@ -174,7 +177,7 @@ class Model:
         self.rows: dict[str, int] = {}
         self.chars = 0
         self.flat, self.first, self.last = (np.zeros(0, np.int32) for _ in range(3))
-        self.bounds, self.plain = np.zeros(1, np.int64), np.zeros(0, bool)
+        self.bounds = np.zeros(1, np.int64)
 
     def learn(self, parts: list[str]) -> None:
         """New rows for all parts."""
@@ -211,10 +214,8 @@ class Model:
         self.first = np.concatenate([self.first, np.repeat(first, count).astype(np.int32)])
         self.last = np.concatenate([self.last, np.repeat(first + width, count).astype(np.int32)])
         per_part = np.bincount(own, count, len(parts)).astype(np.int64)
-        self.rows.update(zip(parts, range(len(self.plain), len(self.plain) + len(parts))))
+        self.rows.update(zip(parts, range(len(self.bounds) - 1, len(self.bounds) - 1 + len(parts))))
         self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(per_part)])
-        # pieces of characters and of their bytes decode to what they came from
-        self.plain = np.concatenate([self.plain, np.bincount(np.repeat(own, count), token == self.unknown, len(parts)) == 0])
         self.chars += len(text)
 
     def normalised(self, text: str) -> tuple[str, np.ndarray]:
@@ -254,34 +255,33 @@ class Model:
         begin = np.repeat(np.cumsum(lengths) - lengths, count)
         return self.flat[at], source[begin + self.first[at]], source[begin + self.last[at]]
 
+    @staticmethod
+    def _shown(text: str, kind: int) -> str:
+        """What a piece stands for; a byte above 127 is escaped as Python does it, a control piece only parts the bytes around it."""
+        if kind == BYTE:
+            return bytes([int(text[3:5], 16)]).decode("ascii", "surrogateescape")
+        return " ⁇ " if kind == UNKNOWN else PARTED if kind == CONTROL else text.replace(MARK, " ")
+
     def decode_ids(self, ids: list[int], first: bool = True) -> str:
         """The library's decode: marks to spaces, bytes joined, one space dropped in front of the text."""
-        out, pending = [], bytearray()
-        bos = first and (self.dummy or self.squeeze)
-        for i in [*ids, None]:
-            if i is not None and self.kinds[i] == BYTE:
-                pending.append(int(self.texts[i][3:5], 16))
-                continue
-            if pending:
-                out.append(_utf8(bytes(pending)))
-                pending.clear()
-                bos = False
-            if i is None or self.kinds[i] == CONTROL:
-                continue
-            text = " ⁇ " if self.kinds[i] == UNKNOWN else self.texts[i]
-            if bos and text.startswith(MARK):
-                text = text[1:]
-                bos = self.squeeze
-            elif text:
-                bos = False
-            out.append(text.replace(MARK, " "))
-        return "".join(out)
-
-    def decoded(self, rows: list[int], text: str) -> str:
-        """decode_ids of the pieces; where every part decodes to itself, the normalised text without its first space."""
-        if self.plain[rows].all() and not self.map.units and not self.squeeze and self.dummy:
-            return text if MARK not in text else text.replace(MARK, " ")
-        return self.decode_ids([i for r in rows for i in self.flat[self.bounds[r]:self.bounds[r + 1]].tolist()])
+        end = len(ids)
+        while end and self.kinds[ids[end - 1]] == CONTROL:
+            end -= 1
+        out = list(map(self.shown.__getitem__, ids[:end]))
+        if first and (self.dummy or self.squeeze):
+            for k, i in enumerate(ids[:end]):
+                if self.kinds[i] == NORMAL and self.texts[i].startswith(MARK):
+                    out[k] = out[k][1:]
+                    if not self.squeeze:
+                        break
+                elif self.kinds[i] != CONTROL:
+                    break
+        text = "".join(out)
+        try:
+            text.encode()
+        except UnicodeEncodeError:  # bytes to be joined
+            text = _ESCAPED.sub(lambda run: _utf8(run[0].encode("ascii", "surrogateescape")), text).replace(PARTED, "")
+        return text
 
 
 def _utf8(data: bytes) -> str:
@@ -341,13 +341,13 @@ def _encoded(own: Model, texts: list[str]) -> list[pa.Array]:
 
 def _digested(own: Model, texts: list[str]) -> list[pa.Array]:
     n_tokens, ids, decoded, covered = [], [], [], []
-    found = own.rows_of(texts)
-    for text, (rows, source) in zip(texts, found):
-        tokens, begin, end = own.pieces(rows, source)
-        n_tokens.append(len(tokens) + 1)
-        ids.append(hashlib.sha256(" ".join([*map(own.names.__getitem__, tokens.tolist()), own.names[own.end]]).encode()).hexdigest())
-        decoded.append(hashlib.sha256(own.decoded(rows, text).encode("utf-8", "replace")).hexdigest())
-        covered.append(int(end[-1] - begin[0]) if len(tokens) else 0)
+    for rows, source in own.rows_of(texts):
+        found, begin, end = own.pieces(rows, source)
+        tokens = [*found.tolist(), own.end]
+        n_tokens.append(len(tokens))
+        ids.append(hashlib.sha256(" ".join(map(own.names.__getitem__, tokens)).encode()).hexdigest())
+        decoded.append(hashlib.sha256(own.decode_ids(tokens).encode()).hexdigest())
+        covered.append(int(end[-1] - begin[0]) if len(found) else 0)
     return [pa.array(n_tokens, pa.int64()), pa.array(ids), pa.array(decoded), pa.array(covered, pa.int64())]
 
 

@@ -163,6 +163,22 @@ def test_pieces_equal_the_library(spark):
     assert pieces.encode(docs(spark, []), path).count() == 0
 
 
+def test_decoding_takes_the_ids_not_the_text():
+    path = public_tokenizers.path(pieces.MODEL)
+    library, own, rng = sentencepiece.SentencePieceProcessor(model_file=path), pieces.Model(path), random.Random(8)
+    text = "plain words here"
+    rows, _ = own.rows_of([text])[0]
+    at = own.bounds[rows[1]]
+    own.flat[at] = (own.flat[at] - 300) % 20_000 + 1000  # another piece in the second part
+    ids = own.flat[pieces.common.ragged(own.bounds[rows], own.bounds[np.array(rows) + 1] - own.bounds[rows])].tolist() + [library.eos_id()]
+    assert ids != library.encode(text, add_eos=True)
+    assert pieces._digested(own, [text])[2].to_pylist() == [hashlib.sha256(library.decode(ids).encode()).hexdigest()]
+    few = [library.unk_id(), library.bos_id(), library.eos_id(), *(library.piece_to_id(p) for p in ("▁", "▁the", "a", "<0x20>", "<0x41>", "<0xC3>", "<0xA9>", "<0xE2>", "<0x82>", "<0xFF>"))]
+    for _ in range(3000):
+        ids = [rng.choice(few) for _ in range(rng.randrange(9))]
+        assert own.decode_ids(ids) == library.decode(ids)
+
+
 def test_character_map_takes_the_longest_prefix():
     # a double array by hand for {"a": "X", "ab": "YZ"}: root at 0, its children at 256 ^ byte, and so on
     units = [0] * 2048
