@@ -49,7 +49,7 @@ def landing_partitioned(spark, folder):
 def json_batches(spark, folder):
     path = fresh_path(spark, "json")
     rows = station_events(spark, folder).select("id", "District", "max_temp", "precipitation")
-    files.write_json_batches(rows, path)
+    files.write_json_batches(rows, path, tasks=4 * spark.sparkContext.defaultParallelism)
     return spark.read.schema(rows.schema).json(path)
 
 

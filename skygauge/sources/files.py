@@ -85,9 +85,14 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_json_batches(df: DataFrame, path: str, batch=100) -> None:
-    """JSON files of at most ``batch`` records."""
-    df.write.mode("overwrite").option("maxRecordsPerFile", batch).json(path)
+def write_json_batches(df: DataFrame, path: str, batch=100, tasks: int | None = None) -> None:
+    """JSON files of at most ``batch`` records, written by ``tasks`` tasks (by as many as ``df`` has partitions, if None).
+
+    The files are many and small, so making them is the work: each task moves its own into place, not the driver all of them
+    one by one. A job that fails may leave some there; ``_SUCCESS`` is written last.
+    """
+    rows = df.repartition(tasks) if tasks else df
+    rows.write.mode("overwrite").options(**{"maxRecordsPerFile": batch, "mapreduce.fileoutputcommitter.algorithm.version": 2}).json(path)
 
 
 def export_district(df: DataFrame, district: str, path: str, time="fetch_time", limit=1000) -> None:

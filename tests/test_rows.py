@@ -1,6 +1,7 @@
 """Parsing, cleaning, rules, merging and serving on a few hand-made rows."""
 
 import json
+import re
 from datetime import date, datetime
 
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from skygauge import schemas
 from skygauge.functions import rules as R
 from skygauge.operators import cleaning as C, learning as M, serving as V, sets as U, summaries as A
+from skygauge.plans import storage
 from skygauge.sources import files, messages as S, zones
 from skygauge.store import read_first, read_if_present
 
@@ -155,6 +157,16 @@ def test_json_batches_hold_at_most_n(spark, tmp_path):
     assert sizes == [50, 100, 100]
 
 
+def test_json_batches_are_written_by_many_tasks(spark, tmp_path):
+    spark.range(20_000).select(F.col("id").alias("event_id"), F.col("id").alias("user_id"), F.lit("a").alias("event_type"), F.lit(1.5).alias("value"),
+                               F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("ts")).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    rows = storage.json_batches(spark, str(tmp_path))
+    paths = rows.inputFiles()
+    sizes = [r["n"] for r in rows.groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
+    assert rows.select("id").distinct().count() == sum(sizes) == 20_000 and max(sizes) == 100 and len(sizes) == len(paths)
+    assert len({re.search(r"part-(\d+)", p)[1] for p in paths}) == 4 * spark.sparkContext.defaultParallelism
+
+
 def test_zone_fallback(spark, tmp_path):
     spark.range(3).write.parquet(str(tmp_path / "features"))
     assert read_if_present(spark, str(tmp_path / "labeled")) is None
