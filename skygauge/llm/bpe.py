@@ -1,12 +1,11 @@
 """Token ids of whole texts by a byte-level BPE tokenizer file, remembered by runs without white space.
 
-The words of all runs that a slice of texts has anew are merged at once (``merges.Pairs``); texts with a special token or an unusual
+The words that a slice of texts has anew are merged at once (``merges.Pairs``) and other runs put together from them; texts with a special token or an unusual
 case rule, and very long words, go to the file's own library. The cache changes no result.
 """
 
 import json
 import unicodedata
-from itertools import chain
 
 import numpy as np
 import regex
@@ -15,10 +14,13 @@ from tokenizers import Tokenizer
 from skygauge.llm import common, merges
 
 #: runs, and characters of runs, that are remembered between slices
-CACHE, CACHE_CHARS = 200_000, 4_000_000
+CACHE, CACHE_CHARS = 400_000, 8_000_000
 #: characters whose lower case or spacing the library and Python treat differently
 _UNUSUAL = regex.compile("[\x1c-\x1fΣİ]")
 
+#: marks that are a word of their own behind letters
+_MARKS = frozenset(".,;:!?")
+
 
 def _byte_names() -> list[str]:
     """A printable character for each byte, as byte-level vocabularies write them."""
@@ -80,14 +82,21 @@ class Encoder:
         return len(self.bounds) - 1 - len(counts)
 
     def _learn(self, runs: list[str]) -> None:
-        # a run of letters alone is a word
-        words = [[run] if run.isalpha() else self.words.findall(run) for run in runs]
-        sizes = np.array([len(w) for w in words], np.int64)
-        flat = list(chain.from_iterable(words))
-        ids, counts = self._merged(flat) if flat else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        total = np.concatenate([[0], np.cumsum(counts)])
-        ends = np.cumsum(sizes)
-        first = self._add(ids, total[ends] - total[ends - sizes])
+        whole, mixed = [run for run in runs if run.isalpha()], [run for run in runs if not run.isalpha()]
+        # a run of letters alone is a word, and so are the letters in front of one mark
+        words = [[run[:-1], run[-1]] if run[-1] in _MARKS and run[:-1].isalpha() else self.words.findall(run) for run in mixed]
+        new = list(set(whole).union(*words).difference(self.known))
+        if new:
+            self._remember(new, *self._merged(new))
+        # other runs are put together from their words, which are known now
+        left = [i for i, run in enumerate(mixed) if run not in self.known]
+        own = np.array([self.known[word] for i in left for word in words[i]], np.int64)
+        ends = np.cumsum([len(words[i]) for i in left], dtype=np.int64)
+        total = np.concatenate([[0], np.cumsum(self.bounds[own + 1] - self.bounds[own])])
+        self._remember([mixed[i] for i in left], self.ids(own), np.diff(total[ends], prepend=0))
+
+    def _remember(self, runs: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+        first = self._add(ids, counts)
         self.known.update(zip(runs, range(first, first + len(runs))))
         self.chars += sum(map(len, runs))
 
@@ -108,7 +117,7 @@ class Encoder:
     def rows(self, text: str) -> list[int]:
         return self.all_rows([text])[0]
 
-    def ids(self, rows: list[int]) -> np.ndarray:
+    def ids(self, rows: list[int] | np.ndarray) -> np.ndarray:
         own = np.array(rows, np.int64)
         return self.flat[common.ragged(self.bounds[own], self.bounds[own + 1] - self.bounds[own])]
 

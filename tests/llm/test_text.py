@@ -206,6 +206,18 @@ def test_token_ids_equal_the_library():
         assert own.ids(own.rows(text)).tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_known_words_are_not_merged_again():
+    own, merged = bpe.Encoder(public_tokenizers.path(packing.TOKENIZER)), []
+    inside = own._merged
+    own._merged = lambda words: merged.extend(words) or inside(words)
+    own.rows("alpha beta")
+    own.rows("alpha, beta. (gamma) alpha's ...")
+    assert sorted(merged) == sorted(["alpha", "beta", ",", ".", "(", "gamma", ")", "'s", "..."])
+    library = own.library
+    for text in ("alpha, beta. (gamma) alpha's ...", "... a,, ,a a, it's'"):
+        assert own.ids(own.rows(text)).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("shard", [20_000, 15])
 def test_packing_keeps_every_token_once(spark, shard):
     path = public_tokenizers.path(packing.TOKENIZER)
