@@ -7,8 +7,8 @@ finding are added with the kind ``learned``; base findings always stay.
 
 The network is trained on labelled findings: windows marked true or false. Where there are no other labels (``op11``), base findings are the true ones
 and candidates that touch none the false ones. Words beside a value would give such labels away, so each true window is learned a second time
-with its surroundings blanked, and so is each false one. At most ``TRUE`` and ``FALSE`` different windows are taken in the order of their hashes, the
-rest of the corpus is only scored; one in four of them calibrates the probabilities instead, and the threshold keeps ``RECALL`` of
+with its surroundings blanked, and so is each false one. All different windows of the corpus are learned from, in parts whose weights are averaged
+after every pass, except that one in four calibrates the probabilities instead; the threshold keeps ``RECALL`` of
 the true ones among these.
 
 Defined results: a null text is empty and has no spans; places are code points. Without both true and false findings nothing is learned and only base
@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skygauge.llm import common
-from skygauge.llm.charnet import WIDTH, CharNet
+from skygauge.llm.charnet import EPOCHS, WIDTH, CharNet
+from skygauge.operators.ordered import positions
 from skygauge.store import landed
 
 KINDS = ("assign", "access", "hex", "learned")
@@ -39,7 +40,8 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 MAYBE = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]"""
 RUN = 12
 BEFORE, INSIDE, AFTER = 24, 32, 12
-TRUE, FALSE = 3000, 6000
+#: windows that one task learns from at a time
+PART = 8192
 RECALL = 0.98
 OUT = (("n_assign", T.LongType()), ("n_access", T.LongType()), ("n_hex", T.LongType()), ("base_sha256", T.StringType()), ("spans", T.StringType()))
 
@@ -140,23 +142,77 @@ def findings(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "window binary, truth boolean")
 
 
-def learn(labelled: DataFrame, most: tuple[int, int] = (TRUE, FALSE), recall: float = RECALL, seed: int = 0) -> CharNet | None:
-    """``labelled``: window and truth, as ``findings`` gives them; a window with both labels is true."""
-    rows = landed(labelled.groupBy("window").agg(F.max("truth").alias("truth")), "findings").select(F.col("window").alias("doc_id"), "truth")
-    taken = [common.sampled(rows.where(F.col("truth") == truth), n) for truth, n in zip((True, False), most)]
-    found = taken[0].union(taken[1]).select("doc_id", "truth", (F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0).alias("held")).collect()  # at most ``most`` rows
-    codes = np.frombuffer(b"".join(r.doc_id for r in found), np.uint8).reshape(-1, _LENGTH).astype(np.int64)
-    truth, held = np.array([r.truth for r in found], bool), np.array([r.held for r in found], bool)
-    if truth[held].all() or not truth[held].any():  # too few to set some apart
-        held[:] = False
-    if len(np.unique(truth[~held])) < 2:
+def _codes(windows: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(windows.to_pylist()), np.uint8).reshape(-1, _LENGTH).astype(np.int64)
+
+
+def learn(labelled: DataFrame, recall: float = RECALL, seed: int = 0) -> CharNet | None:
+    """``labelled``: window and truth, as ``findings`` gives them; a window with both labels is true. All windows are learned from or calibrate."""
+    rows = landed(labelled.groupBy("window").agg(F.max("truth").alias("truth")), "findings").select("window", "truth", (F.pmod(F.xxhash64("window"), F.lit(4)) == 0).alias("held"))
+    sizes = {(r.held, r.truth): r["n"] for r in rows.groupBy("held", "truth").agg(F.count("*").alias("n")).collect()}  # at most four rows
+    apart = all((True, truth) in sizes for truth in (True, False))
+    fitted = rows.where("not held") if apart else rows  # too few to set some apart
+    true, false = (sum(n for (held, t), n in sizes.items() if t == truth and not (held and apart)) for truth in (True, False))
+    if not true or not false:
         return None
-    bare = codes.copy()
-    bare[:, :BEFORE], bare[:, BEFORE + INSIDE:] = 0, 0
-    own, right = np.concatenate([codes[~held], bare[~held]]), np.tile(truth[~held], 2)
-    weight = np.where(right, 0.5 / right.mean(), 0.5 / (1 - right.mean()))
-    net = CharNet(ALPHABET, PARTS, seed).fit(own, right, weight)
-    return net.calibrate(codes[held], truth[held], recall) if held.any() else net.calibrate(codes, truth, recall)
+    net = fit(fitted, true, false, seed)
+    held = rows.where("held") if apart else rows
+    return calibrate(net, held, sizes[True, True] if apart else true, sizes[True, False] if apart else false, recall)
+
+
+def fit(rows: DataFrame, true: int, false: int, seed: int = 0) -> CharNet:
+    """The network, learned from all windows in parts of about ``PART``: every part makes a pass from the same weights, then their mean
+    (by the parts' sizes) is where the next pass begins. The means are exact sums, so their order changes nothing."""
+    parts = -(-(true + false) // PART)
+    dealt = rows.withColumn("part", F.pmod(F.xxhash64(F.lit(1), "window"), F.lit(parts))).repartition(parts, "part")
+    dealt = landed(dealt.groupBy("part").agg(F.sort_array(F.collect_list(F.struct("window", "truth"))).alias("rows")).select("part", "rows.window", "rows.truth"), "windows")
+    net = CharNet(ALPHABET, PARTS, seed)
+    state = net.packed(net.moments(), 0.0)
+    for epoch in range(EPOCHS):
+        found = dealt.mapInArrow(_pass(state, true, false, seed, epoch), "place int, value double")
+        means = found.groupBy("place").agg(F.sum(F.col("value").cast("decimal(38,20)")).cast("double").alias("value")).toPandas()  # as many rows as the network has weights and moments
+        state = np.zeros(len(means))
+        state[means["place"].to_numpy()] = means["value"].to_numpy()
+    net.unpack(state)
+    return net
+
+
+def _pass(state: np.ndarray, true: int, false: int, seed: int, epoch: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, part in enumerate(batch.column("part").to_pylist()):
+                codes, truth = _codes(batch.column("window")[i].values), np.array(batch.column("truth")[i].values.to_pylist(), bool)
+                bare = codes.copy()
+                bare[:, :BEFORE], bare[:, BEFORE + INSIDE:] = 0, 0
+                weight = np.where(truth, 0.5 / true, 0.5 / false) * (true + false)
+                net = CharNet(ALPHABET, PARTS, seed)
+                moments, step = net.unpack(state)
+                step = net.fit_once(np.concatenate([codes, bare]), np.tile(truth, 2), np.tile(weight, 2), moments, step, np.random.default_rng((seed, epoch, part)))
+                value = net.packed(moments, step) * (len(codes) / (true + false))
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(value), dtype=np.int32)), pa.array(value)], names=["place", "value"])
+
+    return run
+
+
+def calibrate(net: CharNet, rows: DataFrame, true: int, false: int, recall: float) -> CharNet:
+    """``CharNet.calibrate`` over all ``rows``, whose logits stay in their tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([batch.column("truth"), pa.array(net.logits(_codes(batch.column("window"))))], names=["truth", "logit"])
+
+    logits = landed(rows.select("window", "truth").mapInArrow(run, "truth boolean, logit double"), "logits")
+    x = F.col("logit")
+
+    def sums(slope, shift, high, low):
+        p = 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), slope * x + shift))))
+        curve, off = p * (1 - p), p - F.when(F.col("truth"), high).otherwise(low)
+        return tuple(float(v) for v in logits.agg(*[F.sum(c.cast("decimal(38,18)")) for c in (curve * x * x, curve * x, curve, off * x, off)]).first())
+
+    net.set_line(sums, true, false)
+    place = positions(logits.where("truth").select("logit"), ["logit"], "_n")
+    return net.set_threshold(place.where(F.col("_n") > int(np.floor((1 - recall) * true))).agg(F.min("logit")).first()[0])
 
 
 def learned(own: Slice, net: CharNet | None) -> list[list[tuple[int, int, int]]]:

@@ -5,6 +5,7 @@ import string
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skygauge.llm import secrets
@@ -106,6 +107,44 @@ def test_network_adds_what_looks_like_the_labelled_findings(spark):
     assert hit >= 0.8 * len(bare) and wrong <= 0.02 * len(found)
 
 
+def test_all_windows_are_learned_from(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    truth = rng.random(16_000) < 0.4  # more of either kind than were once taken
+    codes = np.where(truth[:, None], rng.integers(4, 60, (16_000, secrets._LENGTH)), rng.integers(30, 99, (16_000, secrets._LENGTH))).astype(np.uint8)
+    codes[::50] = rng.integers(4, 99, codes[::50].shape)
+    labelled = spark.createDataFrame([(c.tobytes(), bool(t)) for c, t in zip(codes, truth)], "window binary, truth boolean").repartition(5)
+    seen = []
+    monkeypatch.setattr(secrets, "EPOCHS", 1)
+    monkeypatch.setattr(secrets, "fit", lambda rows, *a, fit=secrets.fit: (seen.append((rows.count(), *a)), fit(rows, *a))[1])
+    net = secrets.learn(labelled, 0.9)
+    place = {r.window: r.held for r in labelled.select("window", (F.pmod(F.xxhash64("window"), F.lit(4)) == 0).alias("held")).collect()}
+    held = np.array([place[c.tobytes()] for c in codes])
+    assert seen == [((~held).sum(), (truth & ~held).sum(), (~truth & ~held).sum(), 0)]
+    assert len(range(0, seen[0][0], secrets.PART)) == 2  # two parts, averaged
+    own = np.sort(net.score(codes[held & truth].astype(np.int64)))
+    assert abs(net.threshold - min(0.5, own[int((1 - 0.9) * len(own))])) < 1e-12
+    assert ((net.score(codes[held].astype(np.int64)) >= 0.5) == truth[held]).mean() > 0.95
+    local = CharNet(secrets.ALPHABET, secrets.PARTS)
+    local.weights = {k: v.copy() for k, v in net.weights.items()}
+    local.calibrate(codes[held].astype(np.int64), truth[held], 0.9)
+    assert abs(local.slope - net.slope) < 1e-6 and abs(local.shift - net.shift) < 1e-6 and abs(local.threshold - net.threshold) < 1e-6
+
+
+def test_one_part_is_learned_as_in_one_place(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    truth = rng.random(300) < 0.5
+    codes = np.array(sorted(rng.integers(0, 99, (300, secrets._LENGTH)).astype(np.uint8).tolist()), np.int64)
+    monkeypatch.setattr(secrets, "EPOCHS", 2)
+    rows = spark.createDataFrame([(c.astype(np.uint8).tobytes(), bool(t)) for c, t in zip(codes, truth)], "window binary, truth boolean")
+    net, local = secrets.fit(rows, truth.sum().item(), (~truth).sum().item()), CharNet(secrets.ALPHABET, secrets.PARTS)
+    bare, moments, step = codes.copy(), local.moments(), 0.0
+    bare[:, :secrets.BEFORE], bare[:, secrets.BEFORE + secrets.INSIDE:] = 0, 0
+    weight = np.tile(np.where(truth, 150 / truth.sum(), 150 / (~truth).sum()), 2)
+    for epoch in range(2):
+        step = local.fit_once(np.concatenate([codes, bare]), np.tile(truth, 2), weight, moments, step, np.random.default_rng((0, epoch, 0)))
+    assert all(np.allclose(net.weights[k], v, atol=1e-9) for k, v in local.weights.items())
+
+
 def test_odd_rows(spark, tmp_path):
     schema = T.StructType([*SCHEMA, T.StructField("spans", T.StringType()), T.StructField("k_text", T.IntegerType())])
     long = "x " * 200_000 + "password: swordfish99"
