@@ -31,6 +31,8 @@ END = 0
 SHARD = 20_000
 #: a sequence with at most this share of room is not repacked across shards
 SLACK = 0.005
+#: bytes of text that are tokenized at once
+SLICE_BYTES = 4 << 20
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -40,15 +42,16 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = bpe.encoder(path)
-        for batch in common.slices(batches):
+        for batch in common.slices(batches, most=SLICE_BYTES):
             own.start()
-            rows = own.all_rows([text or "" for text in batch.column("text").to_pylist()])
+            ids, counts = own.all_ids([text or "" for text in batch.column("text").to_pylist()])
+            bounds = np.cumsum(counts + 1)
+            ids = np.insert(ids, np.cumsum(counts), np.uint32(END)).astype("<u4")
             out = []
-            for doc_id, row in zip(batch.column("doc_id").to_pylist(), rows):
-                ids = np.append(own.ids(row), np.uint32(END)).astype("<u4")
-                for piece, start in enumerate(range(0, len(ids), capacity)):
-                    cut = ids[start:start + capacity]
-                    out.append((doc_id, piece, start, len(cut), zlib.crc32(cut.tobytes()), cut))
+            for doc_id, first, end in zip(batch.column("doc_id").to_pylist(), (bounds - counts - 1).tolist(), bounds.tolist()):
+                for piece, start in enumerate(range(0, end - first, capacity)):
+                    cut = ids[first + start:min(first + start + capacity, end)]
+                    out.append((doc_id, piece, start, len(cut), zlib.crc32(cut), cut))
             columns = list(zip(*out))
             types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t, _ in zip(columns, types, names)], names=names)

@@ -1,5 +1,6 @@
 """Corpus operators on texts, against brute force, libraries and hand-made cases."""
 
+import cProfile
 import hashlib
 import random
 import struct
@@ -218,6 +219,25 @@ def test_known_words_are_not_merged_again():
         assert own.ids(own.rows(text)).tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_a_slice_of_texts_has_the_ids_of_its_texts():
+    own, rng = bpe.Encoder(public_tokenizers.path(packing.TOKENIZER)), random.Random(16)
+    parts = ["'", "''", "'s", "'t", "'re", "'ve", "'m", "'ll", "'d", "'r", "'v", "'l", "a", "S", "eau", "7", "½", "-", "?!", "é", "日本", "🙂", "́", "ſ", " ", "\t", "\u00a0", "\u2028", "\u3000", "\u0085",
+             "\u200b", "\u180e", "\ufeff"]
+    texts = ODD + ["".join(rng.choice(parts) for _ in range(rng.randint(0, 40))) for _ in range(2000)] + ["", "'", "'r", "x'l", ODD[-3]]
+    wanted = [x.ids for x in own.library.encode_batch(texts, add_special_tokens=False)]
+    for _ in range(2):  # new words, then known ones
+        ids, counts = own.all_ids(texts)
+        assert counts.tolist() == [len(x) for x in wanted] and ids.tolist() == sum(wanted, [])
+
+
+def test_runs_of_a_slice_cost_no_call_each():
+    own = bpe.Encoder(public_tokenizers.path(packing.TOKENIZER))
+    texts = [" ".join(f"{a}{b}{mark}" for b in prose(random.Random(1), 400).split() for mark in ("", ".", "&&&", "'s", "é")) for a in prose(random.Random(2), 10).split()]
+    profile = cProfile.Profile()
+    profile.runcall(own.all_rows, texts)
+    assert sum(entry.callcount for entry in profile.getstats()) < sum(len(set(text.split())) for text in texts) / 2
+
+
 @pytest.mark.parametrize("shard", [20_000, 15])
 def test_packing_keeps_every_token_once(spark, shard):
     path = public_tokenizers.path(packing.TOKENIZER)
