@@ -78,6 +78,65 @@ def test_near_vectors_against_brute_force(spark):
     assert [r.kept for r in embdedup.link(table(spark, [], BAD[:3])).collect()] == [True] * 3
 
 
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_pairs_of_many_blocks_copy_no_vectors(spark, monkeypatch, kind):
+    """Blocks are compared where they lie: what makes the links has no exchange, and there are many pairs of blocks."""
+    plans, landed = {}, embdedup.landed
+
+    def watched(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        out = landed(df, name)
+        if name == "blocks":
+            assert out.count() >= 8
+        return out
+
+    monkeypatch.setattr(embdedup, "landed", watched)
+    monkeypatch.setattr(embdedup, "BLOCK", 64)
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(500, 16))
+    x = np.concatenate([base, base[:90] + rng.normal(0, 0.06, (90, 16)), base[:40], base[:1] + rng.normal(0, 0.06, (150, 16)), np.repeat(base[1:2], 70, 0)]).astype(np.float32)
+    x[0, 3], x[590, 3] = 0.0, -0.0  # equal
+    rows = table(spark, x).withColumn("embedding", F.col("embedding").cast(f"array<{kind}>"))
+    found = {r.vec_id: r for r in embdedup.link(rows.repartition(5)).collect()}
+    assert "Exchange" not in plans["links"]
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    links = unit @ unit.T >= 0.95
+    reach = links.copy()
+    for _ in range(9):
+        reach = (reach.astype(int) @ reach.astype(int)) > 0
+    for i in range(len(x)):
+        assert (found[i].n_links, found[i].component_id, found[i].kept) == (links[i].sum() - 1, reach[i].argmax(), reach[i].argmax() == i)
+
+
+def test_links_of_crowded_blocks(monkeypatch):
+    """Two blocks with links nearly everywhere, more than are held at once."""
+    monkeypatch.setattr(embdedup, "HELD", 5000)
+    rng = np.random.default_rng(7)
+    x = (rng.normal(size=16) + rng.normal(0, 0.15, (700, 16))).astype(np.float32)
+    x[::9] = rng.normal(size=x[::9].shape)
+    ids, weights = rng.permutation(700) + 10, rng.integers(1, 4, 700)
+    turn = np.linalg.qr(rng.normal(size=(16, 16)))[0]
+    one, two = (embdedup._Side(ids[p].tobytes(), weights[p].tobytes(), x[p].tobytes(), turn, "<f4") for p in (slice(0, 400), slice(400, 700)))
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.95
+    for a, b, mask in ((one, one, near[:400, :400] & ~np.eye(400, dtype=bool)), (one, two, near[:400, 400:])):
+        own, n, apart, to = embdedup._compare(a, b, a is b, 0.95, 0.1**0.5)
+        want = dict(zip(a.ids.tolist(), mask @ b.weights))
+        if a is not b:
+            want |= dict(zip(b.ids.tolist(), mask.T @ a.weights))
+        assert dict(zip(own.tolist(), n.tolist())) == {i: v for i, v in want.items() if v}
+        root = {i: i for i in want}
+
+        def find(i):
+            while root[i] != i:
+                i = root[i]
+            return i
+        for r, c in np.argwhere(mask):
+            p, q = find(int(a.ids[r])), find(int(b.ids[c]))
+            root[max(p, q)] = min(p, q)
+        assert dict(zip(apart.tolist(), to.tolist())) == {i: find(i) for i in root if find(i) != i}
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_components_of_random_graphs(spark, seed):
     rng = random.Random(seed)
